@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-AREAS = ("search",)
+AREAS = ("validation", "records", "search")
 
 
 def _collect(attribute: str) -> dict:

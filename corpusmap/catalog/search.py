@@ -18,8 +18,9 @@ def _points(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _chosen(points: DataFrame) -> DataFrame:
-    """The queries of a search request: the 24 first ids of label 3."""
-    return points.filter(F.col("label") == 3).orderBy("id").limit(24)
+    """The queries of a search request: the first row of every label."""
+    first = F.min_by(F.struct("id", "vector"), "id")
+    return points.groupBy("label").agg(first.alias("first")).select("first.*")
 
 
 def _rounded(found: DataFrame) -> DataFrame:
@@ -39,7 +40,7 @@ def knn_by_id(spark, folder):
 
 def knn_ivf(spark, folder):
     p = _points(spark, folder)
-    return _rounded(knn.join_nearest(p.filter("label = 3"), p, 10))
+    return _rounded(knn.join_nearest(p, p, 10))
 
 
 def knn_graph(spark, folder):
@@ -70,7 +71,7 @@ def predict_topic(spark, folder):
 
 def place_new_points(spark, folder):
     p = _points(spark, folder)
-    known, new = p.filter("id % 5 != 0"), p.filter("id % 5 = 0")
+    known, new = p.filter("label < 7"), p.filter("label >= 7")
     where = known.select("id", F.col("vector")[0].cast("double").alias("x"), F.col("vector")[1].cast("double").alias("y"))
     placed = knn.place_new_points(knn.join_nearest(new, known, 15), where)
     return placed.select("id", F.round("x", 4).alias("x"), F.round("y", 4).alias("y"))
@@ -91,11 +92,11 @@ def truncate_dims(spark, folder):
 
 def binarize(spark, folder):
     p = _points(spark, folder)
-    zero = p.filter("id = 0").select(vectors.binarize(F.col("vector")).alias("first"))
+    first = F.array(*[F.lit(x > 0) for x in p.orderBy("id").first()["vector"]])
     bits = vectors.binarize(F.col("vector"))
     text = F.array_join(F.transform(bits, lambda b: F.when(b, "1").otherwise("0")), "")
-    return p.crossJoin(F.broadcast(zero)).select(
-        "id", text.alias("bits"), vectors.hamming_distance(bits, F.col("first")).cast("bigint").alias("hamming")
+    return p.select(
+        "id", text.alias("bits"), vectors.hamming_distance(bits, first).cast("bigint").alias("hamming")
     )
 
 
@@ -121,7 +122,7 @@ QUERIES = {
 }
 
 _P = "p AS (SELECT vec_id AS id, embedding::DOUBLE[] AS v, label FROM embeddings)"
-_CHOSEN = "q AS (SELECT * FROM p WHERE label = 3 ORDER BY id LIMIT 24)"
+_CHOSEN = "q AS (SELECT * FROM p WHERE id IN (SELECT min(id) FROM p GROUP BY label))"
 
 
 def _nearest(k: int, distance: str, queries: str = "q", corpus: str = "p", where: str = "true") -> str:
@@ -134,13 +135,13 @@ def _nearest(k: int, distance: str, queries: str = "q", corpus: str = "p", where
 _L2 = "list_distance(q.v, p.v)"
 _COS = "(1 - list_cosine_similarity(q.v, p.v))"
 _FOUND = "query_id, neighbor_id, round(distance, 4) AS distance, rank::INTEGER AS rank"
-_KEY = "list_aggregate(list_transform({v}, x -> round(x * 1e4)::BIGINT::VARCHAR), 'string_agg', ',')"
+_KEY = "list_aggregate(list_transform({v}, lambda x: round(x * 1e4)::BIGINT::VARCHAR), 'string_agg', ',')"
 
 ORACLES = {
     "knn_by_vector": f"WITH {_P}, {_CHOSEN}, {_nearest(5, _L2)} SELECT {_FOUND} FROM n",
     "knn_by_id": f"""WITH {_P}, {_CHOSEN}, {_nearest(5, _COS, where="q.id <> p.id")}
       SELECT {_FOUND}, label FROM n JOIN p ON p.id = n.neighbor_id""",
-    "knn_ivf": f"""WITH {_P}, q AS (SELECT * FROM p WHERE label = 3), {_nearest(10, _L2)} SELECT {_FOUND} FROM n""",
+    "knn_ivf": f"""WITH {_P}, {_nearest(10, _L2, 'p')} SELECT {_FOUND} FROM n""",
     "knn_graph": f"WITH {_P}, {_nearest(GRAPH_K, _COS, 'p', 'p', 'q.id <> p.id')} SELECT {_FOUND} FROM n",
     "neighbor_rows": f"""WITH {_P}, {_CHOSEN}, {_nearest(4, _L2)}
       SELECT query_id, neighbor_id, rank::INTEGER AS rank, lang, source
@@ -153,15 +154,15 @@ ORACLES = {
             FROM n JOIN p ON p.id = n.neighbor_id GROUP BY query_id, label)
       SELECT query_id, topic, round(pr, 6)::DOUBLE AS probability FROM (
         SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY pr DESC, topic) AS r FROM t) WHERE r = 1""",
-    "place_new_points": f"""WITH {_P}, {_nearest(15, _L2, "(SELECT * FROM p WHERE id % 5 = 0)", "(SELECT * FROM p WHERE id % 5 <> 0)")}
+    "place_new_points": f"""WITH {_P}, {_nearest(15, _L2, "(SELECT * FROM p WHERE label >= 7)", "(SELECT * FROM p WHERE label < 7)")}
       SELECT query_id AS id, round(avg(p.v[1]), 4) AS x, round(avg(p.v[2]), 4) AS y
       FROM n JOIN p ON p.id = n.neighbor_id GROUP BY query_id""",
     "similarity_filter": f"""WITH {_P} SELECT p.id, p.label, round(list_inner_product(p.v, q.v), 4) AS similarity
       FROM p, (SELECT v FROM p WHERE id = (SELECT min(id) FROM p)) q WHERE list_inner_product(p.v, q.v) > 0.1""",
     "truncate_dims": f"""WITH {_P}, t AS (SELECT id, v[1:16] AS w FROM p)
-      SELECT id, {_KEY.format(v="list_transform(w, y -> y / sqrt(list_inner_product(w, w)))")} AS vector FROM t""",
+      SELECT id, {_KEY.format(v="list_transform(w, lambda y: y / sqrt(list_inner_product(w, w)))")} AS vector FROM t""",
     "binarize": f"""WITH {_P},
-      b AS (SELECT id, list_aggregate(list_transform(v, x -> CASE WHEN x > 0 THEN '1' ELSE '0' END), 'string_agg', '') AS bits FROM p)
+      b AS (SELECT id, list_aggregate(list_transform(v, lambda x: CASE WHEN x > 0 THEN '1' ELSE '0' END), 'string_agg', '') AS bits FROM p)
       SELECT b.id, b.bits, hamming(b.bits, z.bits)::BIGINT AS hamming FROM b, (SELECT bits FROM b WHERE id = 0) z""",
     "latent_vectors": f"""WITH {_P} SELECT id, {_KEY.format(v="v").replace("1e4", "1e5")} AS vector FROM p""",
 }
