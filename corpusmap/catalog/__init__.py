@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-AREAS = ("validation", "records", "search")
+AREAS = ("validation", "records", "texts", "search", "maps")
 
 
 def _collect(attribute: str) -> dict:

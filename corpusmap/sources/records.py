@@ -68,13 +68,13 @@ def attach_blobs(rows: DataFrame, blobs: DataFrame, key: str) -> DataFrame:
 
 
 def text_lines(spark: SparkSession, path: str) -> DataFrame:
-    """A header-less text file as ``ordinal, text``; ordinals follow the file order."""
-    lines = spark.read.text(path).select(
+    """Header-less text files as ``ordinal, text``; ordinals sort by file, then by place in it."""
+    place = F.struct(
         F.col("_metadata.file_path").alias("file"),
-        F.monotonically_increasing_id().alias("ordinal"),
-        F.col("value").alias("text"),
+        F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("line"),
     )
-    return lines
+    return spark.read.text(path).select(place.alias("ordinal"), F.col("value").alias("text"))
 
 
 def keyset_page(df: DataFrame, key: str, after, size: int) -> DataFrame:
