@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-AREAS = ("validation", "records", "texts", "search", "maps")
+AREAS = ("validation", "records", "texts", "search", "maps", "documents", "streams", "builds")
 
 
 def _collect(attribute: str) -> dict:

@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame, Window, functions as F
 from corpusmap.functions import blocks
 from corpusmap.operators import cells
 
-# The largest k and the largest number of queries of one search request.
+# Fixed value: the largest k of a search.
 MAX_K = 128
-MAX_QUERIES = 256
+# So many queries, as one matrix, may travel to every task; more are joined cell by cell.
+SCAN_QUERIES = 2048
+SCAN_ROWS = 2048
 
 
 def _check(k: int, metric: str) -> None:
@@ -44,15 +46,15 @@ def search_by_vector(
 ) -> DataFrame:
     """k nearest corpus rows of each query: ``query_id, neighbor_id, distance, rank``.
 
-    A request's worth of queries (256) goes to every task and the corpus is scanned once, each
-    task keeping its own k best. More queries than that are joined cell by cell.
+    Up to ``SCAN_QUERIES`` queries go to every task and the corpus is scanned once, each task
+    keeping its own k best. More queries than that are joined cell by cell.
     """
     _check(k, metric)
     wanted = queries.select(
         F.col(query_id_col).alias("query_id"), F.col(query_vector_col).alias("vector")
     )
-    rows = wanted.limit(MAX_QUERIES + 1).toArrow()
-    if rows.num_rows > MAX_QUERIES:
+    rows = wanted.limit(SCAN_QUERIES + 1).toArrow()
+    if rows.num_rows > SCAN_QUERIES:
         return join_nearest(
             wanted.withColumnRenamed("query_id", "id"),
             corpus.select(F.col(id_col).alias("id"), F.col(vector_col).alias("vector")),
@@ -67,8 +69,9 @@ def search_by_vector(
 
     def scan(batches):
         best = None
-        for batch in batches:
-            if not batch.num_rows or not len(q):
+        pieces = (b.slice(i, SCAN_ROWS) for b in batches for i in range(0, b.num_rows, SCAN_ROWS))
+        for batch in pieces:
+            if not len(q):
                 continue
             x = blocks.prepare(blocks.matrix(batch.column(1)), metric)
             at, col, distance = blocks.nearest_in_block(q, x, k, metric)
