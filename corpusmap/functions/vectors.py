@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, functions as F, types as T
 
 # Fixed value: magnitudes from here on round to infinity in half precision.
 HALF_OVERFLOW = 65520.0
@@ -35,9 +35,14 @@ def cosine_distance(a: Column, b: Column) -> Column:
 
 
 def normalize(v: Column) -> Column:
-    """Unit-length vector; a zero vector stays zero."""
-    length = norm(v)
-    return F.when(length > 0, F.transform(doubles(v), lambda x: x / length)).otherwise(doubles(v))
+    """Unit-length vector; a zero vector stays zero. The length is worked out once per vector."""
+    d = doubles(v)
+    return F.aggregate(
+        d,
+        F.lit(0.0),
+        lambda s, x: s + x * x,
+        lambda s: F.when(s > 0, F.transform(d, lambda x: x / F.sqrt(s))).otherwise(d),
+    )
 
 
 def truncate_dims(v: Column, dims: int) -> Column:
@@ -66,7 +71,7 @@ def overflows_half(v: Column) -> Column:
     return F.exists(doubles(v), lambda x: F.abs(x) >= F.lit(HALF_OVERFLOW))
 
 
-@F.pandas_udf("array<float>")
+@F.pandas_udf(T.ArrayType(T.FloatType()))
 def quantize_half(v: pd.Series) -> pd.Series:
     """Round every component to the nearest half-precision value, kept as float."""
     with np.errstate(over="ignore"):

@@ -13,9 +13,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from corpusmap.functions import blocks
-from corpusmap.session import cut_lineage
+from corpusmap.session import cut_lineage, spread
 
 MAX_PIVOTS = 4096
+CELL_ROWS = 1024
 BLOCK_ROWS = 8192
 QUERY_ROWS = 4096
 SLACK = 1e-9
@@ -59,7 +60,7 @@ class Grid:
         cls, points: DataFrame, metric: str, pivots: int | None = None, spacing: float = 0.0
     ) -> "Grid":
         if pivots is None:
-            pivots = round(math.sqrt(points.count()))
+            pivots = points.count() // CELL_ROWS
         drawn = (
             points.select("id", "vector")
             .orderBy(F.xxhash64(F.lit(17), "id"), "id")
@@ -86,7 +87,7 @@ class Grid:
                 home = d.argmin(1)
                 yield _rows(home, batch.column(0), x, np.arange(len(x)), d[np.arange(len(x)), home])
 
-        points = points.select("id", "vector")
+        points = spread(points.select("id", "vector"))
         id_type = points.schema["id"].dataType.simpleString()
         return points.mapInArrow(
             run, f"cell int, id {id_type}, vector array<double>, radius double"
@@ -138,7 +139,7 @@ class Grid:
                 yield _rows(stats.cell[col], batch.column(0), x, at)
 
         id_type = queries.schema["id"].dataType.simpleString()
-        return queries.mapInArrow(run, f"cell int, id {id_type}, vector array<double>")
+        return spread(queries).mapInArrow(run, f"cell int, id {id_type}, vector array<double>")
 
 
 def _rows(cell, ids, x, at, radius=None) -> pa.RecordBatch:

@@ -153,7 +153,15 @@ class _Reader(HTMLParser):
             self.parts.append(data)
 
 
-_BLOCKS_TYPE = "array<struct<kind: string, level: int, text: string>>"
+_BLOCKS_TYPE = T.ArrayType(
+    T.StructType(
+        [
+            T.StructField("kind", T.StringType()),
+            T.StructField("level", T.IntegerType()),
+            T.StructField("text", T.StringType()),
+        ]
+    )
+)
 
 
 @F.pandas_udf(_BLOCKS_TYPE)

@@ -8,9 +8,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from corpusmap.functions import text, vectors
+from corpusmap.session import spread
 
 # Embedding tasks, and how to treat long texts.
 TASK_TYPES = ("search_query", "search_document", "classification", "clustering")
@@ -58,7 +59,7 @@ def hash_embedder(
         raise ValueError(f"long_text_mode must be one of {LONG_TEXT_MODES}")
     chunk = max_tokens if long_text_mode == "mean" else None
 
-    @F.arrow_udf("array<double>")
+    @F.arrow_udf(T.ArrayType(T.DoubleType()))
     def embed(hashes: pa.Array) -> pa.Array:
         return _hashed(hashes, dims, chunk)
 
@@ -92,7 +93,7 @@ def embed_text(
     if isinstance(df, str):
         raise TypeError("embed a table of texts, not a string")
     v = (embedder or hash_embedder())(prefixed(F.col(text_col), task_type))
-    return df.withColumn(output, v if dims is None else vectors.truncate_dims(v, dims))
+    return spread(df).withColumn(output, v if dims is None else vectors.truncate_dims(v, dims))
 
 
 def char_chunks(df: DataFrame, text_col: str, size: int) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, Window, functions as F
 
 from corpusmap.functions import blocks, text, times, vectors
+from corpusmap.session import cut_lineage, spread
 
 # Keywords per topic, the default depths' sizes, and how to cluster.
 KEYWORDS = 15
@@ -137,40 +138,50 @@ def in_topic(rows: DataFrame, label: str, depth: int = 1) -> DataFrame:
 
 
 def topic_keywords(
-    rows: DataFrame, topic_col: str, text_col: str, n: int = KEYWORDS, common_share: float = COMMON_SHARE
+    rows: DataFrame,
+    topic_cols: str | Sequence[str],
+    text_col: str,
+    n: int = KEYWORDS,
+    common_share: float = COMMON_SHARE,
 ) -> DataFrame:
-    """The words that set each topic apart: ``topic, rank, word, score``.
+    """The words that set each topic apart: ``depth, topic, rank, word, score``.
 
     Class-based TF-IDF over the number of texts with a word. Words of most texts are left out.
+    The texts are read once: words are counted by the whole topic path, and each depth adds up
+    those counts.
     """
-    words = rows.select(
-        F.col(topic_col).alias("topic"), F.explode(F.array_distinct(text.tokens(F.col(text_col)))).alias("word")
-    )
-    counts = words.groupBy("topic", "word").agg(F.count(F.lit(1)).alias("n"))
-    totals = counts.groupBy("word").agg(F.sum("n").alias("total"))
-    size = rows.agg(F.count(F.lit(1)).alias("texts"))
-    mean = counts.agg((F.sum("n") / F.count_distinct("topic")).alias("mean"))
-    # Two one-row tables, read as scalars.
-    texts, average = size.first()["texts"], mean.first()["mean"] or 0.0
-    scored = counts.join(totals, "word").filter(F.col("total") <= common_share * texts).select(
-        "topic", "word", F.round(F.col("n") * F.log(1 + F.lit(average) / F.col("total")), 9).alias("score")
-    )
-    best = Window.partitionBy("topic").orderBy(F.desc("score"), "word")
-    return scored.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= n)
+    columns = [topic_cols] if isinstance(topic_cols, str) else list(topic_cols)
+    words = rows.select(*columns, F.explode(F.array_distinct(text.tokens(F.col(text_col)))).alias("word"))
+    by_path = cut_lineage(words.groupBy(*columns, "word").agg(F.count(F.lit(1)).alias("n")))
+    texts = rows.count()
+    totals = by_path.groupBy("word").agg(F.sum("n").alias("total")).filter(F.col("total") <= common_share * texts)
+    ranked = []
+    for depth, column in enumerate(columns, start=1):
+        counts = by_path.groupBy(F.col(column).alias("topic"), "word").agg(F.sum("n").alias("n"))
+        whole = by_path.agg(F.sum("n").alias("n"), F.count_distinct(column).alias("topics")).first()
+        mean = (whole["n"] or 0) / max(1, whole["topics"])
+        score = F.round(F.col("n") * F.log(1 + F.lit(mean) / F.col("total")), 9)
+        scored = counts.join(totals, "word").select(F.lit(depth).alias("depth"), "topic", "word", score.alias("score"))
+        best = Window.partitionBy("topic").orderBy(F.desc("score"), "word")
+        ranked.append(scored.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= n))
+    out = ranked[0]
+    for more in ranked[1:]:
+        out = out.unionByName(more)
+    return out
 
 
 def describe_topics(keywords: DataFrame) -> DataFrame:
-    """``topic, topic_short_description, topic_description``; short labels are unique.
+    """``topic, topic_short_description, topic_description``; short labels are unique per depth.
 
     One line per topic: the short label is the shortest unique run of its best words.
     """
-    words = keywords.groupBy("topic").agg(
+    words = keywords.groupBy("depth", "topic").agg(
         F.transform(F.array_sort(F.collect_list(F.struct("rank", "word"))), lambda s: s["word"]).alias("words")
     )
     named = words.withColumn("topic_description", F.array_join("words", "/"))
     for length in (1, 2, 3):
         prefix = F.array_join(F.slice("words", 1, length), " / ")
-        unique = F.count(F.lit(1)).over(Window.partitionBy(prefix)) == 1
+        unique = F.count(F.lit(1)).over(Window.partitionBy("depth", prefix)) == 1
         named = named.withColumn(f"_l{length}", F.when(unique, prefix))
     fallback = F.concat_ws(" ", F.array_join(F.slice("words", 1, 3), " / "), F.col("topic").cast("string"))
     return named.select(
@@ -197,7 +208,8 @@ def fit_topics(
         raise ValueError(f"cluster_method must be one of {CLUSTER_METHODS}")
     if not sizes or list(sizes) != sorted(sizes):
         raise ValueError("topic sizes must grow with depth")
-    unit = points.select("id", array_to_vector(vectors.normalize(F.col("vector"))).alias("features")).persist()
+    unit = spread(points.select("id", "vector"))
+    unit = unit.select("id", array_to_vector(vectors.normalize(F.col("vector"))).alias("features")).persist()
     try:
         n = unit.count()
         sizes = [max(1, min(s, n)) for s in sizes]
@@ -265,25 +277,20 @@ def build_topics(
     points: DataFrame, texts: DataFrame | None, sizes: Sequence[int] = TOPIC_SIZES, **options
 ) -> tuple[DataFrame, DataFrame]:
     """(coded assignments, stored topic metadata). Without texts the topics stay unlabelled."""
-    assigned = fit_topics(points, sizes, **options)
+    assigned = cut_lineage(fit_topics(points, sizes, **options))
     columns = depth_columns(assigned)
     paths = topic_paths(assigned)
     if texts is None:
         number = F.col("topic_id").cast("string")
         labels = paths.select("topic_id", number.alias("topic_short_description"), number.alias("topic_description"))
     else:
-        described = []
-        for c in columns:
-            # The vectors' keyed side holds every text once per depth, never a whole topic.
-            labelled = assigned.select("id", c).join(texts.select("id", "text"), "id")
-            described.append(describe_topics(topic_keywords(labelled, c, "text")))
-        labels = described[0]
-        for more in described[1:]:
-            labels = labels.unionByName(more)
-        labels = labels.withColumnRenamed("topic", "topic_id")
+        labelled = assigned.join(texts.select("id", "text"), "id")
+        labels = describe_topics(topic_keywords(labelled, columns, "text")).withColumnRenamed("topic", "topic_id")
     named = paths.join(labels, "topic_id", "left").withColumn(
         "topic_short_description", F.coalesce("topic_short_description", F.col("topic_id").cast("string"))
     )
+    # One line per topic from here on.
+    named = cut_lineage(named)
     meta = named
     for d in range(1, len(columns) + 1):
         ancestor = named.select(

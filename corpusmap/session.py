@@ -53,3 +53,16 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_folder(spark))
     return df.checkpoint(eager=True)
+
+
+SMALL_BYTES = 1 << 30
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """A small table over all cores before costly per-row work.
+
+    A small table often is a single file section, hence one task. Larger ones come in many
+    sections and stay as they are, so nothing large is shuffled.
+    """
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism) if size < SMALL_BYTES else df
