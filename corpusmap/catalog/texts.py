@@ -81,8 +81,10 @@ def image_ref_kind(spark, folder):
 
 
 def _duplicates(spark, folder):
-    docs = embed.embed_text(_docs(spark, folder), embedder=embed.hash_embedder(DUPLICATE_DIMS))
-    return duplicates.find_duplicates(docs.select("id", F.col("_embeddings").alias("vector")))
+    docs = embed.embed_text(_docs(spark, folder), embedder=embed.hash_embedder(DUPLICATE_DIMS), output="vector")
+    path = scratch_path(spark, "vectors")
+    sinks.write_version(docs.select("id", "vector"), path)
+    return duplicates.find_duplicates(sinks.read_version(spark, path))
 
 
 def semantic_duplicates(spark, folder):

@@ -68,7 +68,7 @@ def has_invalid(v: Column) -> Column:
 
 def overflows_half(v: Column) -> Column:
     """True if a component would become infinite when stored in half precision."""
-    return F.exists(doubles(v), lambda x: F.abs(x) >= F.lit(HALF_OVERFLOW))
+    return F.exists(doubles(v), lambda x: ~F.isnan(x) & (F.abs(x) >= HALF_OVERFLOW))
 
 
 @F.pandas_udf(T.ArrayType(T.FloatType()))

@@ -94,8 +94,8 @@ def profile(df: DataFrame) -> DataFrame:
 def few_valued(df: DataFrame, fields: list[str], most: int = MAX_CATEGORIES) -> dict[str, bool]:
     """Which fields have at most ``most`` distinct values.
 
-    A sketch pass rules out the columns with far more values, so the exact distinct count only
-    ever shuffles a handful of values per task.
+    A sketch pass rules out the columns with far more values, so the exact pass only ever
+    shuffles a handful of values per task.
     """
     if not fields:
         return {}
@@ -107,10 +107,10 @@ def few_valued(df: DataFrame, fields: list[str], most: int = MAX_CATEGORIES) ->
     maybe = [f for i, f in enumerate(fields) if rough[i] <= max(_SURELY_MANY, 10 * most)]
     result = dict.fromkeys(fields, False)
     if maybe:
-        # A null counts as a value of its own.
+        # Sets stay small after the sketch; a null counts as a value of its own.
         exact = df.agg(
             *[
-                (F.count_distinct(plain(f)) + F.max(plain(f).isNull().cast("int"))).alias(str(i))
+                (F.size(F.collect_set(plain(f))) + F.max(plain(f).isNull().cast("int"))).alias(str(i))
                 for i, f in enumerate(maybe)
             ]
         ).first()

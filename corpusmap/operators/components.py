@@ -10,30 +10,45 @@ from corpusmap.session import cut_lineage
 def connected_components(edges: DataFrame) -> DataFrame:
     """``id, label`` for every node of ``a, b`` edges; the label is the component's smallest id.
 
-    Each round takes the smallest label among the neighbours, then follows the label one step.
-    Minima combine map-side, so a node with very many edges stays cheap to aggregate.
+    Each round every node points at its smallest neighbour, pointers are followed to their end,
+    and the edges are redrawn between the ends. At least half of the ends vanish per round, so
+    long chains take few rounds. Minima combine map-side, so a node with very many edges stays
+    cheap to aggregate.
     """
     one_way = edges.filter("a <> b")
-    both = one_way.select("a", "b").union(one_way.select("b", "a")).distinct()
-    both = cut_lineage(both)
-    labels = cut_lineage(
-        both.groupBy(F.col("a").alias("id")).agg(F.least(F.min("b"), F.first("a")).alias("label"))
-    )
-    while True:
-        near = (
-            both.join(labels.withColumnRenamed("id", "b"), "b")
-            .groupBy(F.col("a").alias("id"))
-            .agg(F.min("label").alias("near"))
-        )
-        hooked = labels.join(near, "id").select(
-            "id", F.col("label").alias("old"), F.least("label", "near").alias("label")
+    active = cut_lineage(one_way.select("a", "b").union(one_way.select("b", "a")).distinct())
+    labels = active.select(F.col("a").alias("id"), F.col("a").alias("label")).limit(0)
+    first = True
+    while not active.isEmpty():
+        ends = _follow(
+            active.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("low")).select(
+                "id", F.least("id", "low").alias("label")
+            )
         )
-        parents = hooked.select(F.col("id").alias("label"), F.col("label").alias("parent"))
-        moved = cut_lineage(
-            hooked.join(parents, "label").select(
-                "id", F.col("parent").alias("label"), (F.col("parent") != F.col("old")).alias("moved")
+        if first:
+            labels, first = ends, False
+        else:
+            onward = ends.select(F.col("id").alias("label"), F.col("label").alias("end"))
+            labels = cut_lineage(
+                labels.join(onward, "label", "left").select("id", F.coalesce("end", "label").alias("label"))
             )
+        to_a = ends.select(F.col("id").alias("a"), F.col("label").alias("end_a"))
+        to_b = ends.select(F.col("id").alias("b"), F.col("label").alias("end_b"))
+        active = cut_lineage(
+            active.join(to_a, "a").join(to_b, "b").filter("end_a <> end_b")
+            .select(F.col("end_a").alias("a"), F.col("end_b").alias("b")).distinct()
+        )
+    return labels
+
+
+def _follow(pointers: DataFrame) -> DataFrame:
+    """Every pointer moved to the end of its path, doubling the steps each time."""
+    pointers = cut_lineage(pointers)
+    while True:
+        onward = pointers.select(F.col("id").alias("label"), F.col("label").alias("end"))
+        moved = cut_lineage(
+            pointers.join(onward, "label").select("id", F.col("end").alias("label"), (F.col("end") != F.col("label")).alias("moved"))
         )
-        labels = moved.select("id", "label")
+        pointers = moved.select("id", "label")
         if moved.filter("moved").isEmpty():
-            return labels
+            return pointers

@@ -151,6 +151,7 @@ def topic_keywords(
     those counts.
     """
     columns = [topic_cols] if isinstance(topic_cols, str) else list(topic_cols)
+    rows = spread(rows.select(*columns, text_col))
     words = rows.select(*columns, F.explode(F.array_distinct(text.tokens(F.col(text_col)))).alias("word"))
     by_path = cut_lineage(words.groupBy(*columns, "word").agg(F.count(F.lit(1)).alias("n")))
     texts = rows.count()
