@@ -93,7 +93,8 @@ def embed_text(
     if isinstance(df, str):
         raise TypeError("embed a table of texts, not a string")
     v = (embedder or hash_embedder())(prefixed(F.col(text_col), task_type))
-    return spread(df).withColumn(output, v if dims is None else vectors.truncate_dims(v, dims))
+    out = spread(df).withColumn(output, v)
+    return out if dims is None else out.withColumn(output, vectors.truncate_dims(F.col(output), dims))
 
 
 def char_chunks(df: DataFrame, text_col: str, size: int) -> DataFrame:
