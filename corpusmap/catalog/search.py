@@ -102,11 +102,10 @@ def binarize(spark, folder):
 
 def quantize_f16(spark, folder):
     p = _points(spark, folder)
-    return p.select(
-        "id",
-        vectors.quantize_half(F.col("vector")).alias("half"),
-        vectors.overflows_half(F.col("vector")).alias("overflows"),
-    )
+    scaled = F.transform("vector", lambda x: x * F.lit(200000.0).cast("float"))
+    half = vectors.quantize_half(scaled)
+    text = F.transform(half, lambda x: F.when(F.abs(x) < 1e30, x.cast("bigint").cast("string")).otherwise("inf"))
+    return p.select("id", F.array_join(text, ",").alias("half"), vectors.overflows_half(scaled).alias("overflows"))
 
 
 def latent_vectors(spark, folder):
@@ -164,5 +163,10 @@ ORACLES = {
     "binarize": f"""WITH {_P},
       b AS (SELECT id, list_aggregate(list_transform(v, lambda x: CASE WHEN x > 0 THEN '1' ELSE '0' END), 'string_agg', '') AS bits FROM p)
       SELECT b.id, b.bits, hamming(b.bits, z.bits)::BIGINT AS hamming FROM b, (SELECT bits FROM b WHERE id = 0) z""",
+    "quantize_f16": """WITH s AS (SELECT vec_id AS id, list_transform(embedding, lambda x: (x * 200000.0::FLOAT)::DOUBLE) AS v FROM embeddings),
+      q AS (SELECT id, v, list_transform(v, lambda x: pow(2.0, greatest(floor(log2(abs(x) + CASE WHEN x = 0 THEN 1 ELSE 0 END)), -14) - 10)) AS steps FROM s)
+      SELECT id, list_aggregate(list_transform(list_zip(v, steps), lambda z: CASE WHEN abs(z[1]) >= 65520 THEN 'inf'
+        ELSE trunc(round_even(z[1] / z[2], 0) * z[2])::BIGINT::VARCHAR END), 'string_agg', ',') AS half,
+      len(list_filter(v, lambda x: abs(x) >= 65520)) > 0 AS overflows FROM q""",
     "latent_vectors": f"""WITH {_P} SELECT id, {_KEY.format(v="v").replace("1e4", "1e5")} AS vector FROM p""",
 }

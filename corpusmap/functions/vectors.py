@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import Column, functions as F, types as T
+from pyspark.sql import Column, functions as F
 
 # Fixed value: magnitudes from here on round to infinity in half precision.
 HALF_OVERFLOW = 65520.0
@@ -71,11 +69,24 @@ def overflows_half(v: Column) -> Column:
     return F.exists(doubles(v), lambda x: ~F.isnan(x) & (F.abs(x) >= HALF_OVERFLOW))
 
 
-@F.pandas_udf(T.ArrayType(T.FloatType()))
-def quantize_half(v: pd.Series) -> pd.Series:
-    """Round every component to the nearest half-precision value, kept as float."""
-    with np.errstate(over="ignore"):
-        return v.map(lambda x: None if x is None else np.asarray(x).astype(np.float16).astype(np.float32))
+def round_half(x: Column) -> Column:
+    """A number at half precision: 11 significant bits, steps of 2^-24 near zero, ties to even."""
+    d = x.cast("double")
+    exponent = F.greatest(F.floor(F.log2(F.abs(d))), F.lit(-14))
+    step = F.pow(F.lit(2.0), exponent - 10)
+    rounded = F.rint(d / step) * step
+    infinite = F.when(d > 0, float("inf")).otherwise(float("-inf"))
+    return (
+        F.when((d == 0) | F.isnan(d), d)
+        .when(F.abs(d) >= HALF_OVERFLOW, infinite)
+        .otherwise(rounded)
+        .cast("float")
+    )
+
+
+def quantize_half(v: Column) -> Column:
+    """Every component at half precision, kept as float."""
+    return F.transform(v, round_half)
 
 
 def vector_key(v: Column, digits: int = 4) -> Column:

@@ -168,13 +168,22 @@ def _blocks_of(spark: SparkSession, stats: CellStats, asked: dict[int, int]) ->
 def search_cells(
     probes: DataFrame, homes: DataFrame, stats: CellStats, k: int, metric: str, exclude_self: bool
 ) -> DataFrame:
-    """Candidates ``query_id, neighbor_id, distance`` of the probed cells.
+    """Candidates ``query_id, neighbor_id, distance`` of the probed cells, k per query and block.
 
     A large cell is split into blocks of rows, and its queries into blocks of queries, so no task
     sees more than one block of each.
     """
-    spark = homes.sparkSession
     probes = probes.persist()
+    try:
+        return settle(_search(probes, homes, stats, k, metric, exclude_self))
+    finally:
+        probes.unpersist()
+
+
+def _search(
+    probes: DataFrame, homes: DataFrame, stats: CellStats, k: int, metric: str, exclude_self: bool
+) -> DataFrame:
+    spark = homes.sparkSession
     asked = {r["cell"]: r["count"] for r in probes.groupBy("cell").count().toLocalIterator()}
     query_type = probes.schema["id"].dataType.simpleString()
     id_type = homes.schema["id"].dataType.simpleString()

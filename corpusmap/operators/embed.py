@@ -23,7 +23,22 @@ MAX_TOKENS = 8192
 Embedder = Callable[[Column], Column]
 
 
+# Tokens that are counted at once, so that long texts do not pile up in memory.
+_TOKENS_AT_ONCE = 1 << 20
+
+
 def _hashed(hashes: pa.ListArray, dims: int, chunk: int | None) -> pa.ListArray:
+    """Vectors of a batch, worked out a bounded number of tokens at a time."""
+    lengths = np.asarray(hashes.value_lengths().fill_null(0))
+    group = np.cumsum(lengths) // _TOKENS_AT_ONCE
+    edges = [0, *(np.flatnonzero(np.diff(group)) + 1), len(lengths)]
+    parts = [_hash_rows(hashes.slice(a, b - a), dims, chunk) for a, b in zip(edges, edges[1:])]
+    out = np.concatenate(parts) if parts else np.zeros((0, dims))
+    offsets = pa.array(np.arange(len(lengths) + 1) * dims, pa.int32())
+    return pa.ListArray.from_arrays(offsets, pa.array(out.ravel()))
+
+
+def _hash_rows(hashes: pa.ListArray, dims: int, chunk: int | None) -> np.ndarray:
     """Signed feature hashing with log counts; rows of several chunks are averaged."""
     lengths = np.asarray(hashes.value_lengths().fill_null(0)).astype(np.int64)
     values = hashes.flatten().to_numpy(zero_copy_only=False)
@@ -41,9 +56,7 @@ def _hashed(hashes: pa.ListArray, dims: int, chunk: int | None) -> pa.ListArray:
     owner = np.repeat(np.arange(len(lengths)), pieces)
     out = np.zeros((len(lengths), dims))
     np.add.at(out, owner, per_unit)
-    out = _unit_rows(out / pieces[:, None])
-    offsets = pa.array(np.arange(len(lengths) + 1) * dims, pa.int32())
-    return pa.ListArray.from_arrays(offsets, pa.array(out.ravel()))
+    return _unit_rows(out / pieces[:, None])
 
 
 def _unit_rows(x: np.ndarray) -> np.ndarray:

@@ -48,11 +48,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared folder, so that iterative plans stay short."""
+    """Write ``df`` as a table in the shared folder and read it back.
+
+    Plans of iterative jobs stay short, a lost executor costs no recomputation, and Spark knows
+    the size of what it reads, so small sides are broadcast by measure.
+    """
     spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_folder(spark))
-    return df.checkpoint(eager=True)
+    path = scratch_path(spark, "step")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 SMALL_BYTES = 1 << 30

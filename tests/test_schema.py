@@ -86,10 +86,13 @@ def test_vector_rules(spark):
 
 
 def test_half_rounding(spark):
-    values = [0.1, 65519.0, -2.000001, 1e-8]
-    df = spark.createDataFrame([(values,)], "v array<float>")
-    got = df.select(vectors.quantize_half("v").alias("h")).first()["h"]
-    assert got == [float(np.float32(np.float16(x))) for x in np.float32(values)]
+    rng = np.random.default_rng(1)
+    values = np.float32([0.1, 65519.0, 65520.0, -7e4, -2.000001, 1e-8, 3e-8, 0.0, 6.1e-5, 2049.0, 2051.0, 1.0])
+    values = np.concatenate([values, (rng.normal(size=500) * 10.0 ** rng.integers(-9, 5, 500)).astype(np.float32)])
+    df = spark.createDataFrame([([float(x) for x in values],)], "v array<float>")
+    got = df.select(vectors.quantize_half(F.col("v")).alias("h")).first()["h"]
+    with np.errstate(over="ignore"):
+        assert got == [float(x) for x in values.astype(np.float16)]
 
 
 def test_categories(spark):
