@@ -9,8 +9,10 @@ from __future__ import annotations
 import datetime as dt
 import json
 import warnings
+from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from corpusmap.functions import vectors
@@ -222,12 +224,18 @@ class Dataset:
             return self.spark.read.schema(df.schema).parquet(path)
 
         points = keep("embeddings", self._embed(data, key, indexed_field, embedder, reuse_from)).select("id", "vector")
-        # The layout follows near neighbours; like any index for display it may miss a few.
-        graph = keep("neighbors", knn.neighbor_graph(points, how_projection.n_neighbors, metric="cosine", complete=False))
-        located = keep("projected", projection.project(points, how_projection, graph))
-        sinks.write_tiles(tiles.quadtree(located, tile_rows), f"{folder}/tiles")
-        built = ["embeddings", "neighbors", "projected", "tiles"]
-        if how_topics.build_topic_model:
+
+        def lay_out() -> list[str]:
+            # The layout follows near neighbours; like any index for display it may miss a few.
+            k = how_projection.n_neighbors
+            graph = keep("neighbors", knn.neighbor_graph(points, k, metric="cosine", complete=False))
+            located = keep("projected", projection.project(points, how_projection, graph))
+            sinks.write_tiles(tiles.quadtree(located, tile_rows), f"{folder}/tiles")
+            return ["neighbors", "projected", "tiles"]
+
+        def model_topics() -> list[str]:
+            if not how_topics.build_topic_model:
+                return []
             texts = None if label_field is None else data.select(key, F.col(label_field).cast("string").alias("text"))
             coded, meta = topics.build_topics(
                 points, texts, how_topics.sizes, enforce_hierarchy=how_topics.enforce_topic_hierarchy,
@@ -235,10 +243,20 @@ class Dataset:
             )
             keep("topics", coded)
             keep("topic_metadata", meta)
-            built += ["topics", "topic_metadata"]
-        if how_duplicates.tag_duplicates:
+            return ["topics", "topic_metadata"]
+
+        def mark_duplicates() -> list[str]:
+            if not how_duplicates.tag_duplicates:
+                return []
             keep("duplicates", duplicates.find_duplicates(points, how_duplicates.duplicate_cutoff))
-            built.append("duplicates")
+            return ["duplicates"]
+
+        # Three independent chains of jobs share the cluster.
+        built = ["embeddings"]
+        with ThreadPoolExecutor(3) as pool:
+            chains = [pool.submit(inheritable_thread_target(self.spark)(f)) for f in (lay_out, model_topics, mark_duplicates)]
+            for chain in chains:
+                built += chain.result()
         self._log("build", {"name": name or self.identifier, "path": folder, "tables": built, "notes": notes})
         return Map(self, number)
 
