@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from corpusmap.session import cut_lineage
+from corpusmap.session import cut_lineage, discard
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -34,10 +34,12 @@ def connected_components(edges: DataFrame) -> DataFrame:
             )
         to_a = ends.select(F.col("id").alias("a"), F.col("label").alias("end_a"))
         to_b = ends.select(F.col("id").alias("b"), F.col("label").alias("end_b"))
+        before = active
         active = cut_lineage(
             active.join(to_a, "a").join(to_b, "b").filter("end_a <> end_b")
             .select(F.col("end_a").alias("a"), F.col("end_b").alias("b")).distinct()
         )
+        discard(before)
     return labels
 
 
@@ -49,6 +51,8 @@ def _follow(pointers: DataFrame) -> DataFrame:
         moved = cut_lineage(
             pointers.join(onward, "label").select("id", F.col("end").alias("label"), (F.col("end") != F.col("label")).alias("moved"))
         )
+        discard(pointers)
         pointers = moved.select("id", "label")
+        pointers.step_path = moved.step_path
         if moved.filter("moved").isEmpty():
             return pointers

@@ -155,3 +155,11 @@ def embed_lines(lines: DataFrame, embedder: Embedder | None = None) -> DataFrame
 def image_source(c: Column) -> Column:
     """``url`` for web addresses, ``file`` for anything else; one request must not mix them."""
     return F.when(F.lower(c).rlike(r"^https?://[^/?#]+"), "url").otherwise("file")
+
+
+def embed_images(df: DataFrame, ref_col: str, embedder: Embedder, output: str = "_embeddings") -> DataFrame:
+    """Vectors of images named by address or by file, by an image embedder; never both kinds at once."""
+    kinds = df.agg(F.collect_set(image_source(F.col(ref_col))).alias("kinds")).first()["kinds"]
+    if len(kinds) > 1:
+        raise ValueError("give either web addresses or files, not both")
+    return spread(df).withColumn(output, embedder(F.col(ref_col)))

@@ -56,7 +56,16 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, "step")
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.step_path = path
+    return out
+
+
+def discard(df: DataFrame) -> None:
+    """Delete the table behind a step that nothing reads any more."""
+    spark = df.sparkSession
+    folder = spark._jvm.org.apache.hadoop.fs.Path(df.step_path)
+    folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
 
 
 SMALL_BYTES = 1 << 30

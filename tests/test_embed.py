@@ -127,3 +127,22 @@ def test_line_file_keeps_order(spark, tmp_path, first, dims):
 def test_image_sources(spark):
     df = spark.createDataFrame([("http://a/b.png",), ("HTTPS://a",), ("/x/y.png",), ("http://",)], "u string")
     assert [r[0] for r in df.select(embed.image_source(F.col("u"))).collect()] == ["url", "url", "file", "file"]
+
+
+def test_images_of_one_kind(spark):
+    df = spark.createDataFrame([("http://a/b.png",), ("/x/y.png",)], "u string")
+
+    def size(c):
+        return F.array(F.length(c).cast("double"))
+
+    assert embed.embed_images(df.filter("u LIKE '/%'"), "u", size).first()["_embeddings"] == [8.0]
+    with pytest.raises(ValueError, match="not both"):
+        embed.embed_images(df, "u", size)
+
+
+def test_shards_hold_few_rows(spark, tmp_path):
+    out = str(tmp_path / "shards")
+    sinks.append_shards(spark.range(0, 25, 1, 1), out, rows=10)
+    sinks.append_shards(spark.range(25, 30, 1, 1), out, rows=10)
+    files = spark.read.parquet(out).groupBy(F.input_file_name()).count().collect()
+    assert sorted(r["count"] for r in files) == [5, 5, 10, 10]
