@@ -190,6 +190,11 @@ def _tiles_sql(levels: int = 14) -> str:
     return f"WITH {', '.join(parts)}, tiled AS ({union})"
 
 
+def _bound(number: str) -> str:
+    """Rounded, and without a negative zero."""
+    return f"CASE WHEN round({number}, 6) = 0 THEN 0.0::DOUBLE ELSE round({number}, 6) END"
+
+
 def _lasso_sql() -> str:
     sums = [
         f"(({y1} > y) <> ({y2} > y) AND x < ({x2} - ({x1}))::DOUBLE * (y - ({y1})) / (({y2}) - ({y1}))::DOUBLE + ({x1}))::INTEGER"
@@ -225,8 +230,8 @@ ORACLES = {
       k AS (SELECT *, row_number() OVER (PARTITION BY topic ORDER BY score DESC, word) AS rank FROM s)
       SELECT topic, string_agg(word, '/' ORDER BY rank) AS topic_description FROM k WHERE rank <= 15 GROUP BY topic""",
     "quadtree_tiles": f"{_tiles_sql()} SELECT id, level, tile FROM tiled",
-    "tile_manifest": f"""{_tiles_sql()} SELECT level, tile, count(*) AS n, round(min(x), 6) AS min_x, round(max(x), 6) AS max_x,
-      round(min(y), 6) AS min_y, round(max(y), 6) AS max_y FROM tiled GROUP BY level, tile""",
+    "tile_manifest": f"""{_tiles_sql()} SELECT level, tile, count(*) AS n, {_bound("min(x)")} AS min_x, {_bound("max(x)")} AS max_x,
+      {_bound("min(y)")} AS min_y, {_bound("max(y)")} AS max_y FROM tiled GROUP BY level, tile""",
     "region_select": f"""WITH p AS (SELECT vec_id AS id, (embedding::DOUBLE[])[1] AS x, (embedding::DOUBLE[])[2] AS y FROM embeddings)
       SELECT id FROM p WHERE ({_lasso_sql()}) % 2 = 1""",
 }

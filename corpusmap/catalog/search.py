@@ -131,9 +131,14 @@ def _nearest(k: int, distance: str, queries: str = "q", corpus: str = "p", where
       FROM {queries} q, {corpus} p WHERE {where}) WHERE rank <= {k})"""
 
 
+def _plain(number: str) -> str:
+    """A rounded number without a negative zero."""
+    return f"CASE WHEN {number} = 0 THEN 0.0::DOUBLE ELSE {number} END"
+
+
 _L2 = "list_distance(q.v, p.v)"
 _COS = "(1 - list_cosine_similarity(q.v, p.v))"
-_FOUND = "query_id, neighbor_id, round(distance, 4) AS distance, rank::INTEGER AS rank"
+_FOUND = "query_id, neighbor_id, abs(round(distance, 4)) AS distance, rank::INTEGER AS rank"
 _KEY = "list_aggregate(list_transform({v}, lambda x: round(x * 1e4)::BIGINT::VARCHAR), 'string_agg', ',')"
 
 ORACLES = {
@@ -154,7 +159,7 @@ ORACLES = {
       SELECT query_id, topic, round(pr, 6)::DOUBLE AS probability FROM (
         SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY pr DESC, topic) AS r FROM t) WHERE r = 1""",
     "place_new_points": f"""WITH {_P}, {_nearest(15, _L2, "(SELECT * FROM p WHERE label >= 7)", "(SELECT * FROM p WHERE label < 7)")}
-      SELECT query_id AS id, round(avg(p.v[1]), 4) AS x, round(avg(p.v[2]), 4) AS y
+      SELECT query_id AS id, {_plain("round(avg(p.v[1]), 4)")} AS x, {_plain("round(avg(p.v[2]), 4)")} AS y
       FROM n JOIN p ON p.id = n.neighbor_id GROUP BY query_id""",
     "similarity_filter": f"""WITH {_P} SELECT p.id, p.label, round(list_inner_product(p.v, q.v), 4) AS similarity
       FROM p, (SELECT v FROM p WHERE id = (SELECT min(id) FROM p)) q WHERE list_inner_product(p.v, q.v) > 0.1""",

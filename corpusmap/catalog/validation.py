@@ -66,7 +66,7 @@ def infer_categorical(spark, folder):
 
 
 def stringify_low_card(spark, folder):
-    lines = table(spark, folder, "lineitem").drop("l_shipdate")
+    lines = table(spark, folder, "lineitem").drop("l_shipdate", "l_suppkey")
     return checks.stringify_few_valued(lines, "l_orderkey")
 
 
@@ -194,7 +194,7 @@ ORACLES = {
         count(DISTINCT {c}) <= 10 AS few_values, {kind == 'int'} OR count(DISTINCT {c}) <= 10 AS color FROM lineitem"""
         for c, kind in _LINEITEM.items()
     ),
-    "stringify_low_card": """SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber::VARCHAR AS l_linenumber, l_quantity,
+    "stringify_low_card": """SELECT l_orderkey, l_partkey, l_linenumber::VARCHAR AS l_linenumber, l_quantity,
       l_extendedprice, l_discount, l_tax::VARCHAR AS l_tax, l_returnflag, l_linestatus FROM lineitem""",
     "unbatch": """SELECT vec_id, (label * 10 + i)::INTEGER AS class,
       list_aggregate(list_transform((embedding::DOUBLE[])[i * 16 + 1 : i * 16 + 16],
