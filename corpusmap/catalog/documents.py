@@ -158,7 +158,7 @@ def _clean_sql() -> str:
 def _body_sql() -> str:
     c = "regexp_replace(piece, '^[A-Za-z0-9]*' || chr(2), '')"
     for entity, plain in documents._ENTITIES.items():
-        c = f"replace({c}, {_sql_text(entity)}, {_sql_text(plain)})"
+        c = f"regexp_replace({c}, {_sql_text(entity)}, {_sql_text(plain)}, 'g')"
     return rf"trim(regexp_replace({c}, '[ \t\r\n]+', ' ', 'g'))"
 
 

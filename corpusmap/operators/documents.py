@@ -82,9 +82,10 @@ _BREAK = (
     r"(?i)</?(?:html|head|body|title|h[1-6]|p|li|td|th|pre|blockquote|caption|figcaption|dt|dd|div|ul|ol|dl|table|"
     r"thead|tbody|tr|nav|article|section|header|footer|main|aside|figure|form|hr)(?:\s[^>]*)?/?>"
 )
-# Entities that the regular-expression form decodes; the ampersand comes last.
+# Entities that the regular-expression form decodes, as patterns, since browsers take
+# these names without the semicolon too. The ampersand comes last.
 _ENTITIES = {
-    "&nbsp;": " ", "&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&copy;": "©", "&middot;": "·", "&amp;": "&",
+    "&nbsp;?": " ", "&lt;?": "<", "&gt;?": ">", "&quot;?": '"', "&#39;": "'", "&copy;?": "©", "&middot;?": "·", "&amp;?": "&",
 }
 
 
@@ -100,7 +101,7 @@ def blocks_of(html: Column) -> Column:
         kind = F.lower(F.regexp_extract(piece, "^([A-Za-z0-9]*)\x02", 1))
         body = F.regexp_replace(piece, "^[A-Za-z0-9]*\x02", "")
         for entity, plain in _ENTITIES.items():
-            body = F.replace(body, F.lit(entity), F.lit(plain))
+            body = F.regexp_replace(body, entity, plain)
         body = F.trim(F.regexp_replace(body, r"[ \t\r\n]+", " "))
         heading = kind.rlike("^h[1-6]$")
         return F.struct(
