@@ -4,10 +4,26 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from corpusmap.llm import decontaminate, pieces, pii, simhash, toxicity
+from corpusmap.llm import decontaminate, extract, language, neighbours, pieces, pii, simhash, substring, toxicity, urls
 from corpusmap.sources.tables import table
 
 MODEL_FILE = "/opt/tokenizers/piece_bpe_32k.model"
+URL_RULES = [
+    ("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/"),
+]
+
+
+def op1_substring_dedup(spark, folder):
+    """Every document without the words of repeated windows."""
+    found = substring.without_repeats(table(spark, folder, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "repeats.n_words", "repeats.n_removed", F.sha2("repeats.kept", 256).alias("kept_sha256"))
+
+
+def op2_neighbours(spark, folder):
+    """The 20 nearest rows of every twentieth vector."""
+    rows = table(spark, folder, "embeddings")
+    found = neighbours.nearest(rows, rows.filter("vec_id % 20 = 0"))
+    return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
 
 
 def op3_sentencepiece(spark, folder):
@@ -27,6 +43,14 @@ def op4_toxicity(spark, folder):
     ).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
+def op5_language(spark, folder):
+    """Language of every document."""
+    docs, fold = table(spark, folder, "documents"), toxicity.held_out("doc_id", 3, 1)
+    model = language.train(docs, ~fold)
+    found = docs.select("doc_id", fold.alias("held_out"), language.identify(spark, model, F.col("text"), spans=False).alias("found"))
+    return found.select("doc_id", "held_out", F.col("found.lang").alias("lang_pred"), "found.score")
+
+
 def op6_decontaminate(spark, folder):
     """What every document shares with the benchmark."""
     docs = table(spark, folder, "documents").select("doc_id", "text")
@@ -54,7 +78,26 @@ def op8_simhash(spark, folder):
     return found.select("doc_id", simhash.hex_print("fp").alias("fingerprint"), "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op3_sentencepiece, op4_toxicity, op6_decontaminate, op7_pii, op8_simhash)}
+def op9_extract(spark, folder):
+    """Main text of every page."""
+    pages = table(spark, folder, "pages")
+    found = pages.select("page_id", "url", extract.extract_text(spark, extract.train(pages), F.col("html")).alias("text"))
+    return found.withColumn("n_chars", F.char_length("text").cast("long"))
+
+
+def op10_urls(spark, folder):
+    """Verdict on the url of every page."""
+    found = urls.judge_urls(table(spark, folder, "pages").select("page_id", "url", "html"), URL_RULES)
+    return found.select("page_id", "url_verdict.host", "url_verdict.path", "url_verdict.rule", "url_verdict.verdict")
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_substring_dedup, op2_neighbours, op3_sentencepiece, op4_toxicity, op5_language,
+        op6_decontaminate, op7_pii, op8_simhash, op9_extract, op10_urls,
+    )
+}
 
 ORACLES: dict[str, str] = {}
 
@@ -81,3 +124,60 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
   sha256(coalesce(s, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
 """
+
+ORACLES["op1_substring_dedup"] = """
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+windows AS (
+  SELECT doc_id, i, row_number() OVER (PARTITION BY win ORDER BY doc_id, i) AS nth
+  FROM (SELECT doc_id, i, array_to_string(w[i:i + 19], ' ') AS win
+        FROM (SELECT doc_id, w, unnest(generate_series(1, len(w) - 19)) AS i FROM d WHERE len(w) >= 20))),
+gone AS (SELECT DISTINCT doc_id, unnest(generate_series(i, i + 19)) AS p FROM windows WHERE nth > 1),
+words AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS p FROM d),
+kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS s, count(*) AS n FROM words ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(s, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""
+
+
+def _walk(steps: int, damping: float, threshold: float) -> str:
+    """SQL of the query ``op10_urls``: each step of both walks is a common table expression."""
+    lower = lambda x: f"translate({x}, '{urls.A_TO_Z}', '{urls.A_TO_Z.lower()}')"
+    fits = " ".join(
+        f"WHEN (host = '{h}' OR suffix(host, '.{h}')) AND starts_with(path, '{p}') THEN '{v} {h}{p}'"
+        for v, h, p in sorted(URL_RULES, key=lambda r: -len(r[1] + r[2]))
+    )
+    sql = f"""
+WITH u AS (
+  SELECT page_id, html, {lower("coalesce(regexp_extract(url, '://([^/?#]*)', 1), '')")} AS host,
+    coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
+r AS (SELECT *, CASE {fits} END AS hit FROM u),
+seeds AS (
+  SELECT host, avg(CASE WHEN hit LIKE 'allow %' THEN 1.0 ELSE 0.0 END) AS trusted, avg(CASE WHEN hit LIKE 'block %' THEN 1.0 ELSE 0.0 END) AS blocked
+  FROM r WHERE host <> '' GROUP BY host),
+links AS (
+  SELECT a, b, count(*) AS n FROM (
+    SELECT host AS a, {lower("unnest(regexp_extract_all(html, '(?i)href\\s*=\\s*[\"'']?(?:https?:)?//([^/?#\"''\\s>]+)', 1))")} AS b FROM u)
+  WHERE a <> b AND a <> '' GROUP BY a, b),
+ways AS (
+  SELECT kind, host, onto, n / sum(n) OVER (PARTITION BY kind, host) AS share
+  FROM (SELECT 0 AS kind, a AS host, b AS onto, n FROM links UNION ALL SELECT 1, b, a, n FROM links)),
+s0 AS (
+  SELECT host, kind, {1 - damping} * seed AS score
+  FROM (SELECT host, 0 AS kind, trusted AS seed FROM seeds UNION ALL SELECT host, 1, blocked FROM seeds) WHERE seed > 0)"""
+    for k in range(steps):
+        sql += f""",
+s{k + 1} AS (
+  SELECT host, kind, sum(score) AS score FROM (
+    SELECT onto AS host, kind, {damping} * score * share AS score FROM ways JOIN s{k} USING (kind, host) UNION ALL SELECT host, kind, score FROM s0)
+  GROUP BY host, kind)"""
+    return sql + f""",
+known AS (
+  SELECT host, coalesce(sum(score) FILTER (kind = 0), 0) AS trust, coalesce(sum(score) FILTER (kind = 1), 0) AS distrust FROM s{steps} GROUP BY host)
+SELECT page_id, host, path, nullif(split_part(coalesce(hit, ''), ' ', 2), '') AS rule,
+  coalesce(nullif(split_part(coalesce(hit, ''), ' ', 1), ''), CASE WHEN coalesce(distrust, 0) > coalesce(trust, 0) + {threshold} THEN 'block' ELSE 'allow' END) AS verdict
+FROM r LEFT JOIN known USING (host)
+"""
+
+
+ORACLES["op10_urls"] = _walk(urls.STEPS, urls.DAMPING, urls.THRESHOLD)
