@@ -22,7 +22,7 @@ BUCKETS = 1 << 20
 #: Bytes of a word's beginning that count as features.
 PREFIXES = (4, 5, 6)
 #: Bounds of the sample that the classifier is fitted on, and of its features.
-POSITIVES, UNLABELLED, FEATURES = 6000, 18000, 1024
+POSITIVES, UNLABELLED, FEATURES = 3000, 9000, 1024
 
 
 def held_out(id_col: str, folds: int, fold: int) -> Column:
