@@ -17,9 +17,12 @@ def matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
     n = len(column)
     if n == 0:
         return np.zeros((0, 0))
-    flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64, copy=False)
-    if len(flat) % n:
+    lengths = column.value_lengths()
+    if lengths.null_count:
+        raise ValueError("a vector is null")
+    if len(lengths.unique()) > 1:
         raise ValueError("vectors differ in length")
+    flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64, copy=False)
     return flat.reshape(n, -1)
 
 

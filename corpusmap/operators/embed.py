@@ -16,9 +16,10 @@ from corpusmap.session import spread
 # Embedding tasks, and how to treat long texts.
 TASK_TYPES = ("search_query", "search_document", "classification", "clustering")
 LONG_TEXT_MODES = ("truncate", "mean")
+# How many tokens a piece has where long texts are embedded piece by piece.
+PIECE_TOKENS = 8192
 # What an empty text is embedded as, so that every row has a vector.
 EMPTY_TEXT = "empty text"
-MAX_TOKENS = 8192
 
 Embedder = Callable[[Column], Column]
 
@@ -65,12 +66,16 @@ def _unit_rows(x: np.ndarray) -> np.ndarray:
 
 
 def hash_embedder(
-    dims: int = 256, long_text_mode: str = "truncate", max_tokens: int = MAX_TOKENS
+    dims: int = 256, long_text_mode: str = "truncate", max_tokens: int | None = None
 ) -> Embedder:
-    """Embedder whose tokens are split and hashed in the JVM; only whole numbers reach Python."""
+    """Embedder whose tokens are split and hashed in the JVM; only whole numbers reach Python.
+
+    Whole texts count unless ``max_tokens`` is given: with ``truncate`` it cuts them, with ``mean`` it
+    is the length of the pieces whose vectors are averaged (``PIECE_TOKENS`` by default).
+    """
     if long_text_mode not in LONG_TEXT_MODES:
         raise ValueError(f"long_text_mode must be one of {LONG_TEXT_MODES}")
-    chunk = max_tokens if long_text_mode == "mean" else None
+    chunk = (max_tokens or PIECE_TOKENS) if long_text_mode == "mean" else None
 
     @F.arrow_udf(T.ArrayType(T.DoubleType()))
     def embed(hashes: pa.Array) -> pa.Array:
@@ -78,7 +83,7 @@ def hash_embedder(
 
     def apply(c: Column) -> Column:
         words = text.tokens(c)
-        if chunk is None:
+        if chunk is None and max_tokens is not None:
             words = F.slice(words, 1, max_tokens)
         return embed(F.transform(words, text.token_hash))
 

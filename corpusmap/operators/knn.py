@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
@@ -43,17 +44,30 @@ def search_by_vector(
     query_id_col: str = "id",
     query_vector_col: str = "vector",
     metric: str = "l2",
+    _salt: int = 0,
 ) -> DataFrame:
     """k nearest corpus rows of each query: ``query_id, neighbor_id, distance, rank``.
 
     Up to ``SCAN_QUERIES`` queries go to every task and the corpus is scanned once, each task
-    keeping its own k best. More queries than that are joined cell by cell.
+    keeping its own k best. More queries than that are joined cell by cell; for ``dot``, which has
+    no cells, they are dealt into several scans.
     """
     _check(k, metric)
     wanted = queries.select(
         F.col(query_id_col).alias("query_id"), F.col(query_vector_col).alias("vector")
     )
     rows = wanted.limit(SCAN_QUERIES + 1).toArrow()
+    if rows.num_rows > SCAN_QUERIES and metric == "dot":
+        scans = -(-2 * wanted.count() // SCAN_QUERIES)
+        dealt = F.pmod(F.xxhash64("query_id", F.lit(_salt)), F.lit(scans))
+        found = [
+            search_by_vector(
+                corpus, wanted.filter(dealt == i), k, id_col=id_col, vector_col=vector_col,
+                query_id_col="query_id", query_vector_col="vector", metric=metric, _salt=_salt + 1,
+            )
+            for i in range(scans)
+        ]
+        return functools.reduce(DataFrame.unionByName, found)
     if rows.num_rows > SCAN_QUERIES:
         return join_nearest(
             wanted.withColumnRenamed("query_id", "id"),

@@ -137,6 +137,8 @@ class Dataset:
         clean = schema.fill_null_strings(clean, self.id_field).withColumnRenamed("row_number_", ROW_ID)
         if stored is not None and self.id_field is not None and self._loads:
             clean = rows.new_rows(clean, self.data, self.id_field)
+        elif self.id_field is not None:  # a first load, too, stores one row per id
+            clean = clean.dropDuplicates([self.id_field])
         path = f"{self.path}/rows/load-{load}-{dt.datetime.now().strftime('%H%M%S%f')}"
         sinks.append_shards(clean, path)
         written = self.spark.read.schema(clean.schema).parquet(path)

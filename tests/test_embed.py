@@ -146,3 +146,13 @@ def test_shards_hold_few_rows(spark, tmp_path):
     sinks.append_shards(spark.range(25, 30, 1, 1), out, rows=10)
     files = spark.read.parquet(out).groupBy(F.input_file_name()).count().collect()
     assert sorted(r["count"] for r in files) == [5, 5, 10, 10]
+
+
+def test_whole_text_counts(spark):
+    """The end of a text of 20,000 tokens changes its vector."""
+    start = "alpha beta " * 10_000
+    df = spark.createDataFrame([(0, start + "omega " * 500), (1, start)], "id int, text string")
+    a, b = vectors_of(embed.embed_text(df, embedder=embed.hash_embedder(DIMS)))
+    assert not np.allclose(a, b)
+    a, b = vectors_of(embed.embed_text(df, embedder=embed.hash_embedder(DIMS, max_tokens=8192)))
+    assert np.allclose(a, b)

@@ -1,8 +1,9 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from corpusmap.functions import vectors
+from corpusmap.functions import blocks, vectors
 from corpusmap.operators import cells, knn
 
 
@@ -124,3 +125,20 @@ def test_vector_expressions(spark):
         vectors.l2_distance(a, z), vectors.truncate_dims(a, 1), vectors.hamming_distance(vectors.binarize(a), vectors.binarize(b)),
     ).first()
     assert tuple(got) == (5.0, [0.6, 0.8], [0.0, 0.0], 0.0, 1.0, 5.0, [1.0], 1)
+
+
+def test_many_dot_queries(spark, monkeypatch):
+    """Products have no cells, so many queries take several scans."""
+    monkeypatch.setattr(knn, "SCAN_QUERIES", 8)
+    rng = np.random.default_rng(3)
+    v = rng.normal(size=(40, 4))
+    df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "id int, vector array<double>")
+    got = {(r.query_id, r.rank): r.neighbor_id for r in knn.search_by_vector(df, df, 3, metric="dot").collect()}
+    order = np.argsort(-(v @ v.T), axis=1)[:, :3]
+    first = min(rank for _, rank in got)
+    assert all(got[i, first + j] == order[i, j] for i in range(40) for j in range(3))
+
+
+def test_ragged_vectors():
+    with pytest.raises(ValueError):
+        blocks.matrix(pa.array([[1.0, 2.0], [1.0] * 6]))
