@@ -19,6 +19,8 @@ from pyspark.sql.functions import arrow_udf
 from corpusmap.llm.common import alnum_words, as_bytes
 
 BUCKETS = 1 << 20
+#: Standard errors by which the share of positives with a word must differ, and how many words are used in any case.
+TELLING, LEAST_FEATURES = 4.0, 16
 #: Bytes of a word's beginning that count as features.
 PREFIXES = (4, 5, 6)
 #: Bounds of the sample that the classifier is fitted on, and of its features.
@@ -60,7 +62,8 @@ def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float,
     count = lambda rows: np.bincount(np.concatenate([*rows, np.zeros(0, "i4")]), minlength=BUCKETS)
     p, u = count(positive) / len(positive), (count(unlabelled) + 0.5) / (len(unlabelled) + 1)
     lift = np.abs(p - u) / np.sqrt(u * (1 - u) / len(positive) + 1e-12)
-    chosen = np.argsort(-lift, kind="stable")[:features]
+    # words that may differ by chance only would outweigh the telling ones by their number
+    chosen = np.argsort(-lift, kind="stable")[: max(LEAST_FEATURES, min(features, int((lift >= TELLING).sum())))]
     place = np.full(BUCKETS, -1, "i4")
     place[chosen] = np.arange(len(chosen))
 
@@ -74,8 +77,8 @@ def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float,
     xp, xu, random = matrix(positive), matrix(unlabelled), np.random.default_rng(seed)
     w, b = np.zeros(len(chosen), "f4"), np.float32(-1.0)
     m, v, step = np.zeros(len(w) + 1), np.zeros(len(w) + 1), 0
+    blocks = max(1, len(xu) // 2048)
     for _ in range(epochs):
-        blocks = max(1, len(xu) // 2048)
         for up, uu in zip(np.array_split(random.permutation(len(xp)), blocks), np.array_split(random.permutation(len(xu)), blocks)):
             if not len(up) or not len(uu):
                 continue
