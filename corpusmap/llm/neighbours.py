@@ -132,13 +132,16 @@ def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     return held.filter(F.size("v") == widths[0].n) if len(widths) > 1 else held
 
 
-def best_of(queries: np.ndarray, rows: np.ndarray, ids: np.ndarray, own: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def best_of(queries: np.ndarray, rows: np.ndarray, ids: np.ndarray, own: np.ndarray, k: int, floor: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Query number, id and score of the ``k`` largest inner products, ties to the smaller id.
 
+    Scores below a query's ``floor`` are left out.
+
     The matrix product only makes a shortlist, with room for its rounding; scores are summed anew in an
     order that depends on nothing else, so equal vectors get equal scores.
     """
     out_q, out_id, out_s = [], [], []
+    floor = np.full(len(queries), -np.inf) if floor is None else floor
     limit = np.abs(rows).sum(axis=1).max() * 1e-12 if len(rows) else 0.0
     for i in range(0, len(queries), 256):
         block = queries[i : i + 256]
@@ -148,6 +151,7 @@ def best_of(queries: np.ndarray, rows: np.ndarray, ids: np.ndarray, own: np.ndar
             kth = -np.partition(-scores, k - 1, axis=1)[:, k - 1]
         else:
             kth = np.full(len(block), -np.inf)
+        kth = np.maximum(kth, floor[i : i + 256])
         margin = limit * np.abs(block).max(axis=1)
         q, c = np.nonzero((scores >= (kth - margin)[:, None]) & np.isfinite(scores))
         exact = np.zeros(len(q))
@@ -157,7 +161,7 @@ def best_of(queries: np.ndarray, rows: np.ndarray, ids: np.ndarray, own: np.ndar
         q, c, exact = q[order], c[order], exact[order]
         head = np.flatnonzero(np.append(True, q[1:] != q[:-1])) if len(q) else np.zeros(0, "i8")
         nth = np.arange(len(q)) - np.repeat(head, np.diff(np.append(head, len(q))))
-        keep = nth < k
+        keep = (nth < k) & (exact >= floor[q + i])
         out_q.append(q[keep] + i)
         out_id.append(ids[c[keep]])
         out_s.append(exact[keep])
@@ -185,6 +189,7 @@ def nearest(
     repeated rows count once. Of equal vectors only the ``k + 1`` smallest ids can be found, so only those are kept.
     A query with fewer than ``k`` candidates in the visited parts visits all.
 
+    A query's likeliest part is scored first; from the others only rows that reach its k-th score are handed on.
     Parts of more than ``block_rows`` rows or queries are scored block by block, each pair of blocks in its own task.
     """
     spark = vectors.sparkSession
@@ -217,44 +222,56 @@ def nearest(
     indexed = cut_lineage(rows.select("id", "v", home("v").alias("part")))
     sizes = indexed.groupBy("part").count().withColumnRenamed("count", "n")
     seen = cut_lineage(asked.select("query_id", "q", visits("q").alias("parts")))
-    visiting = cut_lineage(seen.select("query_id", "q", F.explode("parts").alias("part")))
+    first_part = F.col("parts")[0].alias("first_part")
+    visiting = cut_lineage(seen.select("query_id", "q", first_part, F.explode("parts").alias("part")))
 
     # enough candidates: a visited part may be small
     reach = visiting.select("query_id", "part").join(F.broadcast(sizes), "part", "left").groupBy("query_id").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
     short = reach.filter(F.col("n") <= k)
     more = (
         seen.join(short, "query_id", "left_semi")
-        .select("query_id", "q", F.explode(F.array_except(F.sequence(F.lit(0), F.lit(parts - 1)), "parts")).alias("part"))
+        .select("query_id", "q", first_part, F.explode(F.array_except(F.sequence(F.lit(0), F.lit(parts - 1)), "parts")).alias("part"))
     )
     visiting = visiting.unionByName(more)
-    asks = visiting.groupBy("part").agg(F.count("*").alias("asks"))
-    # one row per part, and there are at most MOST_PARTS
-    cuts = cut_lineage(
-        sizes.join(asks, "part").select(
-            "part", F.ceil(F.col("n") / block_rows).cast("int").alias("row_blocks"), F.ceil(F.col("asks") / block_rows).cast("int").alias("query_blocks")
-        )
-    )
 
     def block(id_name: str, blocks: str):
         return F.pmod(F.xxhash64(id_name), F.col(blocks)).cast("int")
 
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    left = indexed.join(F.broadcast(cuts), "part").select("part", block("id", "row_blocks").alias("rb"), every("query_blocks").alias("qb"), "id", "v")
-    right = visiting.join(F.broadcast(cuts), "part").select("part", every("row_blocks").alias("rb"), block("query_id", "query_blocks").alias("qb"), "query_id", "q")
+    keys = ("part", "rb", "qb")
 
     def score(table: pa.Table, asking: pa.Table) -> pa.Table:
         none = pa.table({"query_id": pa.array([], pa.int64()), "id": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
         if not table.num_rows or not asking.num_rows:
             return none
-        ids, query_ids = table.column("id").to_numpy(), asking.column("query_id").to_numpy()
-        q, found, scores = best_of(matrix(asking.column("q").combine_chunks()), matrix(table.column("v").combine_chunks()), ids, query_ids, k)
+        ids, query_ids, floor = table.column("id").to_numpy(), asking.column("query_id").to_numpy(), asking.column("floor").to_numpy()
+        q, found, scores = best_of(matrix(asking.column("q").combine_chunks()), matrix(table.column("v").combine_chunks()), ids, query_ids, k, floor)
         return pa.table({"query_id": query_ids[q], "id": found, "score": scores})
 
-    keys = ("part", "rb", "qb")
-    found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(score, "query_id bigint, id bigint, score double")
+    def scored(asking: DataFrame) -> DataFrame:
+        """The best rows at or above the floor in each block that ``query_id, q, part, floor`` visit."""
+        asks = asking.groupBy("part").agg(F.count("*").alias("asks"))
+        # one row per part, and there are at most MOST_PARTS
+        cuts = cut_lineage(
+            sizes.join(asks, "part").select(
+                "part", F.ceil(F.col("n") / block_rows).cast("int").alias("row_blocks"), F.ceil(F.col("asks") / block_rows).cast("int").alias("query_blocks")
+            )
+        )
+        left = indexed.join(F.broadcast(cuts), "part").select("part", block("id", "row_blocks").alias("rb"), every("query_blocks").alias("qb"), "id", "v")
+        right = asking.join(F.broadcast(cuts), "part").select(
+            "part", every("row_blocks").alias("rb"), block("query_id", "query_blocks").alias("qb"), "query_id", "q", "floor"
+        )
+        return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(score, "query_id bigint, id bigint, score double")
+
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
-    out = cut_lineage(found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select("query_id", "rank", "id", "score"))
-    for step in (indexed, seen):
+    top = lambda found: found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select("query_id", "rank", "id", "score")
+    # the likeliest part first: rows of other parts that score below its k-th cannot be among the nearest
+    likeliest = F.col("part") == F.col("first_part")
+    opening = cut_lineage(top(scored(visiting.filter(likeliest).select("query_id", "q", "part", F.lit(float("-inf")).alias("floor")))))
+    floors = opening.filter(F.col("rank") == k).select("query_id", F.col("score").alias("floor"))
+    rest = visiting.filter(~likeliest).join(floors, "query_id", "left").select("query_id", "q", "part", F.coalesce("floor", F.lit(float("-inf"))).alias("floor"))
+    out = cut_lineage(top(scored(rest).unionByName(opening.select("query_id", "id", "score"))))
+    for step in (indexed, seen, opening):
         discard(step)
     return out
 
