@@ -7,15 +7,21 @@ from pyspark.sql import functions as F
 from corpusmap.operators import documents, tags
 from corpusmap.sources.tables import table
 
+#: A conversation as one record: who spoke first, and the utterances with their length.
 DIALOGUE = {
-    "type": "array",
-    "items": {
-        "type": "object",
-        "properties": {
-            "turn": {"type": "integer"},
-            "message": {"type": "object", "properties": {"role": {"type": "string"}, "text": {"type": "string"}}},
+    "type": "object",
+    "properties": {
+        "opened_by": {"type": "string"},
+        "utterances": {
+            "type": "array",
+            "items": {
+                "type": "object",
+                "properties": {
+                    "speaker": {"type": "string"},
+                    "said": {"type": "object", "properties": {"chars": {"type": "integer"}, "words": {"type": "string"}}},
+                },
+            },
         },
-        "required": ["turn"],
     },
 }
 
@@ -110,7 +116,10 @@ def parse_pages(spark, folder):
 
 
 def parse_pages_full(spark, folder):
-    parsed = documents.parse_pages(table(spark, folder, "pages").select("page_id", "html"), full=True)
+    """The same blocks of pages whose non-ASCII characters are written as numeric references."""
+    character = lambda c: F.when(F.ascii(c) > 127, F.concat(F.lit("&#"), F.ascii(c).cast("string"), F.lit(";"))).otherwise(c)
+    written = F.array_join(F.transform(F.split("html", ""), character), "")
+    parsed = documents.parse_pages(table(spark, folder, "pages").select("page_id", written.alias("html")))
     return documents.block_rows(parsed, "page_id")
 
 
@@ -121,10 +130,13 @@ def extract_json(spark, folder):
 
 
 def extract_dialogue(spark, folder):
-    line = F.struct("turn", F.struct("role", "text").alias("message"))
-    files = table(spark, folder, "conversations").select("conv_id", F.to_json(F.array(line)).alias("file"))
-    found = documents.extract_json(files, "file", DIALOGUE).select("conv_id", F.inline("result"))
-    return found.select("conv_id", "turn", "message.role", "message.text")
+    said = F.struct(F.char_length("text").alias("chars"), F.col("text").alias("words"))
+    utterance = F.struct(F.col("role").alias("speaker"), said.alias("said"))
+    record = F.struct(F.col("role").alias("opened_by"), F.array(utterance).alias("utterances"))
+    files = table(spark, folder, "conversations").select("conv_id", "turn", F.to_json(record).alias("file"))
+    found = documents.extract_json(files, "file", DIALOGUE)
+    found = found.select("conv_id", "turn", "result.opened_by", F.inline("result.utterances"))
+    return found.select("conv_id", "turn", "opened_by", "speaker", "said.chars", "said.words")
 
 
 def extract_page_fields(spark, folder):
@@ -146,22 +158,27 @@ _TAGGED = """tagged AS (SELECT doc_id AS id, 'toxic' AS tag FROM labels WHERE to
 _EXT = "regexp_extract(path, '[.]([a-z]+)$', 1)"
 
 
-def _sql_text(s: str) -> str:
-    return "'" + s.replace("'", "''") + "'"
+# What the checks know of pages, stated apart from the parser: tags that don't break a block, kinds of block, references.
+_INLINE = "a|abbr|b|bdi|bdo|button|cite|code|em|i|img|input|kbd|label|link|mark|meta|path|q|s|small|span|strong|sub|sup|svg|time|u|var|wbr|textarea|select|option|iframe|noscript"
+_KINDS = "title|h[1-6]|p|li|td|th|pre|blockquote|caption|figcaption|dt|dd"
+_REFERENCES = [
+    ("&nbsp;?", " "), ("&lt;?", "<"), ("&gt;?", ">"), ("&quot;?", '"'), ("&#39;", "''"), ("&copy;?", "©"), ("&middot;?", "·"), ("&amp;?", "&"),
+]
 
 
 def _clean_sql() -> str:
-    c = f"regexp_replace(html, {_sql_text(documents._DROP)}, ' ', 'g')"
-    c = f"regexp_replace({c}, {_sql_text(documents._BLOCK)}, chr(1) || '\\1' || chr(2), 'g')"
-    c = f"regexp_replace({c}, {_sql_text(documents._BREAK)}, chr(1) || chr(2), 'g')"
+    """Blocks begin with chr(1), the name of their tag and chr(2); inline tags go first, what is left breaks."""
+    c = r"regexp_replace(html, '(?is)<!--.*?-->|<script[^>]*>.*?</script\s*>|<style[^>]*>.*?</style\s*>', ' ', 'g')"
     c = rf"regexp_replace({c}, '(?i)<br\s*/?>', ' ', 'g')"
-    return f"regexp_replace({c}, '<[^>]*>', '', 'g')"
+    c = rf"regexp_replace({c}, '(?i)</?(?:{_INLINE})(?:\s[^>]*)?/?>|<![^>]*>', '', 'g')"
+    c = rf"regexp_replace({c}, '(?i)<({_KINDS})(?:\s[^>]*)?>', chr(1) || '\1' || chr(2), 'g')"
+    return f"regexp_replace({c}, '<[^>]*>', chr(1) || chr(2), 'g')"
 
 
 def _body_sql() -> str:
     c = "regexp_replace(piece, '^[A-Za-z0-9]*' || chr(2), '')"
-    for entity, plain in documents._ENTITIES.items():
-        c = f"regexp_replace({c}, {_sql_text(entity)}, {_sql_text(plain)}, 'g')"
+    for reference, plain in _REFERENCES:
+        c = f"regexp_replace({c}, '{reference}', '{plain}', 'g')"
     return rf"trim(regexp_replace({c}, '[ \t\r\n]+', ' ', 'g'))"
 
 
@@ -195,7 +212,7 @@ ORACLES = {
         CASE WHEN regexp_full_match(kind, 'h[1-6]') THEN 'heading' WHEN kind = '' THEN 'text' ELSE kind END AS kind,
         CASE WHEN regexp_full_match(kind, 'h[1-6]') THEN kind[2]::INTEGER END AS level, text FROM b WHERE text <> ''""",
     "extract_json": "SELECT event_id, (props->>'$.k')::BIGINT AS k FROM events",
-    "extract_dialogue": "SELECT conv_id, turn, role, text FROM conversations",
+    "extract_dialogue": "SELECT conv_id, turn, role AS opened_by, role AS speaker, length(text) AS chars, text AS words FROM conversations",
     "extract_page_fields": """SELECT page_id, nullif(regexp_extract(html, '(?is)<title>(.*?)</title>', 1), '') AS title,
       nullif(regexp_extract(html, '(?i)<html lang="([a-z]+)"', 1), '') AS lang FROM pages""",
 }

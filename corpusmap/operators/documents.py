@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-from html.parser import HTMLParser
+from html.entities import html5
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 # Leading bytes (hex, at an offset) of the file types that are told apart.
@@ -24,7 +23,7 @@ MAGIC = [
     ("application/x-rar-compressed", 0, "526172211A07"),
     ("application/x-xz", 0, "FD377A585A00"),
     ("application/x-tar", 257, "7573746172"),
-    ("application/msword", 0, "D0CF11E0A1B11AE1"),
+    ("application/x-ole-storage", 0, "D0CF11E0A1B11AE1"),
     ("audio/mpeg", 0, "494433"),
     ("audio/x-wav", 8, "57415645"),
     ("audio/ogg", 0, "4F676753"),
@@ -38,6 +37,7 @@ ZIP_OFFICE = {
     ".pptx": "application/vnd.openxmlformats-officedocument.presentationml.presentation",
     ".xlsx": "application/vnd.openxmlformats-officedocument.spreadsheetml.sheet",
 }
+OLE_OFFICE = {".doc": "application/msword", ".xls": "application/vnd.ms-excel", ".ppt": "application/vnd.ms-powerpoint"}
 # Link schemes that documents may be read from, and the modes of parsing.
 SCHEMES = ("http", "https")
 PARSE_MODES = ("metadata", "hybrid", "ocr")
@@ -48,15 +48,23 @@ def extension(path: Column) -> Column:
 
 
 def content_type(content: Column, path: Column) -> Column:
-    """MIME type by leading bytes; ZIP office files by extension; null if unknown."""
+    """MIME type by leading bytes; office files, which share theirs, by extension; null if unknown."""
     head = F.hex(F.substring(content, 1, 300))
     found = F.lit(None).cast("string")
     for mime, offset, magic in reversed(MAGIC):
         found = F.when(F.substring(head, 2 * offset + 1, len(magic)) == magic, mime).otherwise(found)
-    office = F.lit(None).cast("string")
-    for suffix, mime in ZIP_OFFICE.items():
-        office = F.when(extension(path) == suffix, mime).otherwise(office)
-    return F.when(found == "application/zip", office).otherwise(found)
+
+    def office(kinds: dict[str, str]) -> Column:
+        named = F.lit(None).cast("string")
+        for suffix, mime in kinds.items():
+            named = F.when(extension(path) == suffix, mime).otherwise(named)
+        return named
+
+    return (
+        F.when(found == "application/zip", office(ZIP_OFFICE))
+        .when(found == "application/x-ole-storage", F.coalesce(office(OLE_OFFICE), found))
+        .otherwise(found)
+    )
 
 
 def detect_content_types(files: DataFrame, content_col: str = "content", path_col: str = "path") -> tuple[DataFrame, DataFrame]:
@@ -82,11 +90,45 @@ _BREAK = (
     r"(?i)</?(?:html|head|body|title|h[1-6]|p|li|td|th|pre|blockquote|caption|figcaption|dt|dd|div|ul|ol|dl|table|"
     r"thead|tbody|tr|nav|article|section|header|footer|main|aside|figure|form|hr)(?:\s[^>]*)?/?>"
 )
-# Entities that the regular-expression form decodes, as patterns, since browsers take
-# these names without the semicolon too. The ampersand comes last.
-_ENTITIES = {
-    "&nbsp;?": " ", "&lt;?": "<", "&gt;?": ">", "&quot;?": '"', "&#39;": "'", "&copy;?": "©", "&middot;?": "·", "&amp;?": "&",
-}
+# Names of character references come from the standard library's table. Browsers take some without the semicolon.
+_NAMED = {name: text for name, text in html5.items() if name.endswith(";")}
+_BARE = {name: text for name, text in html5.items() if not name.endswith(";")}
+_BARE_PATTERN = "^(" + "|".join(sorted(_BARE, key=lambda name: (-len(name), name))) + ")"
+_NUMBER_PATTERN = "^(#[0-9]{1,7};?|#[xX][0-9A-Fa-f]{1,6};?)"
+
+
+def _lookup(names: dict[str, str], name: Column) -> Column:
+    held = F.create_map(*[F.lit(part) for pair in names.items() for part in pair])
+    return F.try_element_at(held, name)
+
+
+def _character(number: Column) -> Column:
+    """The character of a numeric reference; U+FFFD where there is none."""
+    digits = F.regexp_replace(number, "[#;xX]", "")
+    code = F.when(F.lower(F.substring(number, 2, 1)) == "x", F.conv(digits, 16, 10)).otherwise(digits).cast("bigint")
+    sound = (code > 0) & (code < 0x110000) & ~code.between(0xD800, 0xDFFF)
+    return F.decode(F.unhex(F.lpad(F.hex(F.when(sound, code).otherwise(F.lit(0xFFFD))), 8, "0")), "UTF-32")
+
+
+def decode_references(text: Column) -> Column:
+    """Named and numeric character references as the characters they stand for; anything else stays."""
+
+    def one(piece: Column) -> Column:
+        number = F.regexp_extract(piece, _NUMBER_PATTERN, 1)
+        named = F.regexp_extract(piece, "^([A-Za-z][A-Za-z0-9]*;)", 1)
+        bare = F.regexp_extract(piece, _BARE_PATTERN, 1)
+        known = _lookup(_NAMED, named)
+        after = lambda taken: F.substr(piece, F.length(taken) + 1)
+        return (
+            F.when(number != "", F.concat(_character(number), after(number)))
+            .when(known.isNotNull(), F.concat(known, after(named)))
+            .when(bare != "", F.concat(_lookup(_BARE, bare), after(bare)))
+            .otherwise(F.concat(F.lit("&"), piece))
+        )
+
+    pieces = F.split(text, "&", -1)
+    decoded = F.concat(pieces[0], F.array_join(F.transform(F.slice(pieces, 2, F.size(pieces)), one), ""))
+    return F.when(F.contains(text, F.lit("&")), decoded).otherwise(text)
 
 
 def blocks_of(html: Column) -> Column:
@@ -100,9 +142,7 @@ def blocks_of(html: Column) -> Column:
     def block(piece: Column) -> Column:
         kind = F.lower(F.regexp_extract(piece, "^([A-Za-z0-9]*)\x02", 1))
         body = F.regexp_replace(piece, "^[A-Za-z0-9]*\x02", "")
-        for entity, plain in _ENTITIES.items():
-            body = F.regexp_replace(body, entity, plain)
-        body = F.trim(F.regexp_replace(body, r"[ \t\r\n]+", " "))
+        body = F.trim(F.regexp_replace(decode_references(body), r"[ \t\r\n\x{A0}]+", " "))
         heading = kind.rlike("^h[1-6]$")
         return F.struct(
             F.when(heading, "heading").when(kind == "", "text").otherwise(kind).alias("kind"),
@@ -113,83 +153,13 @@ def blocks_of(html: Column) -> Column:
     return F.filter(F.transform(F.split(c, "\x01"), block), lambda b: b["text"] != "")
 
 
-class _Reader(HTMLParser):
-    """Collects the blocks of one page."""
-
-    BLOCKS = {"title", "h1", "h2", "h3", "h4", "h5", "h6", "p", "li", "td", "th", "pre", "blockquote",
-              "caption", "figcaption", "dt", "dd"}
-    BREAKS = {"html", "head", "body", "div", "ul", "ol", "dl", "table", "thead", "tbody", "tr", "nav",
-              "article", "section", "header", "footer", "main", "aside", "figure", "form", "hr"}
-
-    def __init__(self):
-        super().__init__(convert_charrefs=True)
-        self.out, self.kind, self.parts, self.skip = [], "", [], 0
-
-    def flush(self, kind: str = "") -> None:
-        body = " ".join("".join(self.parts).split())
-        if body:
-            head = len(self.kind) == 2 and self.kind[0] == "h" and self.kind[1].isdigit()
-            name = "heading" if head else self.kind or "text"
-            self.out.append({"kind": name, "level": int(self.kind[1]) if head else None, "text": body})
-        self.kind, self.parts = kind, []
-
-    def handle_starttag(self, tag, attrs):
-        if tag in ("script", "style"):
-            self.skip += 1
-        elif tag in self.BLOCKS:
-            self.flush(tag)
-        elif tag in self.BREAKS:
-            self.flush()
-        elif tag == "br":
-            self.parts.append(" ")
-
-    def handle_endtag(self, tag):
-        if tag in ("script", "style"):
-            self.skip = max(0, self.skip - 1)
-        elif tag in self.BLOCKS or tag in self.BREAKS:
-            self.flush()
-
-    def handle_data(self, data):
-        if not self.skip:
-            self.parts.append(data)
-
-
-_BLOCKS_TYPE = T.ArrayType(
-    T.StructType(
-        [
-            T.StructField("kind", T.StringType()),
-            T.StructField("level", T.IntegerType()),
-            T.StructField("text", T.StringType()),
-        ]
-    )
-)
-
-
-@F.pandas_udf(_BLOCKS_TYPE)
-def blocks_by_parser(html: pd.Series) -> pd.Series:
-    """The same blocks by an HTML parser, which also knows every entity and odd markup."""
-
-    def read(page):
-        if page is None:
-            return None
-        reader = _Reader()
-        reader.feed(page)
-        reader.close()
-        reader.flush()
-        return reader.out
-
-    return html.map(read)
-
-
-def parse_pages(pages: DataFrame, html_col: str = "html", *, mode: str = "metadata", full: bool = False) -> DataFrame:
+def parse_pages(pages: DataFrame, html_col: str = "html", *, mode: str = "metadata") -> DataFrame:
     """Pages with a ``result`` of structured blocks. Only the model-free mode is offered."""
     if mode not in PARSE_MODES:
         raise ValueError(f"mode must be one of {PARSE_MODES}")
     if mode != "metadata":
         raise NotImplementedError(f"{mode} needs a vision model")
-    c = F.col(html_col)
-    found = blocks_by_parser(c) if full else blocks_of(c)
-    return pages.withColumn("result", F.struct(found.alias("blocks"))).drop(html_col)
+    return pages.withColumn("result", F.struct(blocks_of(F.col(html_col)).alias("blocks"))).drop(html_col)
 
 
 def block_rows(parsed: DataFrame, *keep: str) -> DataFrame:

@@ -64,8 +64,19 @@ class Dataset:
             return []
         return self.spark.read.schema(_LOG).json(f"{self.path}/log").orderBy("seq").collect()
 
+    @classmethod
+    def exists(cls, spark: SparkSession, root: str, identifier: str) -> bool:
+        """Whether a dataset of that name was created and not dropped since."""
+        self = cls.__new__(cls)
+        self.spark, self.path = spark, f"{root.rstrip('/')}/{identifier.strip('/')}"
+        return bool(self._payloads("create"))
+
     def _payloads(self, kind: str) -> list[dict]:
-        return [json.loads(e.payload) for e in self._entries() if e.kind == kind]
+        """Records of a kind since the last drop, which ends a dataset and all it held."""
+        live: list = []
+        for e in self._entries():
+            live = [] if e.kind == "drop" else [*live, e]
+        return [json.loads(e.payload) for e in live if e.kind == kind]
 
     def _last(self, kind: str) -> dict | None:
         found = self._payloads(kind)
@@ -112,14 +123,14 @@ class Dataset:
 
     @property
     def created_timestamp(self) -> dt.datetime:
-        first = next(e for e in self._entries() if e.kind == "create")
-        return dt.datetime.fromisoformat(first.at)
+        last = [e for e in self._entries() if e.kind == "create"][-1]
+        return dt.datetime.fromisoformat(last.at)
 
     def add_data(self, data=None, embeddings=None, blobs: DataFrame | None = None) -> None:
         """Validate rows and append them; rows whose id is stored already are skipped.
 
         ``embeddings`` is a table of the id field and ``vector``, or an array for local rows.
-        ``blobs`` is a table of the id field and ``content``.
+        ``blobs`` is a table of the id field and ``content``; the bytes are stored once per hash.
         """
         df = self._with_vectors(data, embeddings)
         if blobs is not None:
@@ -142,11 +153,23 @@ class Dataset:
         path = f"{self.path}/rows/load-{load}-{dt.datetime.now().strftime('%H%M%S%f')}"
         sinks.append_shards(clean, path)
         written = self.spark.read.schema(clean.schema).parquet(path)
-        self._check(written)
+        self._check(written, self.data if stored is not None and self._loads else None)
         if stored is None:
             self._log("schema", json.loads(clean.schema.json()))
+        if blobs is not None:
+            content = blobs.select(records.blob_hash(F.col("content")).alias("_blob_hash"), "content").filter("content is not null")
+            sinks.write_version(content.dropDuplicates(["_blob_hash"]), f"{path}-blobs")
+            self._log("blobs", {"path": f"{path}-blobs"})
         self._log("load", {"path": path})
 
+    @property
+    def blobs(self) -> DataFrame:
+        """``_blob_hash, content``: the stored bytes, one row per hash."""
+        paths = [p["path"] for p in self._payloads("blobs")]
+        if not paths:
+            return self.spark.createDataFrame([], "_blob_hash string, content binary")
+        return self.spark.read.schema("_blob_hash string, content binary").parquet(*paths).dropDuplicates(["_blob_hash"])
+
     def _with_vectors(self, data, embeddings) -> DataFrame:
         if isinstance(embeddings, np.ndarray):
             if embeddings.ndim != 2 or not embeddings.size:
@@ -165,12 +188,16 @@ class Dataset:
             return embeddings.withColumnRenamed("vector", "_embeddings")
         return records.attach_vectors(records.ingest(self.spark, data), embeddings, self.id_field, "vector")
 
-    def _check(self, written: DataFrame) -> None:
-        rules = checks.id_rules(self.id_field) if self.id_field else []
+    def _check(self, written: DataFrame, earlier: DataFrame | None) -> None:
+        """Ids, vectors, and that new vectors have the dimension of those stored before."""
         if self.id_field:
-            checks.enforce(checks.report(written, rules))
-        if self.modality == "embedding":
+            checks.enforce(checks.report(written, checks.id_rules(self.id_field)))
+        if self.modality == "embedding" and (earlier is None or not written.isEmpty()):
             checks.enforce(checks.validate_vectors(written, "_embeddings"))
+            if earlier is not None:
+                held, new = (df.select(F.size("_embeddings")).first()[0] for df in (earlier, written))
+                if held != new:
+                    raise checks.RowError([("dimension differs", "_embeddings", new)])
 
     def get_data(self, ids) -> DataFrame:
         return rows.by_ids(self.data, ids, self.key)
@@ -274,7 +301,7 @@ class Dataset:
             kept = hashed.join(earlier, ["id", "text_hash"])
             fresh = hashed.join(earlier, ["id", "text_hash"], "left_anti")
         if self.modality == "image":
-            done = fresh.withColumn("vector", embedder(F.col("text")))
+            done = fresh.join(self.blobs.withColumnRenamed("_blob_hash", "text"), "text").withColumn("vector", embedder(F.col("content")))
         else:
             done = embed.embed_text(fresh, embedder=embedder, output="vector")
         columns = ["id", "text_hash", "vector"]
@@ -431,18 +458,11 @@ def map_data(
     """
     if isinstance(embeddings, np.ndarray) and embeddings.size == 0:
         raise ValueError("embeddings are empty")
-    modality = "embedding"
-    if indexed_field is not None:
-        if embeddings is not None:
-            warnings.warn("with an indexed_field the embeddings are ignored", stacklevel=2)
-            embeddings = None
-        modality = "text"
-    if blobs is not None:
-        if embeddings is not None:
-            raise ValueError("give blobs or embeddings, not both")
-        if build.get("embedder") is None:
-            raise ValueError("blobs need an image embedder")
-        modality, indexed_field = "image", "_blob_hash"
+    modality = _modality_of(indexed_field is not None, embeddings is not None, blobs is not None, build.get("embedder") is not None)
+    if modality != "embedding":
+        embeddings = None
+    if modality == "image":
+        indexed_field = None
     dataset = open_or_create(spark, root, identifier, modality, id_field, description)
     if dataset.total_datums > 0:
         raise ValueError("map_data cannot update a dataset that has rows")
@@ -454,10 +474,23 @@ def map_data(
     return dataset.create_index(identifier, indexed_field, **build)
 
 
+def _modality_of(field: bool, vectors_given: bool, blobs: bool, embedder: bool) -> str:
+    """What kind of dataset the given inputs make."""
+    given = (field, vectors_given, blobs)
+    if given == (False, True, True):
+        raise ValueError("give blobs or embeddings, not both")
+    if blobs and not embedder:
+        raise ValueError("blobs need an image embedder")
+    if field and vectors_given:
+        warnings.warn("with an indexed_field the embeddings are ignored", stacklevel=3)
+    return "image" if blobs else "text" if field else "embedding"
+
+
 def open_or_create(spark, root, identifier, modality, id_field=None, description="") -> Dataset:
-    try:
-        return Dataset(spark, root, identifier)
-    except ValueError:
-        return Dataset.create(
-            spark, root, identifier, modality=modality, id_field=id_field, description=description
-        )
+    """The dataset of that name; one that was dropped or does not exist is created, one of another kind is an error."""
+    if not Dataset.exists(spark, root, identifier):
+        return Dataset.create(spark, root, identifier, modality=modality, id_field=id_field, description=description)
+    found = Dataset(spark, root, identifier)
+    if (found.modality, found.id_field) != (modality, id_field):
+        raise ValueError(f"{identifier!r} holds {found.modality} rows with id field {found.id_field!r}")
+    return found

@@ -98,7 +98,22 @@ def test_bad_ids_leave_nothing_behind(spark, root, rows, error):
     bad = spark.createDataFrame(rows, "id string, text string")
     with pytest.raises(error):
         dataset.map_data(spark, root, "bad", bad, indexed_field="text", id_field="id", **FAST)
-    assert dataset.Dataset(spark, root, "bad").total_datums == 0
+    assert not dataset.Dataset.exists(spark, root, "bad")
+    good = dataset.open_or_create(spark, root, "bad", "text", "other")  # a retry may take other arguments
+    assert good.total_datums == 0 and good.id_field == "other"
+    with pytest.raises(ValueError, match="holds text rows"):
+        dataset.open_or_create(spark, root, "bad", "embedding", "other")
+
+
+def test_one_row_per_id_and_one_dimension(spark, root):
+    d = dataset.Dataset.create(spark, root, "v", modality="embedding", id_field="id")
+    rows = lambda *r: spark.createDataFrame(list(r), "id int, _embeddings array<float>")
+    d.add_data(rows((1, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [0.0, 1.0])))
+    assert d.total_datums == 2
+    d.add_data(rows((2, [0.0, 1.0])))
+    with pytest.raises(RowError, match="dimension differs"):
+        d.add_data(rows((3, [1.0, 0.0, 0.0])))
+    assert d.total_datums == 2
 
 
 def test_bad_builds(spark, root):
@@ -127,11 +142,13 @@ def test_image_map(spark, root):
     blobs = spark.createDataFrame([(i, bytes([i] * 5)) for i in range(6)], "id int, content binary")
 
     def by_hash(c):
-        return F.transform(F.sequence(F.lit(1), F.lit(4)), lambda i: F.ascii(F.substring(c, i, F.lit(1))).cast("double"))
+        return F.transform(F.sequence(F.lit(1), F.lit(4)), lambda i: F.ascii(F.substring(F.hex(c), i, F.lit(1))).cast("double"))
 
     with pytest.warns(UserWarning, match="no topics"):
         m = dataset.map_data(spark, root, "i", rows, blobs=blobs, id_field="id", **{**FAST, "embedder": by_hash, "topic_model": None})
-    assert m.latent.count() == 6
+    assert m.latent.count() == m.dataset.blobs.count() == 6
+    # the embedder sees the bytes: 03 03 ... in hex
+    assert m.latent.filter("id = 3").first()["vector"] == [float(ord(c)) for c in "0303"]
     with pytest.raises(ValueError, match="without topics"):
         m.topics
 

@@ -42,13 +42,13 @@ def test_tag_changes(spark, tagged):
 def test_content_types(spark):
     files = [
         ("x.pdf", b"%PDF-1.7"), ("x.PNG", b"\x89PNG\r\n\x1a\n.."), ("x.DOCX", b"PK\x03\x04.."), ("x.zip", b"PK\x03\x04.."),
-        ("x.webp", b"RIFF....WEBP"), ("x.txt", b"hello"), ("x", b""), ("x.tar", b"0" * 257 + b"ustar"),
+        ("x.webp", b"RIFF....WEBP"), ("x.txt", b"hello"), ("x", b""), ("x.xls", bytes.fromhex("D0CF11E0A1B11AE1")), ("x.tar", b"0" * 257 + b"ustar"),
     ]
     df = spark.createDataFrame(files, "path string, content binary")
     known, unknown = documents.detect_content_types(df)
     assert {r.path: r.content_type for r in known.collect()} == {
         "x.pdf": "application/pdf", "x.PNG": "image/png", "x.DOCX": documents.ZIP_OFFICE[".docx"],
-        "x.webp": "image/webp", "x.tar": "application/x-tar",
+        "x.webp": "image/webp", "x.tar": "application/x-tar", "x.xls": "application/vnd.ms-excel",
     }
     assert sorted(r.path for r in unknown.collect()) == ["x", "x.txt", "x.zip"]
 
@@ -70,13 +70,19 @@ BLOCKS = [
 ]
 
 
-@pytest.mark.parametrize("full", [False, True])
-def test_parse(spark, full):
+def test_parse(spark):
     df = spark.createDataFrame([(1, PAGE)], "id int, html string")
-    got = documents.block_rows(documents.parse_pages(df, full=full), "id").orderBy("position").collect()
+    got = documents.block_rows(documents.parse_pages(df), "id").orderBy("position").collect()
     assert [(r.kind, r.level, r.text) for r in got] == BLOCKS
 
 
+def test_character_references(spark):
+    texts = ["a &amp; b &lt; c", "&eacute;&copy 1&notit;&#233;&#x1F600;&#xD800;", "&&nope; &;&#;", "&AMP;amp;", "", None, "plain"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = [r[0] for r in df.select(documents.decode_references(F.col("t"))).collect()]
+    assert got == ["a & b < c", "é© 1¬it;é😀\ufffd", "&&nope; &;&#;", "&amp;", "", None, "plain"]
+
+
 def test_parse_modes(spark):
     df = spark.createDataFrame([(1, PAGE)], "id int, html string")
     with pytest.raises(NotImplementedError):
@@ -86,16 +92,21 @@ def test_parse_modes(spark):
 
 
 def test_extract(spark):
-    schema = {
-        "type": "array",
-        "items": {
-            "type": "object",
-            "properties": {"role": {"type": "string"}, "turn": {"type": ["integer", "null"]}, "last": {"type": "boolean"}},
+    parcel = {
+        "type": "object",
+        "properties": {
+            "sealed": {"type": "boolean"},
+            "grams": {"type": ["null", "number"]},
+            "stamps": {"type": "array", "items": {"type": "integer"}},
+            "to": {"type": "object", "properties": {"city": {"type": "string"}}},
         },
     }
-    df = spark.createDataFrame([(1, '[{"role": "a", "turn": 1, "last": true}, {"role": "b"}]'), (2, "no json")], "id int, j string")
-    got = {r.id: r.result for r in documents.extract_json(df, "j", schema).collect()}
-    assert [tuple(x) for x in got[1]] == [("a", 1, True), ("b", None, None)] and got[2] is None
+    texts = ['{"sealed": false, "grams": 2.5, "stamps": [7, 9], "to": {"city": "Ulm"}}', '{"stamps": []}', "torn label"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, j string")
+    got = {r.id: r.result for r in documents.extract_json(df, "j", parcel).collect()}
+    assert got[0].asDict(recursive=True) == {"sealed": False, "grams": 2.5, "stamps": [7, 9], "to": {"city": "Ulm"}}
+    assert tuple(got[1]) == (None, None, [], None)
+    assert got[2] is None or not any(got[2])
 
 
 @pytest.mark.parametrize(
