@@ -156,7 +156,7 @@ class Numbers(dict):
     def __missing__(self, word: str) -> int:
         self[word] = number = len(self.rows)
         self.rows.append(self.model.scores(word))
-        self.letters.append(len(word))
+        self.letters.append(sum(map(str.isalpha, word)))  # the pattern also takes superscripts and fractions
         return number
 
 
@@ -179,6 +179,9 @@ def label(model: Model, texts: list[str | None], numbers: Numbers, switch: float
             out.append({"lang": "und", "score": 0.0, "spans": [] if spans else None})
             continue
         weight = np.bincount(best[start:stop], letters[ids[start:stop]], len(model.languages))
+        if not weight.any():
+            out.append({"lang": "und", "score": 0.0, "spans": [] if spans else None})
+            continue
         top = int(weight.argmax())
         row = {"lang": model.languages[top], "score": float(weight[top] / weight.sum()), "spans": None}
         if spans:

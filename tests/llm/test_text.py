@@ -223,3 +223,10 @@ def test_viterbi_against_brute_force():
             value = lambda p: sum(own[i, x] for i, x in enumerate(p)) - 0.7 * sum(a != b for a, b in zip(p, p[1:]))  # noqa: B023, E731
             assert not n or tuple(got[at : at + n]) == max(product(range(3), repeat=int(n)), key=value)
             at += n
+
+
+def test_numerals_are_no_letters():
+    model = language.fit([("de", "^ab", 3), ("en", "^ac", 3)])
+    found = language.label(model, ["½ ²³", "m²", "", None, "12 --"], language.Numbers(model), spans=True)
+    assert [f["lang"] == "und" for f in found] == [True, False, True, True, True]
+    assert found[0] == {"lang": "und", "score": 0.0, "spans": []}
