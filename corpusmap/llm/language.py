@@ -10,7 +10,7 @@ import re
 from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -29,14 +29,14 @@ SCRIPTS = (
 STARTS = [start for start, _ in SCRIPTS]
 
 PER_LANGUAGE = 3000
-SWITCH, FLOOR = 12.0, -1e4
+SWITCH, FLOOR = 12.0, -100.0
 CACHE = 1 << 19
 SLICE = 1 << 22
 WORD = re.compile(r"[^\W\d_]+")
 
 
-def script(word: str) -> str:
-    return SCRIPTS[bisect_right(STARTS, ord(word[0])) - 1][1]
+def script(word: str) -> int:
+    return bisect_right(STARTS, ord(word[0])) - 1
 
 
 def grams(word: str) -> Iterator[str]:
@@ -44,46 +44,61 @@ def grams(word: str) -> Iterator[str]:
     return (padded[i : i + 3] for i in range(len(padded) - 2))
 
 
+def gram_codes(words: list[str]) -> np.ndarray:
+    """Every trigram of all words in turn as one number; a word of n characters has n."""
+    points = np.frombuffer("".join(f"^{w}$" for w in words).encode("utf-32-le", "surrogatepass"), "<u4").astype("i8")
+    codes = points[:-2] << 42 | points[1:-1] << 21 | points[2:]
+    ends = np.cumsum(np.fromiter(map(len, words), "i8", len(words)) + 2)
+    inside = np.ones(len(points), bool)
+    inside[ends - 1] = inside[ends - 2] = False
+    return codes[inside[:-2]]
+
+
 @dataclass
 class Model:
     """Log-probabilities of trigrams given their first two characters, and the scripts of each language."""
 
     languages: list[str]
-    tables: list[dict[str, float]]
-    unseen: list[float]
-    scripts: list[set[str]]
-    cache: dict = field(default_factory=dict)
-
-    def scores(self, word: str) -> list[float]:
-        """Zero for all candidates where no language uses the script, else far below for those that don't."""
-        name = script(word)
-        fits = [name in used for used in self.scripts]
-        if not any(fits):
-            return [0.0] * len(fits)
-        if len(word) > 40:
-            word = word[:20] + word[-20:]
-        parts = list(grams(word))
-        return [
-            sum(table.get(g, unseen) for g in parts) if fit else FLOOR for table, unseen, fit in zip(self.tables, self.unseen, fits)
-        ]
+    codes: np.ndarray  # of all known trigrams, ascending
+    tables: np.ndarray  # language, trigram; the last column stands for trigrams never seen
+    fits: np.ndarray  # script range, language; true for all languages where none uses the script
+
+    def scores(self, words: list[str]) -> np.ndarray:
+        """A row for each word; languages of other scripts get far less than any that fits."""
+        out = np.zeros((len(words), len(self.languages)))
+        if not out.size:
+            return out
+        codes = gram_codes(words)
+        at = np.minimum(np.searchsorted(self.codes, codes), len(self.codes) - 1)
+        at[self.codes[at] != codes] = len(self.codes)
+        lengths = np.fromiter(map(len, words), "i8", len(words))
+        heads = np.cumsum(lengths) - lengths
+        for own, table in enumerate(self.tables):
+            out[:, own] = np.add.reduceat(table[at], heads)
+        first = np.searchsorted(STARTS, np.fromiter((ord(w[0]) for w in words), "i8", len(words)), "right") - 1
+        known = self.fits[first].any(axis=1, keepdims=True)
+        return np.where(self.fits[first], out, FLOOR * lengths[:, None]) * known
 
 
 def fit(counts: list[tuple[str, str, int]], smoothing: float = 0.5) -> Model:
     """A model from counts by language and trigram."""
     languages = sorted({lang for lang, _, _ in counts})
-    tables, unseen, scripts = [], [], []
-    every = {g for _, g, _ in counts}
-    for lang in languages:
+    every = sorted({g for _, g, _ in counts}, key=lambda g: tuple(map(ord, g)))
+    kinds = len({g[2] for g in every}) or 1
+    place = {name: i for i, (_, name) in reversed(list(enumerate(SCRIPTS)))}
+    groups = np.array([place[name] for _, name in SCRIPTS])  # ranges of one script share a group
+    tables = np.full((len(languages), len(every) + 1), np.log(1 / kinds) - 2)
+    fits = np.zeros((len(SCRIPTS), len(languages)), bool)
+    for at, lang in enumerate(languages):
         own = {g: n for name, g, n in counts if name == lang}
         heads, used = Counter(), Counter()
         for g, n in own.items():
             heads[g[:2]] += n
-            used[script(g[1])] += n
-        kinds = len({g[2] for g in every}) or 1
-        tables.append({g: float(np.log((own.get(g, 0) + smoothing) / (heads[g[:2]] + smoothing * kinds))) for g in every})
-        unseen.append(float(np.log(1 / kinds)) - 2)
-        scripts.append({s for s, n in used.items() if n >= 0.01 * sum(own.values())})
-    return Model(languages, tables, unseen, scripts)
+            used[groups[script(g[1])]] += n
+        tables[at, :-1] = [np.log((own.get(g, 0) + smoothing) / (heads[g[:2]] + smoothing * kinds)) for g in every]
+        fits[:, at] = np.isin(groups, [s for s, n in used.items() if n >= 0.01 * sum(own.values())])
+    codes = np.array([ord(g[0]) << 42 | ord(g[1]) << 21 | ord(g[2]) for g in every], "i8")
+    return Model(languages, codes, tables, fits)
 
 
 def train(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = PER_LANGUAGE) -> Model:
@@ -103,7 +118,7 @@ def train(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str
         for batch in batches:
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 for word, n in Counter(WORD.findall(text.as_py().lower())).items():
-                    for g in grams(word[:20]):
+                    for g in grams(word):
                         found[lang, g] += n
         rows = sorted(found.items())
         yield pa.record_batch(
@@ -148,17 +163,27 @@ def viterbi(scores: np.ndarray, lengths: np.ndarray, switch: float = SWITCH) ->
 
 
 class Numbers(dict):
-    """Row of each word in a growing table of scores and letters."""
+    """Row of each word in growing tables of scores and letters; ``settle`` fills the rows of new words."""
 
     def __init__(self, model: Model):
-        self.model, self.rows, self.letters = model, [], []
+        self.model, self.new, self.settled = model, [], 0
+        self.scores, self.letters = np.zeros((1024, len(model.languages))), np.zeros(1024, "i8")
 
     def __missing__(self, word: str) -> int:
-        self[word] = number = len(self.rows)
-        self.rows.append(self.model.scores(word))
-        self.letters.append(sum(map(str.isalpha, word)))  # the pattern also takes superscripts and fractions
+        self[word] = number = len(self)
+        self.new.append(word)
         return number
 
+    def settle(self) -> None:
+        if len(self) > len(self.letters):
+            more = 2 * len(self) - len(self.letters)
+            self.scores, self.letters = np.pad(self.scores, ((0, more), (0, 0))), np.pad(self.letters, (0, more))
+        rows = slice(self.settled, len(self))
+        self.scores[rows] = self.model.scores(self.new)
+        # the pattern also takes superscripts and fractions
+        self.letters[rows] = [len(w) if w.isalpha() else sum(map(str.isalpha, w)) for w in self.new]
+        self.new, self.settled = [], len(self)
+
 
 def label(model: Model, texts: list[str | None], numbers: Numbers, switch: float = SWITCH, spans: bool = False) -> list[dict]:
     """Language, its share of the letters, and on request spans of each text."""
@@ -169,9 +194,10 @@ def label(model: Model, texts: list[str | None], numbers: Numbers, switch: float
         lengths.append(len(found))
     if not model.languages:
         return [{"lang": "und", "score": 0.0, "spans": [] if spans else None} for _ in texts]
+    numbers.settle()
     ids, lengths = np.array(ids, "i8"), np.array(lengths, "i8")
-    scores, letters = np.array(numbers.rows).reshape(-1, len(model.languages)), np.array(numbers.letters, "i8")
-    best = viterbi(scores[ids], lengths, switch)
+    letters = numbers.letters
+    best = viterbi(numbers.scores[ids], lengths, switch)
     stops = np.cumsum(lengths)
     out = []
     for start, stop in zip(stops - lengths, stops):
