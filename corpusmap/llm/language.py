@@ -106,11 +106,19 @@ def train(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str
 
     ``learn`` is a condition on ``id_col``. Rows with a null id, text or language are not learnt from.
     """
-    rank = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
-    drawn = (
+    ids = (
         docs.filter(learn & F.col(id_col).isNotNull() & F.col(lang_col).isNotNull())
         .select(F.col(id_col).alias("id"), F.col(lang_col).cast("string").alias("lang"))
-        .withColumn("n", F.row_number().over(rank)).filter(F.col("n") <= per_language).select("id", "lang").distinct()
+        .withColumn("h", F.xxhash64("id")).withColumn("bin", F.shiftright("h", 48))
+    )
+    # whole bins of hashes first: only those that reach into the draw are ranked, however many rows a language has
+    below = F.sum("n").over(Window.partitionBy("lang").orderBy("bin")) - F.col("n")
+    cut = ids.groupBy("lang", "bin").agg(F.count(F.lit(1)).alias("n")).withColumn("below", below)
+    cut = cut.filter(F.col("below") < per_language).groupBy("lang").agg(F.max("bin").alias("last"))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("h", "id"))
+    drawn = (
+        ids.join(cut, "lang").filter("bin <= last").withColumn("rank", rank)
+        .filter(F.col("rank") <= per_language).select("id", "lang").distinct()
     )
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
