@@ -122,7 +122,7 @@ def topic_model_flat(spark, folder):
 
 
 def projection_2d(spark, folder):
-    return projection.project(_points(spark, folder), projection.ProjectionOptions(n_epochs=6))
+    return projection.project(_points(spark, folder))
 
 
 def _plane(spark, folder):

@@ -6,6 +6,8 @@ import numpy as np
 import pyarrow as pa
 
 METRICS = ("l2", "cosine", "dot", "hamming")
+# So many numbers of either side are gathered at a time.
+GATHER = 1 << 22
 
 
 def matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
@@ -72,11 +74,11 @@ def keep_nearest(query: np.ndarray, distance: np.ndarray, ids: np.ndarray, k: in
 
 
 def nearest_in_block(
-    q: np.ndarray, x: np.ndarray, k: int, metric: str, q_ids=None, x_ids=None
+    q: np.ndarray, x: np.ndarray, k: int, metric: str, x_ids: np.ndarray, q_ids: np.ndarray | None = None
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(query row, x row, distance) of all pairs that can be among the k nearest, ties included.
+    """(query row, x row, distance) of each query's k nearest, ties to the smaller id.
 
-    With ids given, a row is never its own neighbour. Inputs are already prepared for the metric.
+    With ids of queries given, a row is never its own neighbour. Inputs are already prepared for the metric.
     """
     if not len(q) or not len(x):
         empty = np.array([], dtype=int)
@@ -91,7 +93,14 @@ def nearest_in_block(
     # Slack for the rounding of the matrix product, so that ties at the edge all survive.
     slack = 1e-9 * (1.0 + (q * q).sum(1) + (x * x).sum(1).max())
     rows, cols = np.nonzero((rough <= (bound + slack)[:, None]) & np.isfinite(rough))
-    return rows, cols, pair_distances(q[rows], x[cols], metric)
+    distance, run = np.empty(len(rows)), max(1, GATHER // max(1, x.shape[1]))
+    for start in range(0, len(rows), run):
+        part = slice(start, start + run)
+        distance[part] = pair_distances(q[rows[part]], x[cols[part]], metric)
+    turn = np.empty(len(x), int)
+    turn[np.argsort(x_ids, kind="stable")] = np.arange(len(x))
+    keep = keep_nearest(rows, distance, turn[cols], k)
+    return rows[keep], cols[keep], distance[keep]
 
 
 def merge_labels(labels: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:

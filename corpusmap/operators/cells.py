@@ -209,18 +209,16 @@ def _search(
 
     def search(asked_rows: pa.Table, stored: pa.Table) -> pa.Table:
         q, x = blocks.matrix(asked_rows["vector"]), blocks.matrix(stored["vector"])
-        q_key = x_key = None
-        if exclude_self:
-            q_key, x_key = blocks.order_key(asked_rows["id"]), blocks.order_key(stored["id"])
+        x_key = blocks.order_key(stored["id"])
+        q_key = blocks.order_key(asked_rows["id"]) if exclude_self else None
         found = []
         step = max(1, (1 << 22) // max(1, len(x)))
         for start in range(0, len(q), step):
             part = slice(start, start + step)
             at, col, distance = blocks.nearest_in_block(
-                q[part], x, k, metric, None if q_key is None else q_key[part], x_key
+                q[part], x, k, metric, x_key, None if q_key is None else q_key[part]
             )
-            keep = blocks.keep_nearest(at, distance, blocks.order_key(stored["id"])[col], k)
-            found.append((at[keep] + start, col[keep], distance[keep]))
+            found.append((at + start, col, distance))
         at, col, distance = (
             (np.concatenate([f[i] for f in found]) for i in range(3)) if found else ([], [], [])
         )

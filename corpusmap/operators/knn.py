@@ -88,7 +88,7 @@ def search_by_vector(
             if not len(q):
                 continue
             x = blocks.prepare(blocks.matrix(batch.column(1)), metric)
-            at, col, distance = blocks.nearest_in_block(q, x, k, metric)
+            at, col, distance = blocks.nearest_in_block(q, x, k, metric, blocks.order_key(batch.column(0)))
             found = pa.table(
                 {"query": at, "id": batch.column(0).take(pa.array(col)), "distance": distance}
             )

@@ -142,3 +142,11 @@ def test_many_dot_queries(spark, monkeypatch):
 def test_ragged_vectors():
     with pytest.raises(ValueError):
         blocks.matrix(pa.array([[1.0, 2.0], [1.0] * 6]))
+
+
+def test_ties_are_bounded_by_k():
+    same = np.ones((600, 8))
+    at, col, distance = blocks.nearest_in_block(same, same, 5, "l2", np.arange(600)[::-1])
+    assert len(at) == 3000 and set(col) == set(range(595, 600)) and not distance.any()
+    at, col, _ = blocks.nearest_in_block(same[:2], same[:3], 2, "l2", np.array(["c", "a", "b"]), np.array(["a", "x"]))
+    assert list(zip(at, col)) == [(0, 2), (0, 0), (1, 1), (1, 2)]
