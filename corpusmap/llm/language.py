@@ -115,9 +115,10 @@ def train(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str
     below = F.sum("n").over(Window.partitionBy("lang").orderBy("bin")) - F.col("n")
     cut = ids.groupBy("lang", "bin").agg(F.count(F.lit(1)).alias("n")).withColumn("below", below)
     cut = cut.filter(F.col("below") < per_language).groupBy("lang").agg(F.max("bin").alias("last"))
+    # one small row per language, fewer than the model holds; joined so, rows beyond the draw are never shuffled
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("h", "id"))
     drawn = (
-        ids.join(cut, "lang").filter("bin <= last").withColumn("rank", rank)
+        ids.join(F.broadcast(cut), "lang").filter("bin <= last").withColumn("rank", rank)
         .filter(F.col("rank") <= per_language).select("id", "lang").distinct()
     )
 
