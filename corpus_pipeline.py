@@ -63,7 +63,8 @@ def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with the ids of their text."""
-    encoded = pieces.encode(docs, pieces.load(spark, MODEL_FILE))
+    model = pieces.load(spark, MODEL_FILE)
+    encoded = pieces.encode(docs, model, reader=pieces.reader_of(model))
     return encoded.withColumn("n_tokens", F.size("token_ids").cast("long"))
 
 

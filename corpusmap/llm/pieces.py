@@ -1,8 +1,11 @@
-"""SentencePiece encoding and decoding by a max-plus parallel scan.
+"""SentencePiece encoding and decoding: merges of BPE models, a max-plus parallel scan of unigram models.
 
-The model file's pieces and scores are read as a unigram lattice: the encoding of a text is the
-segmentation with the largest sum of scores. Scores of the file are whole numbers, so sums are
-exact and grouping them differently changes nothing. A giant text is cut into chunks; each chunk
+The scores of a BPE file rank its merges and don't add up, so such a file is encoded by its merges
+(``Merges``); a pair of characters that no piece holds is never merged across, so texts are cut there.
+
+``Pieces`` reads pieces and scores as a unigram lattice: the encoding of a text is the segmentation
+with the largest sum of scores. Scores are scaled to whole numbers without rounding, so sums are exact
+and grouping them differently changes nothing. A giant text is cut into chunks; each chunk
 gives a matrix from the best scores at the last positions before it to those at its own last
 positions, in max-plus algebra. Folding the matrices gives every chunk its entry scores; each chunk
 then traces back on its own from every exit, and chaining these traces picks the one that counts.
@@ -20,6 +23,7 @@ import pyarrow as pa
 import sentencepiece
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.functions import arrow_udf
+from sentencepiece import sentencepiece_model_pb2 as model_pb2
 
 from corpusmap.llm.common import as_bytes, slices
 from corpusmap.session import cut_lineage
@@ -71,9 +75,13 @@ class Pieces:
             if processor.is_byte(i):
                 self.byte_ids[int(name[3:5], 16)] = i
             elif self.bytes_of[i]:
-                self.ids[name.replace("▁", " ")] = (i, round(processor.get_score(i)))
+                self.ids[name.replace("▁", " ")] = (i, processor.get_score(i))
+        self.scale = max(score.as_integer_ratio()[1] for _, score in self.ids.values())
+        if self.scale > 1 << 40 or max(abs(score) for _, score in self.ids.values()) * self.scale > 1 << 44:
+            raise ValueError("scores of the model are too fine to be summed exactly")
+        self.ids = {name: (i, int(score * self.scale)) for name, (i, score) in self.ids.items()}
         least = min(score for _, score in self.ids.values())
-        self.unknown = least - UNKNOWN_PENALTY
+        self.unknown = least - UNKNOWN_PENALTY * self.scale
         #: Scores of pieces; beginnings that are no piece themselves have None.
         self.tree: dict[str, int | None] = {name[:i]: None for name in self.ids for i in range(1, len(name))}
         self.tree.update((name, score) for name, (_, score) in self.ids.items())
@@ -316,6 +324,58 @@ class Pieces:
         return head + self.middle(text[first:last]) + tail
 
 
+class Merges(Pieces):
+    """Pieces of a BPE model, and the segmentation of strings by its merges: the ids of the library.
+
+    The mark itself, where a text has it, goes through the byte pieces; the library would take it for a space.
+    """
+
+    def __init__(self, model: bytes):
+        super().__init__(model)
+        spec = model_pb2.ModelProto()
+        spec.ParseFromString(model)
+        spec.normalizer_spec.CopyFrom(
+            model_pb2.NormalizerSpec(name="identity", add_dummy_prefix=False, remove_extra_whitespaces=False, escape_whitespaces=True)
+        )
+        self.processor = sentencepiece.SentencePieceProcessor(model_proto=spec.SerializeToString())
+        self.pairs = {name[i : i + 2] for name in self.ids for i in range(len(name) - 1)}
+        self.mark = tuple(self.byte_ids[b] for b in "▁".encode())
+
+    def best(self, text: str) -> tuple[int, ...]:
+        """Ids of a whole string on its own."""
+        out: list[int] = []
+        for i, part in enumerate(text.split("▁")):
+            out += self.mark if i else ()
+            out += self.processor.encode(part) if part else ()
+        return tuple(out)
+
+    def best_of(self, texts: list[str]) -> list[bytes]:
+        """Ids of many short strings."""
+        plain = [t for t in texts if "▁" not in t]
+        coded = iter(self.processor.encode(plain, num_threads=1) if plain else [])
+        return [np.array(self.best(t) if "▁" in t else next(coded), "i4").tobytes() for t in texts]
+
+    def cuts(self, text: str, chunk: int) -> Iterator[str]:
+        """The text in parts of about ``chunk`` characters, or as many more as hang together."""
+        start = 0
+        while start < len(text):
+            end = min(start + chunk, len(text))
+            while end < len(text) and text[end - 1 : end + 1] in self.pairs:
+                end += 1
+            yield text[start:end]
+            start = end
+
+
+def reader_of(model: bytes) -> type[Pieces]:
+    """How the ids of a model are found."""
+    spec = model_pb2.ModelProto()
+    spec.ParseFromString(model)
+    kinds = {spec.trainer_spec.BPE: Merges, spec.trainer_spec.UNIGRAM: Pieces}
+    if spec.trainer_spec.model_type not in kinds:
+        raise ValueError("only BPE and unigram models can be read")
+    return kinds[spec.trainer_spec.model_type]
+
+
 def max_plus(vector: np.ndarray, matrix: np.ndarray) -> np.ndarray:
     return np.maximum((vector[:, None] + matrix).max(axis=0), NEVER)
 
@@ -330,7 +390,7 @@ def load(spark, model_file: str) -> bytes:
     return bytes(spark.read.format("binaryFile").load(model_file).select("content").first()[0])
 
 
-def encode_column(spark, model: bytes, text: Column) -> Column:
+def encode_column(spark, model: bytes, text: Column, reader: type[Pieces] = Pieces) -> Column:
     """``ids, exact`` of texts that one task can take whole; ``exact`` says whether decoding gives the text back.
 
     Decoding in the same pass spares a second way of all ids through a worker.
@@ -339,7 +399,7 @@ def encode_column(spark, model: bytes, text: Column) -> Column:
 
     @arrow_udf("struct<ids:array<int>,exact:boolean>")
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        pieces = Pieces(held.value)
+        pieces = reader(held.value)
         for batch in batches:
             parts, offsets, exact = [], [0], []
             for first, last in slices(as_bytes(batch), SLICE):
@@ -375,30 +435,56 @@ def decode_column(spark, model: bytes, ids: Column) -> Column:
 
 
 def encode(
-    docs: DataFrame, model: bytes, text_col: str = "text", out_col: str = "token_ids", chunk: int = CHUNK, exact_col: str | None = None
-) -> DataFrame:
+    docs: DataFrame, model: bytes, text_col: str = "text", out_col: str = "token_ids", chunk: int = CHUNK, exact_col: str | None = None,
+    reader: type[Pieces] = Pieces,
+) -> DataFrame:
     """``docs`` with the ids of every whole text, and on request whether decoding gives it back.
 
-    Texts of more than ``chunk`` characters go through the scan, the others whole through one task.
+    Texts of more than ``chunk`` characters go through the scan, or in parts through the merges, the others whole through one task.
+    ``reader_of`` names the reader that gives a model's own ids.
     Null texts get null, empty ones an empty array; equal texts get equal ids, repeated rows stay, and
     decoding gives back every text exactly.
     """
     spark = docs.sparkSession
     long = F.coalesce(F.char_length(F.col(text_col).cast("string")) > chunk, F.lit(False))
-    short = docs.filter(~long).withColumn("piece_out", encode_column(spark, model, F.col(text_col)))
+    short = docs.filter(~long).withColumn("piece_out", encode_column(spark, model, F.col(text_col), reader))
     short = short.select(*docs.columns, F.col("piece_out.ids").alias(out_col), *([F.col("piece_out.exact").alias(exact_col)] if exact_col else []))
     giant = docs.filter(long)
     if giant.isEmpty():
         return short
     key = F.sha2(F.col(text_col).cast("string"), 256)
     texts = giant.select(key.alias("piece_key"), F.col(text_col).cast("string").alias("text")).dropDuplicates(["piece_key"])
-    scanned = encode_giant(texts, model, chunk).select("piece_key", F.col("token_ids").alias(out_col))
+    scanned = (merge_giant if reader is Merges else encode_giant)(texts, model, chunk).select("piece_key", F.col("token_ids").alias(out_col))
     giant = giant.withColumn("piece_key", key).join(scanned, "piece_key").drop("piece_key")
     if exact_col:
         giant = giant.withColumn(exact_col, decode_column(spark, model, F.col(out_col)).eqNullSafe(F.col(text_col).cast("string")))
     return short.unionByName(giant)
 
 
+def merge_giant(texts: DataFrame, model: bytes, chunk: int = CHUNK) -> DataFrame:
+    """``piece_key, token_ids`` for ``piece_key, text`` by the merges of a model, part by part; ``piece_key`` is unique."""
+    held = texts.sparkSession.sparkContext.broadcast(model)
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pieces = Merges(held.value)
+        for batch in batches:
+            for key, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+                for k, part in enumerate(pieces.cuts(" " + text.as_py(), chunk)):
+                    yield pa.record_batch([pa.array([key], pa.string()), pa.array([k], pa.int64()), pa.array([part], pa.string())], ["piece_key", "k", "chunk"])
+
+    chunks = cut_lineage(texts.select("piece_key", "text").mapInArrow(cut, "piece_key string, k bigint, chunk string"))
+
+    def spell(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        pieces = Merges(held.value)
+        for b in batches:
+            yield pd.DataFrame({"piece_key": b.piece_key, "k": b.k, "ids": [list(pieces.best(part)) for part in b["chunk"]]})
+
+    width = F.pmod(F.xxhash64("piece_key", "k"), F.lit(1 << 20))  # parts of one text over all tasks
+    spelled = chunks.repartition(width).mapInPandas(spell, "piece_key string, k bigint, ids array<int>")
+    whole = spelled.groupBy("piece_key").agg(F.array_sort(F.collect_list(F.struct("k", "ids"))).alias("parts"))
+    return whole.select("piece_key", F.flatten(F.transform("parts", lambda p: p["ids"])).alias("token_ids"))
+
+
 def encode_giant(texts: DataFrame, model: bytes, chunk: int = CHUNK) -> DataFrame:
     """``piece_key, token_ids`` for ``piece_key, text``, chunk by chunk; ``piece_key`` is unique."""
     held = texts.sparkSession.sparkContext.broadcast(model)
@@ -430,6 +516,7 @@ def encode_giant(texts: DataFrame, model: bytes, chunk: int = CHUNK) -> DataFram
         for m in b.m:
             out.append(now.tolist())
             now = max_plus(now, np.frombuffer(m, "i8").reshape(longest, longest))
+            now = np.where(now > NEVER, now - now.max(), NEVER)  # only differences count; sums stay small
         return pd.DataFrame({"piece_key": b.piece_key, "k": b.k, "entry": out})
 
     folded = dealt.mapInPandas(matrices, "piece_key string, k bigint, m binary").groupBy("piece_key").applyInPandas(

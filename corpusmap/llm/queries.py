@@ -29,7 +29,7 @@ def op2_neighbours(spark, folder):
 def op3_sentencepiece(spark, folder):
     """Ids of every document, and whether decoding gives the text back."""
     model = pieces.load(spark, MODEL_FILE)
-    docs = pieces.encode(table(spark, folder, "documents").select("doc_id", "text"), model, exact_col="round_trip")
+    docs = pieces.encode(table(spark, folder, "documents").select("doc_id", "text"), model, exact_col="round_trip", reader=pieces.reader_of(model))
     return docs.select("doc_id", F.size("token_ids").cast("long").alias("n_tokens"), "token_ids", "round_trip")
 
 
