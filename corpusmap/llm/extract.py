@@ -28,6 +28,10 @@ BLOCK = frozenset(
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Tags whose content is never text of the page.
 HIDDEN = frozenset("script style head title noscript template textarea svg math iframe object select button canvas audio video".split())
+#: Of these, those whose content holds no tags; without an end tag they run to the end of the page.
+RAW = frozenset("script style title textarea iframe".split())
+#: Block tags that end drawings and formulas.
+BREAKOUT = frozenset("blockquote body center dd div dl dt h1 h2 h3 h4 h5 h6 hr li menu ol p pre table ul".split())
 #: Open tags that a tag closes by itself, up to the nearest listed parent.
 CLOSES = {"p": ("p",), "li": ("li",), "dd": ("dd", "dt"), "dt": ("dd", "dt"), "td": ("td", "th"), "th": ("td", "th"), "tr": ("tr",), "option": ("option",)}
 SCOPE = frozenset("ul ol dl table menu article section div body".split())
@@ -49,11 +53,15 @@ class Block:
 
 
 def blocks(page: str) -> list[Block]:
-    """The text blocks of a page in order. White space within one is a single space."""
+    """The text blocks of a page in order. White space within one is a single space.
+
+    A hidden tag without its end tag ends with the block it stands in; a head also at the body or the first block.
+    """
     out: list[Block] = []
     open_tags: list[tuple[str, list[str], int | None]] = []
     text: list[str] = []
     links, linked = 0, 0
+    hidden: list[tuple[str, list[str]]] = []  # open hidden tags, each with the open tags within it
 
     def close_block() -> None:
         nonlocal text, linked
@@ -64,11 +72,37 @@ def blocks(page: str) -> list[Block]:
                 out.append(Block(joined, linked, [t for t, _, _ in open_tags], [n for _, names, _ in open_tags for n in names], keep))
         text, linked = [], 0
 
+    def still_hidden(name: str, ends: bool, empty: bool) -> bool:
+        """Whether a tag stands within hidden ones, which it may open or end."""
+        if ends:
+            for i in range(len(hidden) - 1, -1, -1):
+                if hidden[i][0] == name:
+                    del hidden[i:]
+                    return True
+                if name in hidden[i][1]:
+                    del hidden[i + 1 :], hidden[i][1][len(hidden[i][1]) - 1 - hidden[i][1][::-1].index(name) :]
+                    return True
+            if name in BLOCK and any(tag == name for tag, _, _ in open_tags):
+                hidden.clear()
+            return bool(hidden)
+        if name == "body" and hidden[0][0] == "head":
+            hidden.clear()
+        while hidden and (hidden[-1][0] == "head" and name in BLOCK or hidden[-1][0] in ("svg", "math") and name in BREAKOUT and "foreignobject" not in hidden[-1][1]):
+            hidden.pop()
+        if not hidden:
+            return False
+        if name in HIDDEN:
+            if not empty and not (name == hidden[-1][0] and name in ("button", "select")):
+                hidden.append((name, []))
+        elif (name in BLOCK or name == "foreignobject") and name not in VOID and not empty:
+            hidden[-1][1].append(name)
+        return True
+
     at = 0
     while True:
         m = TAG.search(page, at)
         piece = page[at : m.start() if m else len(page)]
-        if piece:
+        if piece and not hidden:
             text.append(piece)
             if links:
                 linked += len(piece.strip())
@@ -78,6 +112,13 @@ def blocks(page: str) -> list[Block]:
         name = m[2].lower() if m[2] else ""
         if not name:
             continue
+        empty = m[0].endswith("/>")
+        if name in RAW and not m[1]:
+            end = re.compile(rf"</{name}\s*>", re.IGNORECASE).search(page, at) if not empty else None
+            at = end.end() if end else (at if empty else len(page))
+            continue
+        if hidden and still_hidden(name, bool(m[1]), empty):
+            continue
         if m[1]:
             if name == "a":
                 links = max(0, links - 1)
@@ -88,8 +129,8 @@ def blocks(page: str) -> list[Block]:
                         del open_tags[i:]
                         break
         elif name in HIDDEN:
-            end = re.compile(rf"</{name}\s*>", re.IGNORECASE).search(page, at) if not m[0].endswith("/>") else None
-            at = end.end() if end else (at if m[0].endswith("/>") else len(page))
+            if not empty:
+                hidden.append((name, []))
         elif name == "br":
             text.append(" ")
         elif name == "a":
