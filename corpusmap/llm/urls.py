@@ -5,12 +5,18 @@ Column expressions and joins only.
 
 from __future__ import annotations
 
+from math import ceil, log
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from corpusmap.session import cut_lineage, discard
 
 A_TO_Z = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-STEPS, DAMPING, THRESHOLD = 10, 0.85, 1e-9
+DAMPING, THRESHOLD = 0.85, 1e-9
+#: How much of all trust and distrust together may not have moved at the end of the walks; under the threshold.
+TOLERANCE = 1e-10
+#: Steps of the SQL, which cannot go on until the rest is small.
+STEPS = 10
 
 Rule = tuple[str, str, str]  # verdict, host, path
 
@@ -47,31 +53,40 @@ def host_links(pages: DataFrame, host: Column, html_col: str = "html") -> DataFr
     )
 
 
-def spread(links: DataFrame, seeds: DataFrame, steps: int = STEPS, damping: float = DAMPING) -> DataFrame:
+def spread(links: DataFrame, seeds: DataFrame, tolerance: float = TOLERANCE, damping: float = DAMPING) -> DataFrame:
     """``host, trust, distrust`` after personalised PageRank from ``host, trusted, blocked`` seeds.
 
     Trust follows links from the trusted seeds; distrust goes against them from the blocked ones, so
     a host that links to blocked hosts is suspect. Both walks share each step: one join on the host,
-    one sum that combines before its shuffle.
+    one sum that combines before its shuffle. They go on until what has not moved, over all hosts, is at most
+    ``tolerance``: after n steps that is at most ``damping ** (n + 1)`` of the seeds, and at most
+    ``damping / (1 - damping)`` of the last change, so the walks end early where links run out.
     """
     restart = seeds.selectExpr("host", "stack(2, 0, trusted, 1, blocked) as (kind, seed)").filter("seed > 0")
     state = cut_lineage(restart.select("host", "kind", ((1 - damping) * F.col("seed")).alias("score")))
     ways = links.selectExpr("stack(2, 0, a, b, 1, b, a) as (kind, host, onto)", "n")
     total = ways.groupBy("kind", "host").agg(F.sum("n").alias("total"))
     ways = cut_lineage(ways.join(total, ["kind", "host"]).select("kind", "host", "onto", (F.col("n") / F.col("total")).alias("share")))
-    for _ in range(0 if ways.isEmpty() else steps):
-        moved = ways.join(state, ["kind", "host"]).select(F.col("onto").alias("host"), "kind", (damping * F.col("score") * F.col("share")).alias("score"))
+    mass = restart.agg(F.sum("seed")).first()[0] or 0.0
+    most = max(0, ceil(log(tolerance / mass) / log(damping))) if mass > tolerance else 0
+    again = restart.select("host", "kind", ((1 - damping) * F.col("seed")).alias("score"), F.lit(0.0).alias("old"))
+    for _ in range(0 if ways.isEmpty() else most):
+        moved = ways.join(state, ["kind", "host"]).select(
+            F.col("onto").alias("host"), "kind", (damping * F.col("score") * F.col("share")).alias("score"), F.lit(0.0).alias("old")
+        )
+        last = state.select("host", "kind", F.lit(0.0).alias("score"), F.col("score").alias("old"))
         before = state
-        again = restart.select("host", "kind", ((1 - damping) * F.col("seed")).alias("score"))
-        state = cut_lineage(moved.unionByName(again).groupBy("host", "kind").agg(F.sum("score").alias("score")))
+        state = cut_lineage(moved.unionByName(again).unionByName(last).groupBy("host", "kind").agg(F.sum("score").alias("score"), F.sum("old").alias("old")))
         discard(before)
+        if state.agg(F.sum(F.abs(F.col("score") - F.col("old")))).first()[0] * damping <= tolerance * (1 - damping):
+            break
     one = lambda kind: F.coalesce(F.sum(F.when(F.col("kind") == kind, F.col("score"))), F.lit(0.0))
     return state.groupBy("host").agg(one(0).alias("trust"), one(1).alias("distrust"))
 
 
 def judge_urls(
     pages: DataFrame, rules: list[Rule], url_col: str = "url", html_col: str = "html", threshold: float = THRESHOLD,
-    steps: int = STEPS, damping: float = DAMPING,
+    tolerance: float = TOLERANCE, damping: float = DAMPING,
 ) -> DataFrame:
     """``pages`` with a column ``url_verdict``: host, path, rule, verdict, trust and distrust.
 
@@ -88,7 +103,7 @@ def judge_urls(
         marked.filter("url_found.host <> ''").groupBy(F.col("url_found.host").alias("host"))
         .agg(share("allow").alias("trusted"), share("block").alias("blocked"))
     )
-    known = spread(host_links(pages, host, html_col), seeds, steps, damping).withColumnsRenamed(
+    known = spread(host_links(pages, host, html_col), seeds, tolerance, damping).withColumnsRenamed(
         {"host": "url_host", "trust": "url_trust", "distrust": "url_distrust"}
     )
     joined = marked.join(known, F.col("url_found.host") == F.col("url_host"), "left")
