@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from corpusmap.llm import decontaminate, extract, language, neighbours, pieces, pii, simhash, substring, toxicity, urls
+from corpusmap.llm import decontaminate, extract, language, neighbours, pieces, pii, quality, runs, simhash, substring, toxicity, urls
 from corpusmap.sources.tables import table
 
 MODEL_FILE = "/opt/tokenizers/piece_bpe_32k.model"
@@ -90,11 +90,42 @@ def op10_urls(spark, folder):
     return found.select("page_id", "url_verdict.host", "url_verdict.path", "url_verdict.rule", "url_verdict.verdict")
 
 
+def op11_quality(spark, folder):
+    """Faults of every document, and whether it is kept."""
+    trusted = table(spark, folder, "labels").filter("quality = 1")
+    found = quality.assess(table(spark, folder, "documents").select("doc_id", "text"), trusted)
+    return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+def with_cycles(docs):
+    """Some documents made periodic from some word on, by the CRC-32 of their id."""
+    h, words = F.crc32(F.col("doc_id").cast("string")), F.regexp_extract_all("text", F.lit(r"([^\x20\x09-\x0D]+)"), F.lit(1))
+    some = docs.withColumn("h", h).withColumn("w", F.when(F.col("h") % 10 == 0, words)).selectExpr("*", "floor(h / 10) as g", "size(w) as n")
+    some = some.selectExpr("doc_id", "text", "w", "g", "n", "if(n > 0, cast(g % n as int), 0) as a")
+    some = some.selectExpr("*", "cast(1 + floor((n - a) / (3 + g % 8)) as int) as p")
+    cycle = "slice(flatten(array_repeat(slice(w, a + 1, p), cast(ceil((n - a) / p) as int))), 1, n - a)"
+    return some.selectExpr("doc_id", f"if(n > 0, array_join(concat(slice(w, 1, a), {cycle}), ' '), text) as text")
+
+
+def op12_runs(spark, folder):
+    """Periodic runs of every document, and its text without their repeats."""
+    docs = with_cycles(table(spark, folder, "documents").select("doc_id", "text"))
+    found = docs.select("doc_id", runs.periodic(F.col("text")).alias("f"))
+    more = "x.length * acc.period > acc.length * x.period"
+    best = F.expr(f"if(size(f.runs) = 0, null, aggregate(slice(f.runs, 2, size(f.runs)), f.runs[0], (acc, x) -> if({more}, x, acc)))")
+    listed = F.expr("array_join(transform(f.runs, r -> concat(r.start, ',', r.length, ',', r.period, '\n')), '')")
+    return found.withColumn("best", best).select(
+        "doc_id", F.expr("cast(size(f.runs) as bigint) as n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period as exponent_milli"),
+        F.sha2(listed, 256).alias("runs_sha256"), F.sha2("f.collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_substring_dedup, op2_neighbours, op3_sentencepiece, op4_toxicity, op5_language,
-        op6_decontaminate, op7_pii, op8_simhash, op9_extract, op10_urls,
+        op6_decontaminate, op7_pii, op8_simhash, op9_extract, op10_urls, op11_quality, op12_runs,
     )
 }
 
@@ -180,3 +211,75 @@ FROM r LEFT JOIN known USING (host)
 
 
 ORACLES["op10_urls"] = _walk(urls.STEPS, urls.DAMPING, urls.THRESHOLD)
+
+
+WORD = "[^\\x20\\x09-\\x0D]+"
+
+ORACLES["op11_quality"] = f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '{WORD}') AS w FROM documents),
+grams AS (
+  SELECT doc_id, CAST('0x' || left(md5(g), 4) AS INTEGER) AS b
+  FROM (SELECT doc_id, unnest(w) AS g FROM d UNION ALL SELECT doc_id, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) FROM d)),
+trusted AS (SELECT DISTINCT doc_id FROM labels WHERE quality = 1),
+counts AS (SELECT b, count(*) AS raw, count(t.doc_id) AS target FROM grams LEFT JOIN trusted t USING (doc_id) GROUP BY b),
+weights AS (
+  SELECT b, CAST(round(1000 * ln((target + 1.0::DOUBLE) / ((SELECT sum(target) FROM counts)::DOUBLE + {quality.BUCKETS})
+    / ((raw + 1.0::DOUBLE) / ((SELECT sum(raw) FROM counts)::DOUBLE + {quality.BUCKETS})))) AS BIGINT) AS x FROM counts),
+scores AS (SELECT doc_id, floor(sum(x) / count(*)) AS score FROM grams JOIN weights USING (b) GROUP BY doc_id),
+windows AS (
+  SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, win) AS times
+  FROM (SELECT doc_id, i, array_to_string(w[i:i + 2], ' ') AS win FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM d))),
+covered AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, i + unnest([0, 1, 2]) AS p FROM windows WHERE times > 1) GROUP BY doc_id),
+lines AS (
+  SELECT doc_id, count(*) - count(DISTINCT line) AS n FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM d)
+  WHERE regexp_matches(line, '{WORD}') GROUP BY doc_id),
+base AS (
+  SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+    CAST(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols, coalesce(lines.n, 0) AS n_dup_lines,
+    coalesce(covered.n, 0) AS n_repeat_words, coalesce(score, 0) AS score
+  FROM d LEFT JOIN lines USING (doc_id) LEFT JOIN covered USING (doc_id) LEFT JOIN scores USING (doc_id)),
+judged AS (SELECT *, n_words < {quality.LEAST_WORDS} OR 100 * n_repeat_words > {quality.MOST_REPEATED} * n_words AS base_failed FROM base),
+least AS (
+  SELECT max(score) FILTER (nth = 1 + n // {quality.TRUSTED_BELOW}) AS score
+  FROM (SELECT score, row_number() OVER (ORDER BY score) AS nth, count(*) OVER () AS n FROM judged SEMI JOIN trusted USING (doc_id) WHERE NOT base_failed))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND judged.score >= coalesce(least.score, judged.score) AS kept
+FROM judged, least
+"""
+
+
+def _crc32(text: str) -> str:
+    """SQL of the CRC-32 of an ASCII string, bit by bit."""
+    codes = f"list_transform(string_split({text}, ''), lambda x: ascii(x)::BIGINT)"
+    step = "lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda d, z: xor(d >> 1, 3988292384 * (d & 1)))"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {codes}), {step}), 4294967295)"
+
+
+#: Five words of a run come again one period later; neighbouring such places of one shift make a stretch with that period.
+ORACLES["op12_runs"] = f"""
+WITH d0 AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{WORD}') AS w, {_crc32("CAST(doc_id AS VARCHAR)")} AS h FROM documents),
+d1 AS (SELECT doc_id, w, h, h // 10 AS g, len(w) AS n, CASE WHEN len(w) > 0 THEN (h // 10) % len(w) END AS a FROM d0),
+d AS (
+  SELECT doc_id, n, CASE WHEN h % 10 = 0 AND n > 0
+    THEN list_transform(range(0, n), lambda i: w[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (n - a) // (3 + g % 8)) END]) ELSE w END AS w FROM d1),
+windows AS (
+  SELECT doc_id, n, i, array_to_string(w[i + 1:i + 5], ' ') AS win FROM (SELECT doc_id, n, w, unnest(range(0, n - 4)) AS i FROM d)),
+pairs AS (
+  SELECT x.doc_id, x.i, y.i - x.i AS q FROM windows x JOIN windows y ON x.doc_id = y.doc_id AND x.win = y.win AND y.i > x.i AND 4 * (y.i - x.i) <= x.n),
+stretches AS (
+  SELECT doc_id, q, min(i) AS start, max(i) - min(i) + 5 + q AS length
+  FROM (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS part FROM pairs) GROUP BY doc_id, q, part),
+runs AS (
+  SELECT doc_id, start, length, min(q) AS period FROM stretches WHERE length >= greatest(6, 4 * q) GROUP BY doc_id, start, length),
+ranked AS (
+  SELECT *, (1000 * length) // period AS exponent_milli, row_number() OVER (PARTITION BY doc_id ORDER BY length / period DESC, start, period) AS nth FROM runs),
+listed AS (
+  SELECT doc_id, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS s FROM runs GROUP BY doc_id),
+gone AS (SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS p FROM runs),
+words AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) - 1 AS p FROM d),
+collapsed AS (SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS s FROM words ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, start, length, period, exponent_milli,
+  sha256(coalesce(listed.s, '')) AS runs_sha256, sha256(coalesce(collapsed.s, '')) AS collapsed_sha256
+FROM d LEFT JOIN listed USING (doc_id) LEFT JOIN collapsed USING (doc_id) LEFT JOIN (SELECT * FROM ranked WHERE nth = 1) USING (doc_id)
+"""
