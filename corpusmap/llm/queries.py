@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from corpusmap.llm import decontaminate, extract, language, neighbours, pieces, pii, quality, runs, simhash, substring, toxicity, urls
+from corpusmap.llm import decontaminate, extract, language, neighbours, pieces, pii, quality, repair, runs, simhash, substring, toxicity, urls
 from corpusmap.sources.tables import table
 
 MODEL_FILE = "/opt/tokenizers/piece_bpe_32k.model"
@@ -121,11 +121,31 @@ def op12_runs(spark, folder):
     )
 
 
+def with_damage(rows):
+    """Some rows of conversations damaged, by the CRC-32 of their place."""
+    text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    k = F.crc32(F.concat(text("conv_id"), F.lit(":"), text("turn"))) % 20
+    rows = rows.select("conv_id", "turn", text("role").alias("role"), text("text").alias("text"), k.alias("k")).filter("k <> 0")
+    rows = rows.withColumn("text", F.expr("case k when 1 then '' when 2 then translate(text, '.!?', '') else text end"))
+    rows = rows.withColumn("role", F.expr("if(k = 4, 'user', role)"))
+    return rows.withColumn("copy", F.explode(F.expr("if(k = 3, array(0, 1), array(0))"))).drop("k", "copy")
+
+
+def op13_repair(spark, folder):
+    """Faults of every damaged conversation, and its cheapest repair."""
+    rows = table(spark, folder, "conversations")
+    found = repair.digests(repair.repair(with_damage(rows), ids=rows))
+    return found.select(
+        F.col("id").alias("conv_id"), "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256"
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_substring_dedup, op2_neighbours, op3_sentencepiece, op4_toxicity, op5_language,
         op6_decontaminate, op7_pii, op8_simhash, op9_extract, op10_urls, op11_quality, op12_runs,
+        op13_repair,
     )
 }
 
@@ -283,3 +303,62 @@ SELECT doc_id, coalesce(n_runs, 0) AS n_runs, start, length, period, exponent_mi
   sha256(coalesce(listed.s, '')) AS runs_sha256, sha256(coalesce(collapsed.s, '')) AS collapsed_sha256
 FROM d LEFT JOIN listed USING (doc_id) LEFT JOIN collapsed USING (doc_id) LEFT JOIN (SELECT * FROM ranked WHERE nth = 1) USING (doc_id)
 """
+
+
+def _moves() -> str:
+    """State before, inserts with their cost, and state after them, as rows of SQL."""
+    at = {"B": ("user", "U"), "S": ("user", "U"), "U": ("assistant", "A"), "A": ("user", "U")}
+    rows = []
+    for state in at:
+        letters, lines, to = "", "", state
+        for n in range(3):
+            rows.append(f"('{state}', '{letters}', {3 * n}, '{lines}', '{to}')")
+            letters, lines, to = letters + "I", f"{lines}\n{at[to][0]}:", at[to][1]
+    return ", ".join(rows)
+
+
+#: One step a row: the cheapest edits so far for each state, the audit first among equals, and the repaired lines (each after a line feed).
+ORACLES["op13_repair"] = f"""
+WITH RECURSIVE raw AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    {_crc32("coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ')")} % 20 AS k FROM conversations),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN k = 4 THEN 'user' ELSE role END AS role,
+    CASE k WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text, unnest(range(CASE WHEN k = 3 THEN 2 ELSE 1 END)) AS copy
+  FROM raw WHERE k <> 0),
+placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text), copy) AS pos FROM damaged),
+faulty AS (
+  SELECT *, rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS ends, left(role, 1) AS initial,
+    row_number() OVER (PARTITION BY conv_id, role, text ORDER BY pos) > 1 AS again FROM placed),
+rows AS (
+  SELECT *, CASE WHEN ends = '' THEN 'blank' WHEN again THEN 'duplicate' WHEN right(ends, 1) IN ('.', '!', '?') THEN '' ELSE 'truncated' END AS fault,
+    lag(initial) OVER (PARTITION BY conv_id ORDER BY pos) || initial AS pair FROM faulty),
+facts AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+    count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+    count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal, max(pos) AS n FROM rows GROUP BY conv_id),
+moves(state, letters, price, lines, upto) AS (VALUES {_moves()}),
+next(state, role, onto) AS (VALUES ('B', 'user', 'U'), ('S', 'user', 'U'), ('U', 'assistant', 'A'), ('A', 'user', 'U')),
+keeps(state, initial, onto) AS (VALUES ('B', 's', 'S'), ('B', 'u', 'U'), ('S', 'u', 'U'), ('A', 'u', 'U'), ('U', 'a', 'A')),
+edits AS (
+  SELECT conv_id, pos, state, 'D' AS letter, 4 AS price, '' AS line, state AS onto FROM rows, next
+  UNION ALL SELECT conv_id, pos, state, 'R', 3 + CASE fault WHEN 'truncated' THEN 3 ELSE 0 END, chr(10) || next.role || ':' || text, onto
+    FROM rows, next WHERE fault IN ('', 'truncated')
+  UNION ALL SELECT conv_id, pos, state, 'K', CASE fault WHEN 'truncated' THEN 3 ELSE 0 END, chr(10) || role || ':' || text, onto
+    FROM rows JOIN keeps USING (initial) WHERE fault IN ('', 'truncated')),
+best AS (
+  SELECT conv_id, CAST(0 AS BIGINT) AS pos, 'B' AS state, {{'cost': CAST(0 AS BIGINT), 'audit': '', 'lines': ''}} AS e FROM facts
+  UNION ALL
+  SELECT b.conv_id, b.pos + 1, x.onto,
+    min({{'cost': e.cost + m.price + x.price, 'audit': e.audit || m.letters || x.letter, 'lines': e.lines || m.lines || x.line}})
+  FROM best b JOIN moves m USING (state) JOIN edits x ON x.conv_id IS NOT DISTINCT FROM b.conv_id AND x.pos = b.pos + 1 AND x.state = m.upto
+  GROUP BY b.conv_id, b.pos, x.onto),
+ended AS (
+  SELECT f.conv_id, min({{'cost': e.cost + m.price, 'audit': e.audit || m.letters, 'lines': e.lines || m.lines}}) AS e
+  FROM best b JOIN facts f ON f.conv_id IS NOT DISTINCT FROM b.conv_id AND f.n = b.pos JOIN moves m USING (state) WHERE m.upto IN ('B', 'A') GROUP BY f.conv_id)
+SELECT i.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+  coalesce(illegal, 0) AS illegal, coalesce(e.cost, 0) AS cost, coalesce(e.audit, '') AS audit,
+  sha256(coalesce(substr(e.lines, 2), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) i LEFT JOIN facts f ON f.conv_id IS NOT DISTINCT FROM i.conv_id
+  LEFT JOIN ended ON ended.conv_id IS NOT DISTINCT FROM i.conv_id
+"""
