@@ -9,10 +9,10 @@ every text is kept or not by one threshold: nothing is drawn at random.
 from __future__ import annotations
 
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from hashlib import md5
-from itertools import count
+from itertools import chain, count, islice
 
 import numpy as np
 import pyarrow as pa
@@ -31,41 +31,73 @@ TRUSTED_BELOW = 200
 FIELDS = "n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint, score bigint"
 
 
-def bucket_of(gram: bytes) -> int:
-    return int.from_bytes(md5(gram, usedforsecurity=False).digest()[:2], "big")
+def buckets_of(grams: Iterable[bytes]) -> np.ndarray:
+    """The first two bytes of each gram's MD5."""
+    digests = b"".join([md5(g).digest() for g in grams])
+    return np.frombuffer(digests, ">u2")[::8].astype("i8")
+
+
+class Vocabulary:
+    """Numbers and buckets of words, kept from one slice to the next up to a bound."""
+
+    def __init__(self, most: int = 1 << 19):
+        self.most = most
+        self.clear()
+
+    def clear(self) -> None:
+        self.number: dict[bytes, int] = defaultdict(count().__next__)
+        self.names: list[bytes] = []
+        self.buckets = np.zeros(0, "i8")
+
+    def numbers(self, words: list[bytes]) -> np.ndarray:
+        if len(self.names) > self.most:
+            self.clear()
+        ids = np.fromiter(map(self.number.__getitem__, words), "i8", len(words))
+        new = list(islice(self.number, len(self.names), None))
+        self.names += new
+        self.buckets = np.append(self.buckets, buckets_of(new))
+        return ids
 
 
 class Grams:
     """Words of some texts as numbers, and the hash buckets of their words and pairs, text by text."""
 
-    def __init__(self, texts: list[bytes | None]):
+    def __init__(self, texts: list[bytes | None], words: Vocabulary):
         split = [t.split() if t else [] for t in texts]
         self.lengths = np.array([len(w) for w in split], "i8")
-        self.n_texts = len(texts)
-        names: dict[bytes, int] = defaultdict(count().__next__)
-        self.ids = np.fromiter((names[w] for words in split for w in words), "i8", int(self.lengths.sum()))
+        self.ids = words.numbers(list(chain.from_iterable(split)))
+        self.known = max(1, len(words.names))
         self.text = np.repeat(np.arange(len(texts)), self.lengths)
-        self.names, self.known = list(names), max(1, len(names))
         inside = self.text[1:] == self.text[:-1]
-        self.pair_start = np.flatnonzero(inside)
-        pairs, self.pair = np.unique(self.ids[:-1][inside] * self.known + self.ids[1:][inside], return_inverse=True)
-        words = np.array([bucket_of(w) for w in self.names], "i8")
-        of_pairs = [bucket_of(b"%b %b" % (self.names[p // self.known], self.names[p % self.known])) for p in pairs.tolist()]
-        self.buckets = np.concatenate([words[self.ids], np.array(of_pairs, "i8")[self.pair]]) if len(self.ids) else np.zeros(0, "i8")
-        self.gram_text = np.concatenate([self.text, self.text[self.pair_start]])
+        start = np.flatnonzero(inside)
+        pairs, pair = np.unique(self.ids[:-1][inside] * self.known + self.ids[1:][inside], return_inverse=True)
+        name = words.names.__getitem__
+        of_pairs = buckets_of(map(b" ".join, zip(map(name, (pairs // self.known).tolist()), map(name, (pairs % self.known).tolist()))))
+        self.buckets = np.concatenate([words.buckets[self.ids], of_pairs[pair]])
+        self.gram_text = np.concatenate([self.text, self.text[start]])
 
     def repeated_words(self) -> np.ndarray:
         """Per text, the words in windows that stand in it twice or more."""
-        at = np.full(len(self.ids), -1, "i8")
-        at[self.pair_start] = self.pair
-        start = np.flatnonzero((at[:-1] >= 0) & (at[1:] >= 0))
-        _, window = np.unique(at[start] * self.known + self.ids[start + 2], return_inverse=True)
-        _, same, times = np.unique(window * self.n_texts + self.text[start], return_inverse=True, return_counts=True)
-        start = start[times[same] > 1]
-        covered = np.zeros(len(self.ids), bool)
-        for k in range(WINDOW):
-            covered[start + k] = True
-        return np.bincount(self.text[covered], minlength=self.n_texts)
+        ids, known = self.ids, self.known
+        if known >= 1 << 21:  # a window's three numbers have to fit into one
+            ids = np.unique(ids, return_inverse=True)[1]
+            known = int(ids.max(initial=0)) + 1
+        if known < 1 << 21:
+            windows = (ids[:-2] * known + ids[1:-1]) * known + ids[2:]
+        else:
+            windows = np.unique(ids[:-2] * known + ids[1:-1], return_inverse=True)[1] * known + ids[2:]
+        out = np.zeros(len(self.lengths), "i8")
+        ends = np.cumsum(self.lengths)
+        for i, (end, n) in enumerate(zip(ends.tolist(), self.lengths.tolist())):
+            own = windows[end - n : max(end - n, end - 2)]
+            ranked = np.sort(own)
+            twice = ranked[1:][ranked[1:] == ranked[:-1]]
+            if len(twice):
+                again, covered = np.isin(own, twice), np.zeros(n, bool)
+                for k in range(WINDOW):
+                    covered[k : k + len(own)] |= again
+                out[i] = covered.sum()
+        return out
 
 
 @dataclass
@@ -74,9 +106,9 @@ class Model:
 
     weights: np.ndarray
 
-    def measure(self, texts: list[bytes | None]) -> list[np.ndarray]:
+    def measure(self, texts: list[bytes | None], words: Vocabulary) -> list[np.ndarray]:
         """The values of ``FIELDS`` for some texts; the score of a text without a gram is 0."""
-        grams = Grams(texts)
+        grams = Grams(texts, words)
         number = np.bincount(grams.gram_text, minlength=len(texts))
         total = np.bincount(grams.gram_text, self.weights[grams.buckets], minlength=len(texts)).astype("i8")
         chars, symbols, lines = (np.zeros(len(texts), "i8") for _ in range(3))
@@ -107,11 +139,11 @@ def train(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col:
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).filter("text is not null")
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        totals = np.zeros((2, BUCKETS), "i8")
+        totals, words = np.zeros((2, BUCKETS), "i8"), Vocabulary()
         for batch in batches:
             texts, marked = as_bytes(batch.column(1)), batch.column(0).fill_null(0).to_numpy(zero_copy_only=False).astype(bool)
             for i, j in slices(texts):
-                grams = Grams(texts[i:j])
+                grams = Grams(texts[i:j], words)
                 totals[0] += np.bincount(grams.buckets[marked[i:j][grams.gram_text]], minlength=BUCKETS)
                 totals[1] += np.bincount(grams.buckets, minlength=BUCKETS)
         used = np.flatnonzero(totals[1])
@@ -132,10 +164,11 @@ def measures(spark: SparkSession, model: Model, text: Column) -> Column:
 
     @arrow_udf("struct<" + FIELDS.replace(" bigint", ":bigint") + ">")
     def measure(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        words = Vocabulary()
         for batch in batches:
             texts, parts = as_bytes(batch), []
             for i, j in slices(texts):
-                parts.append(pa.StructArray.from_arrays([pa.array(c) for c in held.value.measure(texts[i:j])], fields=kinds))
+                parts.append(pa.StructArray.from_arrays([pa.array(c) for c in held.value.measure(texts[i:j], words)], fields=kinds))
             yield pa.concat_arrays(parts) if parts else pa.array([], pa.struct(kinds))
 
     return measure(text.cast("string"))

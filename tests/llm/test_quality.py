@@ -87,5 +87,5 @@ def test_no_trusted_keeps_what_does_not_fail(spark):
 
 def test_very_long(spark):
     text = " ".join(f"w{i * i % 9973}" for i in range(300_000))
-    got = quality.Model(quality.ratios(quality.np.zeros(65536), quality.np.zeros(65536))).measure([text.encode(), b"a"])
+    got = quality.Model(quality.ratios(quality.np.zeros(65536), quality.np.zeros(65536))).measure([text.encode(), b"a"], quality.Vocabulary())
     assert got[0].tolist() == [300_000, 1] and got[4][1] == 0
