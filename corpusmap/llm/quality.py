@@ -135,8 +135,10 @@ def train(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col:
     Each task hands on at most ``BUCKETS`` sums, so what is shuffled follows the number of tasks and what the driver
     gets has a fixed size. A null id is not trusted. Without trusted texts every ratio is that of an empty count.
     """
-    marks = trusted.select(F.col(id_col).alias("id")).filter("id is not null").distinct().withColumn("mark", F.lit(1))
+    marks = trusted.select(F.col(id_col).alias("id"), F.lit(0).alias("part")).filter("id is not null").distinct().withColumn("mark", F.lit(1))
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).filter("text is not null")
+    # rows without an id match nothing and go anywhere
+    rows = rows.withColumn("part", F.when(F.col("id").isNull(), F.xxhash64("text")).otherwise(0))
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals, words = np.zeros((2, BUCKETS), "i8"), Vocabulary()
@@ -149,7 +151,8 @@ def train(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col:
         used = np.flatnonzero(totals[1])
         yield pa.record_batch([pa.array(x) for x in (used, totals[0][used], totals[1][used])], ["bucket", "target", "raw"])
 
-    counted = rows.join(marks, "id", "left").select("mark", "text").mapInArrow(sums, "bucket bigint, target bigint, raw bigint")
+    # texts always travel once, whatever the size of the list of ids; no text is sorted
+    counted = rows.join(marks.hint("shuffle_hash"), ["id", "part"], "left").select("mark", "text").mapInArrow(sums, "bucket bigint, target bigint, raw bigint")
     found = counted.groupBy("bucket").agg(F.sum("target").alias("target"), F.sum("raw").alias("raw")).toArrow()
     target, raw = np.zeros(BUCKETS), np.zeros(BUCKETS)
     at = found.column("bucket").to_numpy()
