@@ -56,6 +56,11 @@ def sample_n(spark, folder):
     return rows.sample(docs, 100, seed=42, id_col="doc_id")
 
 
+def sample_replaced(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "lang", "source")
+    return rows.sample_with_replacement(docs, 0.5, seed=42, id_col="doc_id")
+
+
 def get_by_ids(spark, folder):
     orders = table(spark, folder, "orders").drop("o_orderdate")
     buyers = table(spark, folder, "customer").filter("c_acctbal > 9000").select(
@@ -116,7 +121,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         ingest_records, drop_generated_cols, attach_embeddings, blob_hash, attach_blob_hash, keyset_page,
-        sample_n, get_by_ids, delete_rows, cap_rows, unpivot_text, derive_column, union_tiles,
+        sample_n, sample_replaced, get_by_ids, delete_rows, cap_rows, unpivot_text, derive_column, union_tiles,
         append_new_ids, map_data_fields,
     )
 }
@@ -130,6 +135,9 @@ ORACLES = {
     "blob_hash": "SELECT page_id, sha256(html) AS _blob_hash FROM pages",
     "attach_blob_hash": """SELECT page_id, url, CASE WHEN url LIKE 'https%' THEN sha256(html) END AS _blob_hash FROM pages""",
     "keyset_page": "SELECT c_custkey, c_name FROM customer WHERE c_custkey > 40 ORDER BY c_custkey LIMIT 100",
+    "sample_replaced": f"""SELECT doc_id, lang, source FROM (
+      SELECT doc_id, lang, source, unnest(range(list_count(list_filter({rows.poisson_bounds(0.5)},
+        lambda b: CAST('0x' || left(md5('42:' || doc_id::VARCHAR), 8) AS BIGINT) >= b)))) FROM documents)""",
     "sample_n": """SELECT doc_id, lang, source FROM documents ORDER BY md5('42:' || doc_id::VARCHAR), doc_id LIMIT 100""",
     "get_by_ids": """SELECT * EXCLUDE (o_orderdate) FROM orders
       WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_acctbal > 9000)""",
