@@ -9,6 +9,14 @@ import pyarrow as pa
 SLICE_BYTES = 1 << 21
 
 
+def fresh(name: str, *frames) -> str:
+    """``name``, lengthened until no frame has such a column, so that no input column is hidden."""
+    taken = {c.lower() for f in frames for c in f.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def as_bytes(column: pa.Array) -> list[bytes | None]:
     """The UTF-8 bytes of each string; the cast shares the buffers."""
     binary = pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()

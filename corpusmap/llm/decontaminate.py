@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.functions import arrow_udf
 
-from corpusmap.llm.common import alnum_words, as_bytes, slices
+from corpusmap.llm.common import alnum_words, as_bytes, fresh, slices
 from corpusmap.session import cut_lineage
 
 WINDOW = 13
@@ -41,7 +41,8 @@ class Items:
             for start in range(len(words) - width + 1 if width else 0):
                 holders.setdefault(words[start : start + width].astype(">i4").tobytes(), []).append((item, start))
         self.keys = sorted(holders)
-        self.holders = [holders[k] for k in self.keys]
+        self.owners = [sorted({item for item, _ in holders[k]}) for k in self.keys]
+        self.automata: dict[int, Suffixes] = {}
         self.widths = np.array([len(k) // 4 for k in self.keys], "i8")
         full = 4 * window
         self.low = np.array([k.ljust(full, b"\0") for k in self.keys], f"S{full}")
@@ -75,25 +76,66 @@ class Items:
         within = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
         return suffixes[order[low[which] + within]], which
 
-    def matches(self, words: np.ndarray, starts: np.ndarray, which: np.ndarray) -> list[dict]:
-        """For each item that one text shares windows with, the longest verbatim match that they start."""
-        best: dict[int, tuple[int, int, int]] = {}
-        reached: dict[tuple[int, int], int] = {}
-        for start, window in zip(starts.tolist(), which.tolist()):
-            for item, at in self.holders[window]:
-                if reached.get((item, start - at), -1) >= start:
-                    continue  # inside a match on the same diagonal
-                own = self.words[item]
-                most = min(len(own) - at, len(words) - start)
-                differ = np.flatnonzero(own[at : at + most] != words[start : start + most])
-                length = int(differ[0]) if len(differ) else most
-                reached[item, start - at] = start + length - int(self.widths[window])
-                if length > best.get(item, (0, 0, 0))[0]:
-                    best[item] = (length, start, at)
-        return [
-            {"item_id": self.ids[item], "start": start, "item_start": at, "length": length}
-            for item, (length, start, at) in sorted(best.items())
-        ]
+    def matches(self, words: np.ndarray, windows: np.ndarray) -> list[dict]:
+        """For each item that has one of the windows, the longest verbatim match with the text: the first of these in it, then in the item."""
+        found = []
+        for item in sorted({item for window in np.unique(windows).tolist() for item in self.owners[window]}):
+            length, start, at = self.suffixes(item).longest(words.tolist())
+            found.append({"item_id": self.ids[item], "start": start, "item_start": at, "length": length})
+        return found
+
+    def suffixes(self, item: int) -> "Suffixes":
+        """The automaton of an item, made when first needed."""
+        if item not in self.automata:
+            self.automata[item] = Suffixes(self.words[item].tolist())
+        return self.automata[item]
+
+
+class Suffixes:
+    """All word sequences of an item as the paths of its suffix automaton, so a text is matched in one pass whatever repeats."""
+
+    def __init__(self, words: list[int]):
+        self.onward: list[dict[int, int]] = [{}]
+        self.length, self.link, self.ends = [0], [-1], [0]
+        last = 0
+        for i, w in enumerate(words):
+            new = self._state({}, i + 1, 0, i + 1)
+            at = last
+            while at >= 0 and w not in self.onward[at]:
+                self.onward[at][w] = new
+                at = self.link[at]
+            if at >= 0:
+                to = self.onward[at][w]
+                if self.length[to] == self.length[at] + 1:
+                    self.link[new] = to
+                else:
+                    copy = self._state(dict(self.onward[to]), self.length[at] + 1, self.link[to], self.ends[to])
+                    while at >= 0 and self.onward[at].get(w) == to:
+                        self.onward[at][w] = copy
+                        at = self.link[at]
+                    self.link[to] = self.link[new] = copy
+            last = new
+
+    def _state(self, onward: dict[int, int], length: int, link: int, end: int) -> int:
+        self.onward.append(onward)
+        self.length.append(length)
+        self.link.append(link)
+        self.ends.append(end)
+        return len(self.length) - 1
+
+    def longest(self, words: list[int]) -> tuple[int, int, int]:
+        """Length and first places, in the text and in the item, of the longest sequence that both have."""
+        state = size = 0
+        best = (0, 0, 0)
+        for i, w in enumerate(words):
+            while state and w not in self.onward[state]:
+                state = self.link[state]
+                size = self.length[state]
+            if w in self.onward[state]:
+                state, size = self.onward[state][w], size + 1
+                if size > best[0]:
+                    best = (size, i + 1 - size, self.ends[state] - size)
+        return best
 
 
 def find(items: Items, texts: list[bytes | None]) -> list[dict]:
@@ -118,7 +160,7 @@ def find(items: Items, texts: list[bytes | None]) -> list[dict]:
                 opens = np.append(True, at[1:] > ends[:-1])
                 closes = np.append(np.flatnonzero(opens)[1:] - 1, len(at) - 1)
                 found["spans"] = [{"start": a, "end": b} for a, b in zip(at[opens].tolist(), ends[closes].tolist())]
-                found["matches"] = items.matches(words[bounds[k] : bounds[k + 1] - 1], at, wins)
+                found["matches"] = items.matches(words[bounds[k] : bounds[k + 1] - 1], wins)
             out.append(found)
     return out
 
@@ -165,9 +207,9 @@ def covered(spans: str) -> Column:
 
 def contamination(
     docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id",
-    item_text_col: str = "text", window: int = WINDOW, block_bytes: int = BLOCK_BYTES,
+    item_text_col: str = "text", window: int = WINDOW, block_bytes: int = BLOCK_BYTES, out_col: str = "benchmark_found",
 ) -> DataFrame:
-    """``docs`` with a column ``benchmark_found``: n_words, n_hit, matches and items.
+    """``docs`` with a column ``out_col``: n_words, n_hit, matches and items. A column of that name is replaced, others stay.
 
     A window is ``window`` consecutive words of an item, or all words of a shorter one; a document
     word inside any occurrence is hit. ``matches`` gives for each item with occurring windows the
@@ -177,22 +219,23 @@ def contamination(
     without an id is listed under the empty string; repeated items count once per id; a document
     row is judged alone, so repeated rows get equal results. An empty benchmark hits nothing.
     """
-    spark, name, cut = docs.sparkSession, "benchmark_found", 0
+    spark, name, cut = docs.sparkSession, out_col, 0
+    other = fresh("benchmark_more", docs)
     out = docs
     for items in benchmark_blocks(benchmark, item_col, item_text_col, block_bytes):
         more = find_column(spark, items, F.col(text_col).cast("string"), window)
         if cut == 0:
             out = out.withColumn(name, more)
         else:  # one block after the other, each in its own pass
-            out = cut_lineage(out).withColumn("benchmark_more", more)
+            out = cut_lineage(out).withColumn(other, more)
             out = out.withColumn(
                 name,
                 F.struct(
                     F.col(f"{name}.n_words").alias("n_words"),
-                    F.concat(f"{name}.spans", "benchmark_more.spans").alias("spans"),
-                    F.concat(f"{name}.matches", "benchmark_more.matches").alias("matches"),
+                    F.concat(f"{name}.spans", f"{other}.spans").alias("spans"),
+                    F.concat(f"{name}.matches", f"{other}.matches").alias("matches"),
                 ),
-            ).drop("benchmark_more")
+            ).drop(other)
         cut += 1
     return out.withColumn(
         name,

@@ -17,8 +17,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.functions import arrow_udf
 
+from corpusmap.operators.rows import hash_order, smallest
+from corpusmap.session import cut_lineage, discard
+
 #: Bound of the pages whose texts make up the training pages, and how many of those are made.
 DRAWN, MADE = 200, 400
+#: Bytes of the largest page that may be among them.
+PAGE_BYTES = 1 << 18
 
 #: Tags that begin and end a block of text; others leave the text running.
 BLOCK = frozenset(
@@ -35,7 +40,10 @@ BREAKOUT = frozenset("blockquote body center dd div dl dt h1 h2 h3 h4 h5 h6 hr l
 #: Open tags that a tag closes by itself, up to the nearest listed parent.
 CLOSES = {"p": ("p",), "li": ("li",), "dd": ("dd", "dt"), "dt": ("dd", "dt"), "td": ("td", "th"), "th": ("td", "th"), "tr": ("tr",), "option": ("option",)}
 SCOPE = frozenset("ul ol dl table menu article section div body".split())
-TAG = re.compile(r"""<(?:!--.*?(?:-->|\Z)|(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>"']|"[^"<]*"|'[^'<]*')*|[^<>]*)/?>|[!?][^>]*>)""", re.DOTALL)
+# a quoted value may hold any character; a quote that never closes counts as a plain one
+TAG = re.compile(
+    r"""<(?:!--(?:-?>|.*?(?:--!?>|\Z))|(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?>=\s*+(?:"[^"]*"|'[^']*')|[^<>])*+|[^<>]*+)>|[!?][^>]*>)""", re.DOTALL
+)
 NAMES = re.compile(r"""(?:^|\s)(?:class|id|role|itemprop|aria-label)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
 TOKEN = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 KEEP = re.compile(r'data-keep="([01])"')
@@ -43,22 +51,61 @@ KEEP = re.compile(r'data-keep="([01])"')
 
 @dataclass
 class Block:
-    """Text of a block, how many of its characters stand in links, its ancestors, outermost first."""
+    """Text of a block, how many of its characters stand in links, its innermost tag, the tags and name tokens it stands in."""
 
     text: str
     linked: int
-    tags: list[str]
-    names: list[str]
+    own: str
+    tags: frozenset[str]
+    names: frozenset[str]
     keep: int | None = None
 
 
+class Ancestors:
+    """Open tags from the outermost on, with counts of their tags and names, so that a block costs no walk over them."""
+
+    def __init__(self):
+        self.open: list[tuple[str, list[str], int | None]] = []
+        self.count: dict[str, int] = {}
+        self.named: dict[str, int] = {}
+        self.sets: tuple[frozenset[str], frozenset[str]] | None = None
+
+    def add(self, tag: str, names: list[str], keep: int | None) -> None:
+        self.open.append((tag, names, keep if keep is not None or not self.open else self.open[-1][2]))
+        self.count[tag] = self.count.get(tag, 0) + 1
+        for n in names:
+            self.named[n] = self.named.get(n, 0) + 1
+        self.sets = None
+
+    def cut(self, at: int) -> None:
+        """Close all tags from place ``at`` on."""
+        for tag, names, _ in self.open[at:]:
+            for counts, gone in ((self.count, [tag]), (self.named, names)):
+                for key in gone:
+                    counts[key] -= 1
+                    if not counts[key]:
+                        del counts[key]
+        del self.open[at:]
+        self.sets = None
+
+    def end(self, tag: str) -> None:
+        if tag in self.count:
+            self.cut(next(i for i in range(len(self.open) - 1, -1, -1) if self.open[i][0] == tag))
+
+    def block(self, text: str, linked: int) -> Block:
+        if self.sets is None:
+            self.sets = frozenset(self.count), frozenset(self.named)
+        own, _, keep = self.open[-1] if self.open else ("", [], None)
+        return Block(text, linked, own, *self.sets, keep)
+
+
 def blocks(page: str) -> list[Block]:
     """The text blocks of a page in order. White space within one is a single space.
 
     A hidden tag without its end tag ends with the block it stands in; a head also at the body or the first block.
     """
     out: list[Block] = []
-    open_tags: list[tuple[str, list[str], int | None]] = []
+    around = Ancestors()
     text: list[str] = []
     links, linked = 0, 0
     hidden: list[tuple[str, list[str]]] = []  # open hidden tags, each with the open tags within it
@@ -68,8 +115,7 @@ def blocks(page: str) -> list[Block]:
         if text:
             joined = " ".join(entities.unescape("".join(text)).split())
             if joined:
-                keep = next((k for _, _, k in reversed(open_tags) if k is not None), None)
-                out.append(Block(joined, linked, [t for t, _, _ in open_tags], [n for _, names, _ in open_tags for n in names], keep))
+                out.append(around.block(joined, linked))
         text, linked = [], 0
 
     def still_hidden(name: str, ends: bool, empty: bool) -> bool:
@@ -82,7 +128,7 @@ def blocks(page: str) -> list[Block]:
                 if name in hidden[i][1]:
                     del hidden[i + 1 :], hidden[i][1][len(hidden[i][1]) - 1 - hidden[i][1][::-1].index(name) :]
                     return True
-            if name in BLOCK and any(tag == name for tag, _, _ in open_tags):
+            if name in BLOCK and name in around.count:
                 hidden.clear()
             return bool(hidden)
         if name == "body" and hidden[0][0] == "head":
@@ -124,10 +170,7 @@ def blocks(page: str) -> list[Block]:
                 links = max(0, links - 1)
             elif name in BLOCK:
                 close_block()
-                for i in range(len(open_tags) - 1, -1, -1):
-                    if open_tags[i][0] == name:
-                        del open_tags[i:]
-                        break
+                around.end(name)
         elif name in HIDDEN:
             if not empty:
                 hidden.append((name, []))
@@ -138,16 +181,17 @@ def blocks(page: str) -> list[Block]:
         elif name in BLOCK:
             close_block()
             links = 0
-            for i in range(len(open_tags) - 1, -1, -1):
-                if open_tags[i][0] in CLOSES.get(name, ()):
-                    del open_tags[i:]
+            closes = CLOSES.get(name, ())
+            for i in range(len(around.open) - 1, -1, -1) if any(c in around.count for c in closes) else ():
+                if around.open[i][0] in closes:
+                    around.cut(i)
                     break
-                if open_tags[i][0] in SCOPE:
+                if around.open[i][0] in SCOPE:
                     break
             if name not in VOID:
                 keep = KEEP.search(m[3])
                 found = [t.lower() for parts in NAMES.findall(m[3]) for t in TOKEN.findall(" ".join(parts))] if m[3] else []
-                open_tags.append((name, found, int(keep[1]) if keep else None))
+                around.add(name, found, int(keep[1]) if keep else None)
     close_block()
     return out
 
@@ -161,11 +205,11 @@ def features(page: list[Block]) -> list[list[str]]:
     out = []
     for b in page:
         words = b.text.split()
-        f = ["bias", f"own={b.tags[-1] if b.tags else ''}", f"len={_bucket(len(words), (2, 4, 8, 15, 30, 60))}"]
+        f = ["bias", f"own={b.own}", f"len={_bucket(len(words), (2, 4, 8, 15, 30, 60))}"]
         f.append(f"links={_bucket(b.linked / len(b.text), (0.1, 0.3, 0.6, 0.9))}")
         f.append(f"mark={b.text[0] in '©®'}")
-        f += {f"in={t}" for t in b.tags if t not in ("html", "body", "div", "p", "section")}
-        f += {f"name={n}" for n in b.names}
+        f += [f"in={t}" for t in sorted(b.tags) if t not in ("html", "body", "div", "p", "section")]
+        f += [f"name={n}" for n in sorted(b.names)]
         out.append(f)
     return out
 
@@ -325,9 +369,15 @@ def labelled_pages(texts: list[str], count: int = MADE, seed: int = 0) -> list[s
 
 
 def train(pages: DataFrame, html_col: str = "html", drawn: int = DRAWN, made: int = MADE) -> Field:
-    """A field trained on layouts with the texts of at most ``drawn`` pages, drawn by hash of the page."""
-    rows = pages.select(F.col(html_col).cast("string").alias("html")).filter("html is not null")
-    sample = [r.html for r in rows.orderBy(F.xxhash64("html"), "html").limit(drawn).collect()]
+    """A field trained on layouts with the texts of at most ``drawn`` different pages, drawn by hash of the page.
+
+    Pages of over ``PAGE_BYTES`` are not drawn, so what the driver gets has a bound; copies count once.
+    """
+    rows = pages.select(F.col(html_col).cast("string").alias("html")).filter(F.octet_length("html") <= PAGE_BYTES).withColumn("k", F.xxhash64("html"))
+    keys = cut_lineage(rows.select("k").distinct())
+    chosen = [r.k for r in smallest(keys, drawn, hash_order("k")).collect()]
+    discard(keys)
+    sample = [r.html for r in rows.filter(F.col("k").isin(chosen)).dropDuplicates(["k"]).collect()] if chosen else []
     texts = sorted({b.text for page in sample for b in blocks(page) if len(b.text) >= 20 and b.linked < len(b.text) / 2})
     return fit([blocks(page) for page in labelled_pages(texts, made)])
 

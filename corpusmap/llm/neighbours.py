@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.functions import arrow_udf
 
+from corpusmap.operators.rows import hash_order, smallest
 from corpusmap.session import cut_lineage, discard
 
 #: Bound of the sample that graph and network are fitted on, and of the number of parts.
@@ -170,7 +171,7 @@ def best_of(queries: np.ndarray, rows: np.ndarray, ids: np.ndarray, own: np.ndar
 
 def fit_index(rows: DataFrame, count: int, sample: int = SAMPLE, part_rows: int = PART_ROWS, most_parts: int = MOST_PARTS) -> Router:
     """A router for ``count`` distinct vectors ``id, v``, fitted on at most ``sample`` of them, drawn by hash."""
-    drawn = rows.orderBy(F.xxhash64("v"), "id").limit(sample).select("v").toArrow()
+    drawn = smallest(rows.select("id", "v"), sample, hash_order("v", "id")).toArrow().sort_by("id")
     vectors = matrix(drawn.column("v").combine_chunks())
     parts = int(min(max(1, -(-count // part_rows)), most_parts, max(1, len(vectors) // 16)))
     unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)

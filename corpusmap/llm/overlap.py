@@ -3,8 +3,11 @@
 All shingles have one order: those of a sample's common ones last, the rest by hash. Two sets with
 Jaccard similarity t or more share a shingle among the first ``n - ceil(t * n) + 1`` of each, so
 joining these prefixes loses no pair, whatever the sample says; it only keeps the buckets small.
-Candidates are verified on whole texts. Each bucket first compares its smallest member with the
-others; what that links is not compared again, so a large family costs its size, not its square.
+Texts stay where they are: a text is a 64-bit number, and a shingle's bucket is a stretch of sorted rows that a task reads
+as a stream, handing on only buckets with two texts or more. Candidates are verified on whole texts, and what is linked
+is named by MD5, so equal numbers of different texts only add candidates. Each bucket first compares its smallest
+member with the others; what that links is not compared again, so a large family costs its size, not its square. What
+is left of a bucket is compared block by block.
 """
 
 from __future__ import annotations
@@ -19,12 +22,15 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.functions import arrow_udf
 
-from corpusmap.llm.common import LOWER, as_bytes, slices, space_words
+from corpusmap.llm.common import LOWER, as_bytes, fresh, slices, space_words
 from corpusmap.operators.components import connected_components
+from corpusmap.operators.rows import hash_order, smallest
 from corpusmap.session import cut_lineage, discard
 
 SHINGLE, ALIKE = 5, Fraction(4, 5)
 SAMPLE, COMMON = 2048, 1 << 16
+#: Texts that a task remembers to leave out copies; rows of a bucket in one block.
+REMEMBERED, BLOCK_ROWS = 1 << 18, 1024
 MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xBF58476D1CE4E5B9], "u8")
 
 
@@ -62,8 +68,14 @@ def similar(least: Fraction, shingle: int):
     return compare
 
 
+def numbered(docs: DataFrame, text_col: str) -> DataFrame:
+    """``key, other, text``: two 64-bit hashes of every text; null texts are left out."""
+    text = F.col(text_col).cast("string")
+    return docs.select(F.xxhash64(text).alias("key"), F.xxhash64(F.lit(1), text).alias("other"), text.alias("text")).filter("text is not null")
+
+
 def prefixes(texts: DataFrame, shingle: int, least: Fraction, sample: int) -> DataFrame:
-    """``s, key, size, pos``: the first shingles of each of the distinct texts ``key, text``."""
+    """``s, key, size, pos``: the first shingles of each of ``key, other, text``; copies that one task meets count once."""
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -71,85 +83,152 @@ def prefixes(texts: DataFrame, shingle: int, least: Fraction, sample: int) -> Da
             for i, j in slices(texts):
                 yield pa.record_batch([pa.array(np.concatenate([shingles(t, shingle) for t in texts[i:j]]).view("i8"))], ["s"])
 
-    drawn = texts.orderBy("key").limit(sample).select("text").mapInArrow(split, "s bigint")
-    often = drawn.groupBy("s").count().filter("count > 1").orderBy(F.desc("count"), "s").limit(COMMON).collect()
+    keys = cut_lineage(texts.select("key").distinct())
+    chosen = [r.key for r in smallest(keys, sample, hash_order("key")).collect()]
+    discard(keys)
+    drawn = texts.filter(F.col("key").isin(chosen)).dropDuplicates(["key"]).select("text").mapInArrow(split, "s bigint")
+    often = drawn.groupBy("s").count().filter("count > 1").orderBy(F.desc("count"), "s").limit(COMMON).collect() if chosen else []
     names = np.array([r.s for r in often], "i8").view("u8")
     order = np.argsort(names)
     held = texts.sparkSession.sparkContext.broadcast((names[order], np.array([r["count"] for r in often], "i8")[order]))
 
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         common, count = held.value
+        seen: set[tuple[int, int]] = set()
         for batch in batches:
-            texts = as_bytes(batch.column(1))
+            keys = batch.column(0).to_numpy(zero_copy_only=False)
+            names = list(zip(keys.tolist(), batch.column(1).to_pylist()))
+            texts = as_bytes(batch.column(2))
+            if len(seen) > REMEMBERED:
+                seen.clear()
             for i, j in slices(texts):
-                parts, sizes = [], []
-                for text in texts[i:j]:
-                    own = shingles(text, shingle)
+                parts, sizes, whose = [], [], []
+                for k in range(i, j):
+                    if names[k] in seen:
+                        continue
+                    seen.add(names[k])
+                    own = shingles(texts[k], shingle)
                     if len(common) and len(own):
                         at = np.minimum(np.searchsorted(common, own), len(common) - 1)
                         own = own[np.argsort(np.where(common[at] == own, count[at], 0), kind="stable")]
                     parts.append(own[: len(own) - ceil(least * len(own)) + 1])
                     sizes.append(len(own))
-                taken = np.array([len(part) for part in parts])
-                key = batch.column(0).slice(i, j - i).take(pa.array(np.repeat(np.arange(j - i), taken)))
+                    whose.append(k)
+                taken = np.array([len(part) for part in parts], "i8")
                 pos = np.arange(taken.sum()) - np.repeat(np.cumsum(taken) - taken, taken)
-                columns = [pa.array(np.concatenate(parts).view("i8")), key.cast(pa.string()), pa.array(np.repeat(sizes, taken)), pa.array(pos)]
-                yield pa.record_batch(columns, ["s", "key", "size", "pos"])
+                s = np.concatenate([*parts, np.zeros(0, "u8")]).view("i8")
+                columns = [s, np.repeat(keys[whose], taken), np.repeat(np.array(sizes, "i4"), taken), pos.astype("i4")]
+                yield pa.record_batch([pa.array(c) for c in columns], ["s", "key", "size", "pos"])
+
+    return texts.select("key", "other", "text").mapInArrow(first, "s bigint, key bigint, size int, pos int")
 
-    return texts.select("key", "text").mapInArrow(first, "s bigint, key string, size bigint, pos bigint")
 
+def buckets(rows: DataFrame) -> DataFrame:
+    """``s, key, size, pos, hub, hub_size, hub_pos`` of every row whose shingle an earlier text, the hub, has too."""
+    names = ("s", "key", "size", "pos")
 
-def near_classes(docs: DataFrame, text_col: str = "text", shingle: int = SHINGLE, least: Fraction = ALIKE, sample: int = SAMPLE) -> DataFrame:
-    """``key, label``: the class of every text (by its MD5) that is linked to another one.
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = None  # the hub of the last bucket, and the last row
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            part = {n: batch.column(i).to_numpy(zero_copy_only=False) for i, n in enumerate(names)}
+            if last is not None:
+                part = {n: np.concatenate([last[n], v]) for n, v in part.items()}
+            opens = np.append(True, part["s"][1:] != part["s"][:-1])
+            hub = np.maximum.accumulate(np.where(opens, np.arange(len(opens)), 0))
+            again = np.append(False, np.logical_and.reduce([part[n][1:] == part[n][:-1] for n in names]))
+            out = ~opens & ~again & ~((part["key"] == part["key"][hub]) & (part["size"] == part["size"][hub]))
+            if last is not None:
+                out[: len(last["s"])] = False
+            at, to = np.flatnonzero(out), hub[out]
+            if len(at):
+                columns = [part[n][at] for n in names] + [part[n][to] for n in names[1:]]
+                yield pa.record_batch([pa.array(c) for c in columns], [*names, "hub", "hub_size", "hub_pos"])
+            keep = [hub[-1]] if hub[-1] == len(hub) - 1 else [hub[-1], len(hub) - 1]
+            last = {n: v[keep] for n, v in part.items()}
+
+    sorted_rows = rows.repartition("s").sortWithinPartitions(*names)
+    return sorted_rows.mapInArrow(meet, "s bigint, key bigint, size int, pos int, hub bigint, hub_size int, hub_pos int")
+
+
+def near_classes(
+    docs: DataFrame, text_col: str = "text", shingle: int = SHINGLE, least: Fraction = ALIKE, sample: int = SAMPLE, block_rows: int = BLOCK_ROWS
+) -> DataFrame:
+    """``mark, label``: the class of every text (by its MD5) that is linked to another one.
 
     Links are all pairs of distinct texts whose lower-cased shingles have Jaccard similarity ``least``
     or more. Null and wordless texts have none.
     """
-    text = F.col(text_col).cast("string")
-    texts = cut_lineage(docs.select(F.md5(text).alias("key"), text.alias("text")).filter("key is not null").dropDuplicates(["key"]))
-    first = cut_lineage(prefixes(texts, shingle, least, sample))
-    hubs = first.groupBy("s").agg(F.min(F.struct("key", "size", "pos")).alias("hub"), F.count("*").alias("n")).filter("n > 1").drop("n")
-    shared = cut_lineage(first.join(hubs, "s"))
-    discard(first)
+    texts = numbered(docs, text_col)
+    shared = cut_lineage(buckets(prefixes(texts, shingle, least, sample)))
+    num, den = least.numerator, least.denominator
 
-    def can(a: str, b: str):
+    def can(a_size: str, a_pos: str, b_size: str, b_pos: str):
         """Sizes fit, and what may follow the shared shingle is enough; true at the first shared one of every pair sought."""
-        num, den = least.numerator, least.denominator
-        fits = f"least({a}.size, {b}.size) * {den} >= greatest({a}.size, {b}.size) * {num}"
-        return F.expr(f"{fits} and least({a}.size - {a}.pos, {b}.size - {b}.pos) * {num + den} >= {num} * ({a}.size + {b}.size)")
+        fits = f"least({a_size}, {b_size}) * {den} >= greatest({a_size}, {b_size}) * {num}"
+        return F.expr(f"{fits} and least({a_size} - {a_pos}, {b_size} - {b_pos}) * {num + den} >= {num} * ({a_size} + {b_size})")
 
     def verified(pairs: DataFrame) -> DataFrame:
+        """``a, b, a_key, b_key``: marks and numbers of the pairs ``a, b`` of numbers that are alike."""
         pairs = cut_lineage(pairs.distinct())
         ends = pairs.selectExpr("explode(array(a, b)) as key").distinct()
-        held = cut_lineage(texts.join(ends, "key", "left_semi"))
-        both = pairs.join(held.selectExpr("key as a", "text as text_a"), "a").join(held.selectExpr("key as b", "text as text_b"), "b")
-        return cut_lineage(both.filter(similar(least, shingle)(F.col("text_a"), F.col("text_b"))).select("a", "b"))
-
-    near = verified(shared.alias("p").filter("key <> hub.key").filter(can("hub", "p")).selectExpr("hub.key as a", "key as b"))
-    labels = connected_components(near).select(F.col("id").alias("key"), "label")
-    marked = shared.drop("hub").join(labels, "key", "left").withColumn("label", F.coalesce("label", "key"))
-    mixed = marked.groupBy("s").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high").select("s")
-    rest = cut_lineage(marked.join(mixed, "s", "left_semi"))
-    left, right = rest.alias("p"), rest.alias("q")
-    met = left.join(right, F.expr("p.s = q.s and p.key < q.key and p.label <> q.label") & can("p", "q"))
-    far = verified(met.selectExpr("p.key as a", "q.key as b"))
-    return connected_components(near.union(far)).select(F.col("id").alias("key"), "label")
+        held = texts.join(ends, "key", "left_semi").select("key", F.md5("text").alias("mark"), "text")
+        held = cut_lineage(held.dropDuplicates(["key", "mark"]))
+        both = pairs.join(held.selectExpr("key as a", "mark as a_mark", "text as a_text"), "a")
+        both = both.join(held.selectExpr("key as b", "mark as b_mark", "text as b_text"), "b")
+        both = both.filter(similar(least, shingle)(F.col("a_text"), F.col("b_text")))
+        found = cut_lineage(both.selectExpr("a_mark as a", "b_mark as b", "a as a_key", "b as b_key"))
+        discard(pairs)
+        discard(held)
+        return found
+
+    near = verified(shared.filter(can("hub_size", "hub_pos", "size", "pos")).selectExpr("hub as a", "key as b"))
+    labels = connected_components(near.select("a", "b"))
+    named = near.selectExpr("stack(2, a, a_key, b, b_key) as (id, key)").join(labels, "id").groupBy("key").agg(F.min("label").alias("label"))
+    marked = shared.select("s", "key", "size", "pos").join(named, "key", "left").withColumn("label", F.coalesce("label", F.col("key").cast("string")))
+    mixed = marked.groupBy("s").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("n")).filter("low <> high")
+    rest = marked.join(mixed.select("s", F.ceil(F.col("n") / block_rows).cast("int").alias("blocks")), "s")
+    dealt = rest.withColumn("own", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int")).withColumn("met", F.explode(F.expr("sequence(0, blocks - 1)")))
+    dealt = cut_lineage(dealt.select("s", "key", "size", "pos", "label", "own", F.least("own", "met").alias("lo"), F.greatest("own", "met").alias("hi")))
+    discard(shared)
+    left, right = dealt.alias("p"), dealt.alias("q")
+    apart = F.expr("p.label <> q.label and p.own = p.lo and q.own = p.hi and (p.lo < p.hi or p.key < q.key)")
+    met = left.join(right, F.expr("p.s = q.s and p.lo = q.lo and p.hi = q.hi") & apart & can("p.size", "p.pos", "q.size", "q.pos"))
+    far = verified(met.selectExpr("least(p.key, q.key) as a", "greatest(p.key, q.key) as b"))
+    discard(dealt)
+    return connected_components(near.select("a", "b").union(far.select("a", "b"))).select(F.col("id").alias("mark"), "label")
+
+
+def one_row_each(docs: DataFrame, rows: DataFrame, mark, id_col: str = "doc_id") -> DataFrame:
+    """The rows of ``docs`` without all but one row of each class: the one with the smallest id, then mark; null ids come last.
+
+    ``rows`` has ``id, mark, label`` of each row of ``docs`` that has a class, ``mark`` is the expression of that column over
+    ``docs``. Rows without a class stay. Whole rows travel at most once, and only if many go.
+    """
+    order = F.struct(F.col("id").isNull().alias("nameless"), "id", "mark")
+    best = rows.groupBy("label").agg(F.min(order).alias("best"), F.count("*").alias("n")).filter("n > 1")
+    judged = cut_lineage(rows.join(best, "label").select("id", "mark", F.expr("id <=> best.id and mark = best.mark").alias("stays")))
+    gone = judged.filter("not stays").select(F.col("id").alias("gone_id"), F.col("mark").alias("gone_mark")).distinct()
+    again = judged.filter("stays").groupBy("id", "mark").count().filter("count > 1").select("id", "mark")
+    name = fresh("row_mark", docs)
+    marked = docs.withColumn(name, mark)
+    same = lambda i, m: F.col(id_col).eqNullSafe(F.col(i)) & (F.col(name) == F.col(m))
+    kept = marked.join(gone, same("gone_id", "gone_mark"), "left_anti")
+    if again.isEmpty():
+        return kept.select(docs.columns)
+    again = again.select(F.col("id").alias("gone_id"), F.col("mark").alias("gone_mark"))
+    single = kept.join(again, same("gone_id", "gone_mark"), "left_anti")
+    one = kept.join(again, same("gone_id", "gone_mark"), "left_semi").dropDuplicates([id_col, name])
+    return single.unionByName(one).select(docs.columns)
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` without all but one row of each class: the one with the smallest id, then MD5; null ids come last.
 
-    Rows without a text stay.
+    Copies are a class of their own. Rows without a text stay. Columns beside the two may have any name.
     """
-    key = F.md5(F.col(text_col).cast("string"))
+    mark = F.md5(F.col(text_col).cast("string"))
     classes = near_classes(docs, text_col, **options)
-    rows = docs.select(F.col(id_col).alias("id"), key.alias("key")).filter("key is not null").join(classes, "key", "left")
-    rows = rows.withColumn("label", F.coalesce("label", "key"))
-    best = rows.groupBy("label").agg(F.min(F.struct(F.col("id").isNull().alias("nameless"), "id", "key")).alias("best"), F.count("*").alias("n"))
-    many = cut_lineage(best.filter("n > 1").select("label", "best.id", "best.key"))
-    # rows of classes with one row stay as they are; of the others one row is taken
-    member = rows.join(many.select("label"), "label", "left_semi").select("key").distinct()
-    marked = docs.withColumn("near_key", key)
-    kept = marked.join(member.withColumnRenamed("key", "near_key"), "near_key", "left_anti")
-    chosen = marked.join(many.selectExpr("id as near_id", "key as near_key"), "near_key").filter(F.col(id_col).eqNullSafe(F.col("near_id")))
-    return kept.select(docs.columns).unionByName(chosen.dropDuplicates(["near_key"]).select(docs.columns))
+    rows = docs.select(F.col(id_col).alias("id"), mark.alias("mark")).filter("mark is not null").join(classes, "mark", "left")
+    return one_row_each(docs, rows.withColumn("label", F.coalesce("label", "mark")), mark, id_col)

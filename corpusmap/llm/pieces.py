@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.functions import arrow_udf
 from sentencepiece import sentencepiece_model_pb2 as model_pb2
 
-from corpusmap.llm.common import as_bytes, slices
+from corpusmap.llm.common import as_bytes, fresh, slices
 from corpusmap.session import cut_lineage
 
 CHUNK = 1 << 16
@@ -442,23 +442,27 @@ def encode(
 
     Texts of more than ``chunk`` characters go through the scan, or in parts through the merges, the others whole through one task.
     ``reader_of`` names the reader that gives a model's own ids.
+    A column named ``out_col`` or ``exact_col`` is replaced, others stay whatever their name.
     Null texts get null, empty ones an empty array; equal texts get equal ids, repeated rows stay, and
     decoding gives back every text exactly.
     """
     spark = docs.sparkSession
     long = F.coalesce(F.char_length(F.col(text_col).cast("string")) > chunk, F.lit(False))
-    short = docs.filter(~long).withColumn("piece_out", encode_column(spark, model, F.col(text_col), reader))
-    short = short.select(*docs.columns, F.col("piece_out.ids").alias(out_col), *([F.col("piece_out.exact").alias(exact_col)] if exact_col else []))
+    out, own = fresh("piece_out", docs), [c for c in docs.columns if c not in (out_col, exact_col)]
+    short = docs.filter(~long).withColumn(out, encode_column(spark, model, F.col(text_col), reader))
+    short = short.select(*own, F.col(f"{out}.ids").alias(out_col), *([F.col(f"{out}.exact").alias(exact_col)] if exact_col else []))
     giant = docs.filter(long)
     if giant.isEmpty():
         return short
     key = F.sha2(F.col(text_col).cast("string"), 256)
     texts = giant.select(key.alias("piece_key"), F.col(text_col).cast("string").alias("text")).dropDuplicates(["piece_key"])
-    scanned = (merge_giant if reader is Merges else encode_giant)(texts, model, chunk).select("piece_key", F.col("token_ids").alias(out_col))
-    giant = giant.withColumn("piece_key", key).join(scanned, "piece_key").drop("piece_key")
-    if exact_col:
-        giant = giant.withColumn(exact_col, decode_column(spark, model, F.col(out_col)).eqNullSafe(F.col(text_col).cast("string")))
-    return short.unionByName(giant)
+    scanned = (merge_giant if reader is Merges else encode_giant)(texts, model, chunk)
+    name, found = fresh("piece_key", docs), fresh("piece_found", docs)
+    scanned = scanned.select(F.struct("piece_key", "token_ids").alias(found))
+    giant = giant.withColumn(name, key).join(scanned, F.col(name) == F.col(f"{found}.piece_key"))
+    ids = F.col(f"{found}.token_ids")
+    exact = [decode_column(spark, model, ids).eqNullSafe(F.col(text_col).cast("string")).alias(exact_col)] if exact_col else []
+    return short.unionByName(giant.select(*own, ids.alias(out_col), *exact))
 
 
 def merge_giant(texts: DataFrame, model: bytes, chunk: int = CHUNK) -> DataFrame:

@@ -20,6 +20,7 @@ from pyspark.sql.functions import arrow_udf
 
 from corpusmap.llm.common import LOWER, as_bytes, space_words
 from corpusmap.operators.components import connected_components
+from corpusmap.operators.rows import hash_order, smallest
 from corpusmap.session import cut_lineage, discard
 
 SHINGLE, BITS, SEED = 3, 3, 42
@@ -143,8 +144,7 @@ def near_links(prints: DataFrame, leaf_rows: int = LEAF_ROWS, block_rows: int =
     """
     spark = prints.sparkSession
     count = prints.count()
-    drawn = [r.fp for r in prints.orderBy(F.xxhash64("fp"), "fp").limit(sample).collect()]
-    drawn = np.array(drawn, "i8").view("u8")
+    drawn = np.array(sorted(r.fp for r in smallest(prints.select("fp"), sample, hash_order("fp")).collect()), "i8").view("u8")
     leaf = max(2, leaf_rows * len(drawn) // max(count, 1))
     halves = [(drawn >> np.uint64(32 * h)).astype("u4") for h in (0, 1)]
     held = spark.sparkContext.broadcast([Tree(half, leaf, h) for h, half in enumerate(halves)])
@@ -181,22 +181,27 @@ def near_links(prints: DataFrame, leaf_rows: int = LEAF_ROWS, block_rows: int =
     return links
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, **trees) -> DataFrame:
+def near_duplicates(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, mark: Column | None = None, **trees
+) -> DataFrame:
     """``id_col, fp, component_id`` for every row of ``docs``; ``fp`` is the fingerprint as a signed long.
 
     Fingerprints that differ in 3 bits or fewer are linked; ``component_id`` is the smallest id
     reachable over links, the row's own included. Copies share a fingerprint and collapse before any comparison.
     Null and wordless texts have fingerprint 0 and are linked like any other. Rows with a null id
     keep it and link others, but never name a class (null if no id is there to name it). Repeated rows stay.
+    With ``mark``, an expression over ``docs``, columns ``mark`` and ``label`` follow; classes with equal labels are one.
     """
-    prints = cut_lineage(docs.select(F.col(id_col).alias("id"), fingerprints(F.col(text_col), shingle).alias("fp")))
+    extra = [] if mark is None else [mark.alias("mark")]
+    prints = cut_lineage(docs.select(F.col(id_col).alias("id"), fingerprints(F.col(text_col), shingle).alias("fp"), *extra))
     classes = cut_lineage(prints.groupBy("fp").agg(F.min("id").alias("low")))
     links = near_links(classes.select("fp"), **trees)
     labels = connected_components(links).select(F.col("id").alias("fp"), "label")
     linked = classes.join(labels, "fp", "left").withColumn("label", F.coalesce("label", "fp"))
-    smallest = linked.groupBy("label").agg(F.min("low").alias("component_id"))
-    named = linked.join(smallest, "label").select("fp", "component_id")
-    return prints.join(named, "fp").select(F.col("id").alias(id_col), "fp", "component_id")
+    lowest = linked.groupBy("label").agg(F.min("low").alias("component_id"))
+    named = linked.join(lowest, "label").select("fp", "component_id", "label")
+    found = prints.join(named, "fp")
+    return found.select(F.col("id").alias(id_col), "fp", "component_id", *([] if mark is None else ["mark", "label"]))
 
 
 def hex_print(column: str) -> Column:

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.functions import arrow_udf
 
-from corpusmap.llm.common import as_bytes, slices, space_words
+from corpusmap.llm.common import as_bytes, fresh, slices, space_words
 from corpusmap.session import cut_lineage
 
 WINDOW, ROUNDS, FIRST_ROUND = 20, 5, 2
@@ -183,6 +183,8 @@ def _combined(rows: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
 
     Settled rows travel under a key of their own document, so a hot group does not meet in one task.
     """
+    if not len(rows["k"]):  # no text of the batch has a window
+        return rows | {"kind": np.zeros(0, "i1")}
     order = np.lexsort((rows["pos"], rows["tie"], rows["id"], rows["s"], rows["k"]))
     rows = {f: v[order] for f, v in rows.items()}
     again = np.append(False, (rows["k"][1:] == rows["k"][:-1]) & (rows["s"][1:] == rows["s"][:-1]))
@@ -234,17 +236,18 @@ def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``docs`` with columns that name and order documents; null ids come last, equal ids in the order of a hash of their texts."""
+    """``docs`` with a last column, a struct that names and orders documents; null ids come last, equal ids in the order of a hash of their texts."""
     key = F.coalesce(F.col(id_col).cast("bigint"), F.lit(LAST))
     text = F.col(text_col).cast("string")
     repeated = docs.groupBy(key.alias("k")).count().filter("count > 1")
     tie = F.lit(0) if repeated.isEmpty() else (F.xxhash64(text) % (1 << 30)).cast("int")
-    return docs.withColumn("repeat_id", key).withColumn("repeat_tie", tie).withColumn("repeat_text", text)
+    return docs.withColumn(fresh("repeat_key", docs), F.struct(key.alias("id"), tie.alias("tie"), text.alias("text")))
 
 
 def repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW) -> DataFrame:
     """``id, tie, pos, n``: the ``n`` windows from word ``pos`` on occur earlier; each such window is in one row at least."""
-    texts = _keyed(docs, id_col, text_col).select("repeat_id", "repeat_tie", "repeat_text").filter("repeat_text is not null")
+    keyed = _keyed(docs, id_col, text_col)
+    texts = keyed.select(F.col(keyed.columns[-1]).alias("r")).selectExpr("r.id as repeat_id", "r.tie as repeat_tie", "r.text as repeat_text").filter("repeat_text is not null")
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = WordHashes()
@@ -292,7 +295,7 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     words covers it whose sequence also starts earlier: in a document with a smaller id, or further up
     in the same one. Windows are judged on the input. Null and empty texts have no words. Null ids come
     after all others; different texts with one id are ordered by a hash of the text; exact repeats of a
-    row are one document. Every row of ``docs`` is returned.
+    row are one document. Every row of ``docs`` is returned, with its columns; one named ``repeats`` is replaced.
     """
     if not 2 <= window < 256:
         raise ValueError("window must be from 2 to 255")
@@ -319,10 +322,11 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             yield pa.array(out, kind)
 
     keyed = _keyed(docs, id_col, text_col)
-    joined = keyed.join(
-        ranges.hint("shuffle_hash"), (F.col("repeat_id") == ranges["id"]) & (F.col("repeat_tie") == ranges["tie"]), "left"
-    )
-    return joined.withColumn("repeats", keep("repeat_text", "repeat_ranges")).select(*[keyed[c] for c in docs.columns], "repeats")
+    key, found_key = keyed.columns[-1], fresh("repeat_found", keyed)
+    ranges = ranges.select(F.struct("id", "tie", F.col("repeat_ranges").alias("ranges")).alias(found_key))
+    same = (F.col(f"{key}.id") == F.col(f"{found_key}.id")) & (F.col(f"{key}.tie") == F.col(f"{found_key}.tie"))
+    joined = keyed.join(ranges.hint("shuffle_hash"), same, "left")
+    return joined.select(*[keyed[c] for c in docs.columns if c != "repeats"], keep(F.col(f"{key}.text"), F.col(f"{found_key}.ranges")).alias("repeats"))
 
 
 def brute_force(texts: list[str | None], window: int = WINDOW) -> pd.DataFrame:

@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.functions import arrow_udf
 
 from corpusmap.llm.common import alnum_words, as_bytes
+from corpusmap.operators.rows import hash_order, smallest
 
 BUCKETS = 1 << 20
 #: Standard errors by which the share of positives with a word must differ, and how many words are used in any case.
@@ -108,7 +109,7 @@ def train(
     """Fit on at most ``positives`` confirmed toxic texts and ``unlabelled`` other ones, both drawn by hash of the id.
 
     ``learn`` is a condition on ``id_col``; only rows that meet it are used. ``prior`` is the share
-    of toxic text; by default that among the labelled rows, where both labels occur. The two lists
+    of toxic text; by default that among the labelled rows, kept within 0.01 and 0.5. The two lists
     of ids are all that is sent to the executors. Null ids, labels and texts are not learnt from;
     without positives every text gets a score near 0.
     """
@@ -116,7 +117,7 @@ def train(
     if prior is None:
         prior = known.agg(F.avg(F.col(label_col).cast("double"))).first()[0] or 0.0
         prior = min(max(prior, 0.01), 0.5)
-    drawn = lambda rows, most: rows.select(id_col).distinct().orderBy(F.xxhash64(id_col), id_col).limit(most)
+    drawn = lambda rows, most: smallest(rows.select(id_col).distinct(), most, hash_order(id_col))
     toxic = drawn(known.filter(F.col(label_col) == 1), positives).withColumn("kind", F.lit(1))
     other = drawn(docs.filter(learn & F.col(id_col).isNotNull()), unlabelled).withColumn("kind", F.lit(0))
     wanted = toxic.unionByName(other).groupBy(id_col).agg(F.max("kind").alias("kind"))

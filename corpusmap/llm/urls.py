@@ -9,6 +9,7 @@ from math import ceil, log
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from corpusmap.llm.common import fresh
 from corpusmap.session import cut_lineage, discard
 
 A_TO_Z = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -93,26 +94,26 @@ def judge_urls(
     The longest fitting rule decides. Hosts seed the walks with the shares of their pages that rules
     allow and block; where no rule fits, a host whose distrust exceeds its trust by more than
     ``threshold`` is blocked, any other allowed. Null urls and urls without ``://`` have an empty host and path, fit no
-    rule and are allowed; null pages have no links; repeated rows count as they stand.
+    rule and are allowed; null pages have no links; repeated rows count as they stand. A column named ``url_verdict`` is replaced,
+    others stay.
     """
     host, path = host_of(F.col(url_col)), path_of(F.col(url_col))
     found = F.struct(host.alias("host"), path.alias("path"), longest_rule(host, path, rules).alias("fit"))
-    marked = pages.withColumn("url_found", found)
-    share = lambda verdict: F.avg(F.coalesce((F.col("url_found.fit.verdict") == verdict).cast("double"), F.lit(0.0)))
+    at, known_at = fresh("url_found", pages), fresh("url_known", pages)
+    marked = pages.withColumn(at, found)
+    share = lambda verdict: F.avg(F.coalesce((F.col(f"{at}.fit.verdict") == verdict).cast("double"), F.lit(0.0)))
     seeds = cut_lineage(
-        marked.filter("url_found.host <> ''").groupBy(F.col("url_found.host").alias("host"))
+        marked.filter(f"`{at}`.host <> ''").groupBy(F.col(f"{at}.host").alias("host"))
         .agg(share("allow").alias("trusted"), share("block").alias("blocked"))
     )
-    known = spread(host_links(pages, host, html_col), seeds, tolerance, damping).withColumnsRenamed(
-        {"host": "url_host", "trust": "url_trust", "distrust": "url_distrust"}
-    )
-    joined = marked.join(known, F.col("url_found.host") == F.col("url_host"), "left")
-    trust, distrust = (F.coalesce(F.col(c), F.lit(0.0)) for c in ("url_trust", "url_distrust"))
+    known = spread(host_links(pages, host, html_col), seeds, tolerance, damping).select(F.struct("host", "trust", "distrust").alias(known_at))
+    joined = marked.join(known, F.col(f"{at}.host") == F.col(f"{known_at}.host"), "left")
+    trust, distrust = (F.coalesce(F.col(f"{known_at}.{c}"), F.lit(0.0)) for c in ("trust", "distrust"))
     spoken = F.when(distrust > trust + threshold, "block").otherwise("allow")
     return joined.select(
-        *[F.col(f"`{c}`") for c in pages.columns],
+        *[F.col(f"`{c}`") for c in pages.columns if c != "url_verdict"],
         F.struct(
-            F.col("url_found.host").alias("host"), F.col("url_found.path").alias("path"), F.col("url_found.fit.rule").alias("rule"),
-            F.coalesce("url_found.fit.verdict", spoken).alias("verdict"), trust.alias("trust"), distrust.alias("distrust"),
+            F.col(f"{at}.host").alias("host"), F.col(f"{at}.path").alias("path"), F.col(f"{at}.fit.rule").alias("rule"),
+            F.coalesce(f"{at}.fit.verdict", spoken).alias("verdict"), trust.alias("trust"), distrust.alias("distrust"),
         ).alias("url_verdict"),
     )
