@@ -2,55 +2,38 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from corpusmap.llm import decontaminate, overlap, pieces, pii, simhash, toxicity
+from corpusmap.llm.common import fresh
 from corpusmap.llm.queries import MODEL_FILE
 from corpusmap.session import cut_lineage
 from corpusmap.sources.tables import table
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose toxicity score is below 0.5."""
+    """Documents whose toxicity score is below 0.5; null and empty texts stay."""
     model = toxicity.train(docs, table(spark, sf_dir, "labels"), F.lit(True))
-    scored = docs.withColumn("toxicity_score", toxicity.toxicity(spark, model, F.col("text")))
-    return scored.filter("toxicity_score < 0.5").drop("toxicity_score")
+    score = fresh("toxicity_score", docs)
+    return docs.withColumn(score, toxicity.toxicity(spark, model, F.col("text"))).filter(F.col(score) < 0.5).select(docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class: the one with the smallest id, and one row of it.
+    """One row of each class: the one with the smallest id, then MD5 of its text; null ids come last.
 
-    A class without any id keeps one row for each fingerprint.
+    First classes of fingerprints within 3 bits, the contract of op8, null and empty texts included. These miss most pairs of
+    texts near a similarity of 0.8, so among the rows left, classes of texts whose sets of five words are alike to 0.8 or more.
     """
-    found = simhash.near_duplicates(docs.select("doc_id", "text"))
-    named = found.filter("component_id is not null and doc_id = component_id").select("doc_id").distinct()
-    nameless = docs.filter("doc_id is null")
-    kept = docs.join(named, "doc_id", "left_semi")
-    order = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), "text")
-    repeated = docs.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1")
-    if not repeated.isEmpty():
-        kept = kept.withColumn("copy_rank", F.row_number().over(order)).filter("copy_rank = 1").drop("copy_rank")
-    if nameless.isEmpty():
-        return kept.select(docs.columns)
-    alone = found.filter("doc_id is null and component_id is null").select("fp").distinct()
-    marked = nameless.withColumn("near_fp", simhash.fingerprints(F.col("text")))
-    rank = Window.partitionBy("near_fp").orderBy(F.xxhash64("text"), "text")
-    extra = marked.join(alone.withColumnRenamed("fp", "near_fp"), "near_fp").withColumn("copy_rank", F.row_number().over(rank))
-    return kept.select(docs.columns).unionByName(extra.filter("copy_rank = 1").select(docs.columns))
-
-
-def drop_alike(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of texts whose sets of five words are alike to 0.8 or more.
-
-    Fingerprints within 3 bits, the contract of op8, miss most pairs near 0.8; this finds all that the stage before left.
-    """
-    return overlap.one_of_each(docs)
+    mark = F.md5(F.coalesce(F.col("text").cast("string"), F.lit("")))
+    found = simhash.near_duplicates(docs, mark=mark).select(F.col("doc_id").alias("id"), "mark", "label")
+    return overlap.one_of_each(cut_lineage(overlap.one_row_each(docs, found, mark)))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of which less than one word in 20 lies in a benchmark window."""
-    found = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark"))
-    return found.filter(~decontaminate.is_contaminated()).select(docs.columns)
+    shared = fresh("benchmark_found", docs)
+    found = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark"), out_col=shared)
+    return found.filter(~decontaminate.is_contaminated(shared)).select(docs.columns)
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -71,7 +54,6 @@ def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 STAGES = [
     ("toxicity", drop_toxic),
     ("simhash_near_dedup", drop_near_duplicates),
-    ("five_word_near_dedup", drop_alike),
     ("benchmark_decontamination", drop_contaminated),
     ("pii", mask_personal_data),
     ("sentencepiece", encode_pieces),
