@@ -9,6 +9,8 @@ from corpusmap.operators import knn
 from corpusmap.sources.tables import table
 
 GRAPH_K = 5
+# Rows of a cell, few, so that tables of any scale have cells of both levels.
+CELL_ROWS = 16
 
 
 def _points(spark: SparkSession, folder: str) -> DataFrame:
@@ -40,11 +42,11 @@ def knn_by_id(spark, folder):
 
 def knn_ivf(spark, folder):
     p = _points(spark, folder)
-    return _rounded(knn.join_nearest(p, p, 10))
+    return _rounded(knn.join_nearest(p, p, 10, cell_rows=CELL_ROWS))
 
 
 def knn_graph(spark, folder):
-    return _rounded(knn.neighbor_graph(_points(spark, folder), GRAPH_K, metric="cosine"))
+    return _rounded(knn.neighbor_graph(_points(spark, folder), GRAPH_K, metric="cosine", cell_rows=CELL_ROWS))
 
 
 def neighbor_rows(spark, folder):
@@ -73,7 +75,7 @@ def place_new_points(spark, folder):
     p = _points(spark, folder)
     known, new = p.filter("label < 7"), p.filter("label >= 7")
     where = known.select("id", F.col("vector")[0].cast("double").alias("x"), F.col("vector")[1].cast("double").alias("y"))
-    placed = knn.place_new_points(knn.join_nearest(new, known, 15), where)
+    placed = knn.place_new_points(knn.join_nearest(new, known, 15, cell_rows=CELL_ROWS), where)
     return placed.select("id", F.round("x", 4).alias("x"), F.round("y", 4).alias("y"))
 
 

@@ -1,6 +1,8 @@
-"""Cutting a vector space into cells around pivots, and searching cells block by block.
+"""Cutting a vector space into cells of two levels, and searching cells block by block.
 
-Pivots are real rows, drawn by id hash. Their number is bounded, so they may travel to every task.
+A bounded number of real rows, drawn by id hash, are the first pivots and may travel to every task. Inside each of their
+cells a grouped job draws second pivots, as many as its rows ask for, so cells keep their size however many rows there
+are, and nothing about the second level ever meets in one place. A search rules out cells by both levels.
 """
 
 from __future__ import annotations
@@ -10,29 +12,27 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from corpusmap.functions import blocks
-from corpusmap.session import cut_lineage, spread
+from corpusmap.operators.rows import hash_order, smallest
+from corpusmap.session import cut_lineage, discard, spread
 
+# First pivots, second ones of one first cell, and rows of a second cell.
 MAX_PIVOTS = 4096
+MAX_INNER = 8192
 CELL_ROWS = 1024
 BLOCK_ROWS = 8192
 QUERY_ROWS = 4096
+# First cells whose second cells a query looks into before there is a bound.
+FIRST_PROBES = 2
 SLACK = 1e-9
+# Bits of a cell's number that tell the second cells of one first cell apart.
+INNER_BITS = 20
 
 settle = cut_lineage
 
 
-@dataclasses.dataclass
-class CellStats:
-    """Non-empty cells with their row counts and the distance of their farthest row."""
-
-    cell: np.ndarray
-    size: np.ndarray
-    reach: np.ndarray
-
-
 def to_space(distance: np.ndarray, metric: str) -> np.ndarray:
     """A metric's distance as Euclidean distance between prepared vectors."""
     if metric == "cosine":
@@ -49,190 +49,244 @@ def thin(pivots: np.ndarray, spacing: float) -> np.ndarray:
     return np.array(kept, dtype=int)
 
 
+def far_apart(x: np.ndarray, pivots: np.ndarray) -> np.ndarray:
+    return np.sqrt(blocks.rough_distances(x, pivots, "l2"))
+
+
+def paired(left: DataFrame, right: DataFrame, key: str, left_rows: int, right_rows: int):
+    """Both sides, cogrouped by ``key`` and by a block of each: no group holds more than a block of either side.
+
+    Rows are dealt by hash of ``id`` and ``vector`` and copied to every block of the other side. Sizes are counted and joined,
+    so the driver sees none of them. Keys that only one side has are left out.
+    """
+    sizes = left.groupBy(key).agg(F.count(F.lit(1)).alias("nl")).join(right.groupBy(key).agg(F.count(F.lit(1)).alias("nr")), key)
+    sizes = sizes.select(key, F.ceil(F.col("nl") / left_rows).cast("int").alias("nl"), F.ceil(F.col("nr") / right_rows).cast("int").alias("nr"))
+
+    def dealt(side: DataFrame, own: str, other: str, own_block: str, other_block: str):
+        rows = side.join(sizes, key).withColumn(own_block, F.pmod(F.xxhash64("id", "vector"), F.col(own)).cast("int"))
+        rows = rows.withColumn(other_block, F.explode(F.sequence(F.lit(0), F.col(other) - 1)))
+        return rows.select(*side.columns, "lb", "rb").groupBy(key, "lb", "rb")
+
+    return dealt(left, "nl", "nr", "lb", "rb").cogroup(dealt(right, "nr", "nl", "rb", "lb"))
+
+
+def early(rows: DataFrame, key: str, wanted: dict[int, int], sizes: dict[int, int], salt: int) -> DataFrame:
+    """Of each group, a hash share of its rows with about twice the number wanted: ``rows`` with ``wanted`` and ``turn``.
+
+    One line per first cell goes along.
+    """
+    layout = rows.sparkSession.createDataFrame([(int(c), int(w), int(sizes[c])) for c, w in wanted.items()], f"{key} int, wanted int, rows bigint")
+    turn = hash_order(F.lit(salt), "id")
+    share = F.conv(F.substring(turn, 1, 8), 16, 10).cast("bigint") / F.lit(float(2**32))
+    some = rows.join(F.broadcast(layout), key).filter(share <= (2 * F.col("wanted") + 16) / F.col("rows"))
+    return some.drop("rows").withColumn("turn", turn)
+
+
 @dataclasses.dataclass
-class Grid:
-    pivots: np.ndarray
-    pivot_ids: pa.Array
+class Cells:
+    """Rows of a vector space at home in cells of two levels.
+
+    ``homes``: ``cell, id, vector, radius`` with prepared vectors; ``stats``: ``coarse, cell, id, vector, size, reach`` of
+    the non-empty cells, ``vector`` being their pivot, ``reach`` the distance of the farthest row.
+    """
+
     metric: str
+    pivots: np.ndarray
+    reach: np.ndarray
+    homes: DataFrame
+    stats: DataFrame
 
     @classmethod
-    def over(
-        cls, points: DataFrame, metric: str, pivots: int | None = None, spacing: float = 0.0
-    ) -> "Grid":
-        if pivots is None:
-            pivots = points.count() // CELL_ROWS
-        drawn = (
-            points.select("id", "vector")
-            .orderBy(F.xxhash64(F.lit(17), "id"), "id")
-            .limit(max(1, min(pivots, MAX_PIVOTS)))
-            .toArrow()
-        )
-        vectors = blocks.prepare(blocks.matrix(drawn.column("vector")), metric)
-        kept = thin(vectors, spacing)
-        return cls(vectors[kept], drawn.column("id").combine_chunks().take(pa.array(kept)), metric)
-
-    def distances(self, x: np.ndarray) -> np.ndarray:
-        return np.sqrt(blocks.rough_distances(x, self.pivots, "l2"))
+    def over(cls, points: DataFrame, metric: str, cells: int | None = None, cell_rows: int = CELL_ROWS) -> "Cells":
+        """About ``cell_rows`` rows in a cell, or about ``cells`` cells."""
+        points = points.select("id", "vector")
+        n = points.count()
+        if cells is not None:
+            cell_rows = max(1, n // max(1, cells))
+        first = max(1, min(MAX_PIVOTS, math.isqrt(max(0, n // cell_rows - 1)) + 1))
+        drawn = smallest(points, first, hash_order(F.lit(17), "id")).toArrow()
+        drawn = drawn.take(pa.array(np.argsort(blocks.order_key(drawn["id"]), kind="stable")))
+        pivots = blocks.prepare(blocks.matrix(drawn["vector"]), metric)
+        pivots = pivots[thin(pivots, 0.0)]
+        id_type = points.schema["id"].dataType.simpleString()
 
-    def assign_home(self, points: DataFrame) -> DataFrame:
-        """``cell, id, vector, radius`` with the vector prepared for the metric."""
-        grid = self
+        def to_first(batches):
+            for batch in batches:
+                if batch.num_rows:
+                    x = blocks.prepare(blocks.matrix(batch.column(1)), metric)
+                    d = far_apart(x, pivots)
+                    home = d.argmin(1)
+                    yield _rows({"coarse": home.astype("i4")}, batch.column(0), x, None, radius=d[np.arange(len(x)), home])
+
+        placed = cut_lineage(spread(points).mapInArrow(to_first, f"coarse int, id {id_type}, vector array<double>, radius double"))
+        lines = placed.groupBy("coarse").agg(F.count(F.lit(1)).alias("n"), F.max("radius").alias("reach")).collect()
+        sizes, reach = {r.coarse: r.n for r in lines}, np.full(len(pivots), -np.inf)
+        for r in lines:
+            reach[r.coarse] = r.reach
+        wanted = {c: min(MAX_INNER, -(-n // cell_rows)) for c, n in sizes.items()}
+        turn = Window.partitionBy("coarse").orderBy("turn", "id")
+        inner = early(placed.select("coarse", "id", "vector"), "coarse", wanted, sizes, 29)
+        inner = inner.withColumn("nth", F.row_number().over(turn)).filter("nth <= wanted").select("coarse", "vector")
+        own = placed.sparkSession.createDataFrame([(c, pivots[c].tolist()) for c in sizes], "coarse int, vector array<double>")
+
+        def number(group: pa.Table) -> pa.Table:
+            x = np.unique(blocks.matrix(group["vector"]), axis=0)
+            coarse = group["coarse"][0].as_py()
+            cell = (coarse << INNER_BITS) + np.arange(len(x))
+            return pa.table({"coarse": pa.array(np.full(len(x), coarse, "i4")), "cell": cell, "id": cell, "vector": _lists(x)})
+
+        inner = cut_lineage(inner.unionByName(own).groupBy("coarse").applyInArrow(number, "coarse int, cell bigint, id bigint, vector array<double>"))
+
+        def to_second(rows: pa.Table, around: pa.Table) -> pa.Table:
+            x, p = blocks.matrix(rows["vector"]), blocks.matrix(around["vector"])
+            cell = around["cell"].to_numpy()
+            order = np.argsort(cell)
+            home, radius = np.zeros(len(x), int), np.zeros(len(x))
+            for part in _parts(len(x), len(p)):
+                d = far_apart(x[part], p[order])
+                home[part], radius[part] = d.argmin(1), d.min(1)
+            return pa.table({"cell": cell[order][home], "id": rows["id"], "vector": rows["vector"], "radius": radius})
+
+        homes = paired(placed, inner, "coarse", BLOCK_ROWS, 2 * MAX_INNER).applyInArrow(
+            to_second, f"cell bigint, id {id_type}, vector array<double>, radius double"
+        )
+        homes = cut_lineage(homes)
+        discard(placed)
+        sums = homes.groupBy("cell").agg(F.count(F.lit(1)).alias("size"), F.max("radius").alias("reach"))
+        stats = cut_lineage(sums.join(inner, "cell").select("coarse", "cell", "id", "vector", "size", "reach"))
+        discard(inner)
+        return cls(metric, pivots, reach, homes, stats)
+
+    def discard(self) -> None:
+        discard(self.homes)
+        discard(self.stats)
+
+    def nearest_cells(self, queries: DataFrame, probes: int) -> DataFrame:
+        """Each query with the ``probes`` nearest cells of each of its nearest first cells: ``cell, id, vector``."""
+        return self._route(queries.select("id", "vector", F.lit(None).cast("double").alias("bound")), probes, False)
+
+    def cells_within(self, queries: DataFrame, probes: int) -> DataFrame:
+        """Each query (with its ``bound``) with the other cells that may hold a nearer row."""
+        return self._route(queries.select("id", "vector", "bound"), probes, True)
+
+    def _route(self, queries: DataFrame, probes: int, beyond: bool) -> DataFrame:
+        metric, reach, pivots = self.metric, self.reach, self.pivots
+        id_type = queries.schema["id"].dataType.simpleString()
 
-        def run(batches):
+        def to_first(batches):
             for batch in batches:
-                if not batch.num_rows:
+                if not batch.num_rows or not len(pivots):
                     continue
-                x = blocks.prepare(blocks.matrix(batch.column(1)), grid.metric)
-                d = grid.distances(x)
-                home = d.argmin(1)
-                yield _rows(home, batch.column(0), x, np.arange(len(x)), d[np.arange(len(x)), home])
-
-        points = spread(points.select("id", "vector"))
-        id_type = points.schema["id"].dataType.simpleString()
-        return points.mapInArrow(
-            run, f"cell int, id {id_type}, vector array<double>, radius double"
+                x = blocks.prepare(blocks.matrix(batch.column(1)), metric)
+                d = far_apart(x, pivots)
+                order = d.argsort(1, kind="stable")
+                near = np.zeros(d.shape, bool)
+                np.put_along_axis(near, order[:, :FIRST_PROBES], True, 1)
+                bound = batch.column(2).to_numpy(zero_copy_only=False).astype(float)
+                bound = np.where(np.isnan(bound), np.inf, to_space(bound, metric))
+                chosen = floors(d, order[:, 0], pivots, reach) <= bound[:, None] + SLACK if beyond else near
+                at, coarse = np.nonzero(chosen)
+                yield _rows({"coarse": coarse.astype("i4")}, batch.column(0), x, at, bound=bound[at], near=near[at, coarse])
+
+        routed = spread(queries).mapInArrow(to_first, f"coarse int, id {id_type}, vector array<double>, bound double, near boolean")
+        routed = cut_lineage(routed)
+
+        def to_second(asked: pa.Table, around: pa.Table) -> pa.Table:
+            x, p = blocks.matrix(asked["vector"]), blocks.matrix(around["vector"])
+            bound, near = asked["bound"].to_numpy(), asked["near"].to_numpy()
+            cell, extent = around["cell"].to_numpy(), around["reach"].to_numpy()
+            rows, columns = [], []
+            for part in _parts(len(x), len(p)):
+                d = far_apart(x[part], p)
+                order = np.lexsort((np.broadcast_to(cell, d.shape), d))
+                seen = np.zeros(d.shape, bool)
+                np.put_along_axis(seen, order[:, :probes], True, 1)
+                seen &= near[part, None]
+                chosen = ~seen & (floors(d, order[:, 0], p, extent) <= bound[part, None] + SLACK) if beyond else seen
+                at, column = np.nonzero(chosen)
+                rows.append(at + part.start)
+                columns.append(column)
+            at, column = np.concatenate(rows), np.concatenate(columns)
+            return pa.table({"cell": cell[column], "id": asked["id"].take(pa.array(at)), "vector": _lists(x[at])})
+
+        return paired(routed, self.stats, "coarse", QUERY_ROWS, 2 * MAX_INNER).applyInArrow(
+            to_second, f"cell bigint, id {id_type}, vector array<double>"
         )
 
-    def measure(self, homes: DataFrame) -> CellStats:
-        """Cell sizes; at most one row per pivot comes back."""
-        rows = (
-            homes.groupBy("cell")
-            .agg(F.count(F.lit(1)).alias("size"), F.max("radius").alias("reach"))
-            .orderBy("cell")
-            .toArrow()
-        )
-        return CellStats(*(rows.column(i).to_numpy() for i in range(3)))
 
-    def nearest_cells(self, queries: DataFrame, stats: CellStats, probes: int) -> DataFrame:
-        """Each query with each of its ``probes`` nearest non-empty cells: ``cell, id, vector``."""
-        return self._route(queries.select("id", "vector", F.lit(None).cast("double")), stats, probes, False)
+def floors(d: np.ndarray, nearest: np.ndarray, pivots: np.ndarray, reach: np.ndarray) -> np.ndarray:
+    """What each cell's rows are away from each query at least: they lie within its reach, on its side of the bisecting plane."""
+    near = d[np.arange(len(d)), nearest][:, None]
+    some, of = np.unique(nearest, return_inverse=True)
+    apart = far_apart(pivots[some], pivots)[of]
+    with np.errstate(divide="ignore", invalid="ignore"):
+        plane = (d * d - near * near) / (2.0 * apart)
+    return np.where(np.isneginf(reach)[None, :], np.inf, np.fmax(d - reach[None, :], plane))
 
-    def cells_within(self, queries: DataFrame, stats: CellStats, skip: int) -> DataFrame:
-        """Each query (with its ``bound``) with the farther cells that may hold a nearer row."""
-        return self._route(queries.select("id", "vector", "bound"), stats, skip, True)
 
-    def _route(self, queries: DataFrame, stats: CellStats, probes: int, beyond: bool) -> DataFrame:
-        grid = self
-        apart = np.sqrt(blocks.rough_distances(self.pivots, self.pivots[stats.cell], "l2"))
+def _parts(n: int, width: int) -> list[slice]:
+    """Stretches of rows whose products with the other side stay small."""
+    step = max(1, (1 << 22) // max(1, width))
+    return [slice(i, min(n, i + step)) for i in range(0, n, step)]
 
-        def run(batches):
-            for batch in batches:
-                if not batch.num_rows:
-                    continue
-                x = blocks.prepare(blocks.matrix(batch.column(1)), grid.metric)
-                every = grid.distances(x)
-                d = every[:, stats.cell]
-                order = d.argsort(1, kind="stable")
-                chosen = np.zeros(d.shape, bool)
-                np.put_along_axis(chosen, order[:, :probes], True, 1)
-                if beyond:
-                    bound = batch.column(2).to_numpy(zero_copy_only=False).astype(float)
-                    bound = np.where(np.isnan(bound), np.inf, to_space(bound, grid.metric))
-                    nearest = every.argmin(1)
-                    near = every[np.arange(len(x)), nearest][:, None]
-                    # A cell's rows lie within its reach, and on its side of the bisecting plane.
-                    with np.errstate(divide="ignore", invalid="ignore"):
-                        plane = (d * d - near * near) / (2.0 * apart[nearest])
-                    floor = np.fmax(d - stats.reach[None, :], plane)
-                    chosen = ~chosen & (floor <= bound[:, None] + SLACK)
-                at, col = np.nonzero(chosen)
-                yield _rows(stats.cell[col], batch.column(0), x, at)
 
-        id_type = queries.schema["id"].dataType.simpleString()
-        return spread(queries).mapInArrow(run, f"cell int, id {id_type}, vector array<double>")
-
-
-def _rows(cell, ids, x, at, radius=None) -> pa.RecordBatch:
-    picked = np.ascontiguousarray(x[at])
-    offsets = pa.array(np.arange(len(at) + 1) * x.shape[1], pa.int32())
-    columns = {
-        "cell": pa.array(np.asarray(cell), pa.int32()),
-        "id": ids.take(pa.array(at)),
-        "vector": pa.ListArray.from_arrays(offsets, pa.array(picked.ravel())),
-    }
-    if radius is not None:
-        columns["radius"] = pa.array(radius)
-    return pa.RecordBatch.from_pydict(columns)
-
-
-def _blocks_of(spark: SparkSession, stats: CellStats, asked: dict[int, int]) -> DataFrame:
-    """``cell, nb, nq``: blocks of rows and of queries of each cell. One row per cell."""
-    rows = [
-        (int(c), math.ceil(int(n) / BLOCK_ROWS), math.ceil(asked[int(c)] / QUERY_ROWS))
-        for c, n in zip(stats.cell, stats.size)
-        if int(c) in asked
-    ]
-    return F.broadcast(spark.createDataFrame(rows, "cell int, nb int, nq int"))
-
-
-def search_cells(
-    probes: DataFrame, homes: DataFrame, stats: CellStats, k: int, metric: str, exclude_self: bool
-) -> DataFrame:
+def _lists(x: np.ndarray) -> pa.Array:
+    x = np.ascontiguousarray(x)
+    return pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1) * x.shape[1], pa.int32()), pa.array(x.ravel()))
+
+
+def _rows(lead: dict, ids: pa.Array, x: np.ndarray, at: np.ndarray | None, **more) -> pa.RecordBatch:
+    if at is not None:
+        ids, x = ids.take(pa.array(at)), x[at]
+    columns = {**lead, "id": ids, "vector": _lists(x), **more}
+    return pa.RecordBatch.from_pydict({k: v if isinstance(v, pa.Array) else pa.array(v) for k, v in columns.items()})
+
+
+def search_cells(probes: DataFrame, homes: DataFrame, k: int, metric: str, exclude_self: bool) -> DataFrame:
     """Candidates ``query_id, neighbor_id, distance`` of the probed cells, k per query and block.
 
     A large cell is split into blocks of rows, and its queries into blocks of queries, so no task
     sees more than one block of each.
     """
-    probes = probes.persist()
-    try:
-        return settle(_search(probes, homes, stats, k, metric, exclude_self))
-    finally:
-        probes.unpersist()
-
-
-def _search(
-    probes: DataFrame, homes: DataFrame, stats: CellStats, k: int, metric: str, exclude_self: bool
-) -> DataFrame:
-    spark = homes.sparkSession
-    asked = {r["cell"]: r["count"] for r in probes.groupBy("cell").count().toLocalIterator()}
-    query_type = probes.schema["id"].dataType.simpleString()
-    id_type = homes.schema["id"].dataType.simpleString()
-    layout = _blocks_of(spark, stats, asked)
-
-    def one_to(n):
-        return F.explode(F.sequence(F.lit(0), n - 1))
-
-    left = probes.join(layout, "cell").select(
-        "cell",
-        F.pmod(F.xxhash64("id"), F.col("nq")).cast("int").alias("qb"),
-        one_to(F.col("nb")).alias("b"),
-        "id",
-        "vector",
-    )
-    right = homes.join(layout, "cell").select(
-        "cell",
-        one_to(F.col("nq")).alias("qb"),
-        F.pmod(F.xxhash64("id"), F.col("nb")).cast("int").alias("b"),
-        "id",
-        "vector",
-    )
+    probes = cut_lineage(probes)
+    found = cut_lineage(block_search(probes, homes, "cell", k, metric, exclude_self))
+    discard(probes)
+    return found
+
 
-    def search(asked_rows: pa.Table, stored: pa.Table) -> pa.Table:
-        q, x = blocks.matrix(asked_rows["vector"]), blocks.matrix(stored["vector"])
+def block_search(queries: DataFrame, rows: DataFrame, key: str, k: int, metric: str, exclude_self: bool = False) -> DataFrame:
+    """The k nearest of each query in each block of rows that has its ``key``; vectors are prepared for the metric."""
+    query_type, id_type = (side.schema["id"].dataType.simpleString() for side in (queries, rows))
+
+    def search(asked: pa.Table, stored: pa.Table) -> pa.Table:
+        q, x = blocks.matrix(asked["vector"]), blocks.matrix(stored["vector"])
         x_key = blocks.order_key(stored["id"])
-        q_key = blocks.order_key(asked_rows["id"]) if exclude_self else None
+        q_key = blocks.order_key(asked["id"]) if exclude_self else None
         found = []
-        step = max(1, (1 << 22) // max(1, len(x)))
-        for start in range(0, len(q), step):
-            part = slice(start, start + step)
-            at, col, distance = blocks.nearest_in_block(
-                q[part], x, k, metric, x_key, None if q_key is None else q_key[part]
-            )
-            found.append((at + start, col, distance))
-        at, col, distance = (
-            (np.concatenate([f[i] for f in found]) for i in range(3)) if found else ([], [], [])
-        )
+        for part in _parts(len(q), len(x)):
+            at, col, distance = blocks.nearest_in_block(q[part], x, k, metric, x_key, None if q_key is None else q_key[part])
+            found.append((at + part.start, col, distance))
+        at, col, distance = (np.concatenate([f[i] for f in found]) for i in range(3)) if found else ([], [], [])
         return pa.table(
             {
-                "query_id": asked_rows["id"].take(pa.array(at, pa.int64())),
+                "query_id": asked["id"].take(pa.array(at, pa.int64())),
                 "neighbor_id": stored["id"].take(pa.array(col, pa.int64())),
                 "distance": pa.array(distance, pa.float64()),
             }
         )
 
-    key = ["cell", "qb", "b"]
-    return (
-        left.groupBy(*key)
-        .cogroup(right.groupBy(*key))
-        .applyInArrow(search, f"query_id {query_type}, neighbor_id {id_type}, distance double")
+    return paired(queries, rows.select(key, "id", "vector"), key, QUERY_ROWS, BLOCK_ROWS).applyInArrow(
+        search, f"query_id {query_type}, neighbor_id {id_type}, distance double"
     )
+
+
+def dealt_into_one(df: DataFrame, metric: str) -> DataFrame:
+    """``cell, id, vector`` with prepared vectors, all in one cell: what has no cells is compared block by block."""
+    id_type = df.schema["id"].dataType.simpleString()
+
+    def run(batches):
+        for batch in batches:
+            if batch.num_rows:
+                yield _rows({"cell": np.zeros(batch.num_rows, "i8")}, batch.column(0), blocks.prepare(blocks.matrix(batch.column(1)), metric), None)
+
+    return df.select("id", "vector").mapInArrow(run, f"cell bigint, id {id_type}, vector array<double>")

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import functools
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
@@ -44,38 +43,25 @@ def search_by_vector(
     query_id_col: str = "id",
     query_vector_col: str = "vector",
     metric: str = "l2",
-    _salt: int = 0,
 ) -> DataFrame:
     """k nearest corpus rows of each query: ``query_id, neighbor_id, distance, rank``.
 
     Up to ``SCAN_QUERIES`` queries go to every task and the corpus is scanned once, each task
     keeping its own k best. More queries than that are joined cell by cell; for ``dot``, which has
-    no cells, they are dealt into several scans.
+    no cells, blocks of queries meet blocks of rows, and a block hands on k rows per query.
     """
     _check(k, metric)
     wanted = queries.select(
         F.col(query_id_col).alias("query_id"), F.col(query_vector_col).alias("vector")
     )
     rows = wanted.limit(SCAN_QUERIES + 1).toArrow()
-    if rows.num_rows > SCAN_QUERIES and metric == "dot":
-        scans = -(-2 * wanted.count() // SCAN_QUERIES)
-        dealt = F.pmod(F.xxhash64("query_id", F.lit(_salt)), F.lit(scans))
-        found = [
-            search_by_vector(
-                corpus, wanted.filter(dealt == i), k, id_col=id_col, vector_col=vector_col,
-                query_id_col="query_id", query_vector_col="vector", metric=metric, _salt=_salt + 1,
-            )
-            for i in range(scans)
-        ]
-        return functools.reduce(DataFrame.unionByName, found)
-    if rows.num_rows > SCAN_QUERIES:
-        return join_nearest(
-            wanted.withColumnRenamed("query_id", "id"),
-            corpus.select(F.col(id_col).alias("id"), F.col(vector_col).alias("vector")),
-            k,
-            metric=metric,
-        )
     points = corpus.select(F.col(id_col).alias("id"), F.col(vector_col).alias("vector"))
+    if rows.num_rows > SCAN_QUERIES:
+        asked = wanted.withColumnRenamed("query_id", "id")
+        if metric == "dot":
+            one = [cells.settle(cells.dealt_into_one(side, metric)) for side in (asked, points)]
+            return rank_neighbors(cells.block_search(*one, "cell", k, metric), k)
+        return join_nearest(asked, points, k, metric=metric)
     query_type = wanted.schema["query_id"].dataType.simpleString()
     id_type = points.schema["id"].dataType.simpleString()
     query_ids = rows.column("query_id").combine_chunks()
@@ -170,41 +156,36 @@ def join_nearest(
     complete: bool = True,
     exclude_self: bool = False,
     pivots: int | None = None,
+    cell_rows: int = cells.CELL_ROWS,
 ) -> DataFrame:
     """k nearest corpus rows of every row of a large query side (columns ``id, vector`` on both).
 
-    The corpus is cut into cells around pivots. Each query first looks into its ``probes`` nearest
-    cells, which bounds its k-th distance. With ``complete`` (default) it then visits every other
-    cell that the bound cannot rule out, so the result is exact; without it the answer is the
+    The corpus is cut into cells of about ``cell_rows`` rows (or about ``pivots`` cells) around pivots of two levels. Each
+    query first looks into its ``probes`` nearest cells, which bounds its k-th distance. With ``complete`` (default) it then
+    visits every other cell that the bound cannot rule out at both levels, so the result is exact; without it the answer is the
     usual approximate one.
     """
     _check(k, metric)
     if metric == "dot":
         raise ValueError("cells need a metric space: use l2, cosine or hamming")
-    grid = cells.Grid.over(corpus, metric, pivots)
-    homes = grid.assign_home(corpus).persist()
-    try:
-        stats = grid.measure(homes)
-        first = grid.nearest_cells(queries, stats, probes)
-        near = cells.search_cells(first, homes, stats, k, metric, exclude_self)
-        if not complete or probes >= len(stats.cell):
-            return cells.settle(rank_neighbors(near, k))
+    index = cells.Cells.over(corpus, metric, pivots, cell_rows)
+    near = cells.search_cells(index.nearest_cells(queries, probes), index.homes, k, metric, exclude_self)
+    if complete:
         near = cells.settle(rank_neighbors(near, k))
-        bounds = near.filter(F.col("rank") == k).select(
-            F.col("query_id").alias("id"), F.col("distance").alias("bound")
-        )
-        rest = grid.cells_within(queries.join(bounds, "id", "left"), stats, probes)
-        far = cells.search_cells(rest, homes, stats, k, metric, exclude_self)
-        return cells.settle(rank_neighbors(near.drop("rank").unionByName(far), k))
-    finally:
-        homes.unpersist()
+        bounds = near.filter(F.col("rank") == k).select(F.col("query_id").alias("id"), F.col("distance").alias("bound"))
+        rest = index.cells_within(queries.join(bounds, "id", "left"), probes)
+        far = cells.search_cells(rest, index.homes, k, metric, exclude_self)
+        near = near.drop("rank").unionByName(far)
+    found = cells.settle(rank_neighbors(near, k))
+    index.discard()
+    return found
 
 
 def neighbor_graph(
-    points: DataFrame, k: int = 15, *, metric: str = "l2", complete: bool = True
+    points: DataFrame, k: int = 15, *, metric: str = "l2", complete: bool = True, cell_rows: int = cells.CELL_ROWS
 ) -> DataFrame:
     """The k nearest other rows of every row."""
-    return join_nearest(points, points, k, metric=metric, complete=complete, exclude_self=True)
+    return join_nearest(points, points, k, metric=metric, complete=complete, exclude_self=True, cell_rows=cell_rows)
 
 
 def topic_posterior(found: DataFrame, topics: DataFrame, id_col: str, topic_col: str) -> DataFrame:

@@ -150,3 +150,47 @@ def test_ties_are_bounded_by_k():
     assert len(at) == 3000 and set(col) == set(range(595, 600)) and not distance.any()
     at, col, _ = blocks.nearest_in_block(same[:2], same[:3], 2, "l2", np.array(["c", "a", "b"]), np.array(["a", "x"]))
     assert list(zip(at, col)) == [(0, 2), (0, 0), (1, 1), (1, 2)]
+
+
+def test_cells_keep_their_size(spark):
+    """At three sizes of clustered rows: cells stay small, and a query is compared with about as many rows."""
+    from pyspark.sql import functions as F
+
+    from corpusmap.operators import cells
+
+    rng, per_query = np.random.default_rng(3), []
+    for n in (1000, 4000, 16000):
+        centres = rng.normal(size=(n // 20, 6)) * 10
+        x = centres[rng.integers(len(centres), size=n)] + rng.normal(size=(n, 6))
+        df = frame(spark, x)
+        index = cells.Cells.over(df, "l2", cell_rows=32)
+        sizes = [r["size"] for r in index.stats.select("size").collect()]
+        assert sum(sizes) == n and len(sizes) >= n / 64 and max(sizes) <= 32 * 12
+        first = index.nearest_cells(df, 4)
+        met = first.join(index.stats.select("cell", "size"), "cell").agg(F.sum("size")).first()[0]
+        near = cells.search_cells(first, index.homes, 5, "l2", False)
+        bound = near.groupBy(F.col("query_id").alias("id")).agg(F.sort_array(F.collect_list("distance"))[4].alias("bound"))
+        rest = index.cells_within(df.join(bound, "id", "left"), 4)
+        met += rest.join(index.stats.select("cell", "size"), "cell").agg(F.sum("size")).first()[0] or 0
+        per_query.append(met / n)
+        index.discard()
+    assert per_query[2] < 2 * per_query[0]
+
+
+def test_empty_and_dot_blocks(spark, monkeypatch):
+    from corpusmap.operators import cells
+
+    x = np.random.default_rng(9).normal(size=(300, 5))
+    empty = frame(spark, x).filter("false")
+    assert knn.join_nearest(frame(spark, x), empty, 3).count() == knn.join_nearest(empty, frame(spark, x), 3).count() == 0
+    monkeypatch.setattr(knn, "SCAN_QUERIES", 10)
+    monkeypatch.setattr(cells, "QUERY_ROWS", 64)
+    monkeypatch.setattr(cells, "BLOCK_ROWS", 50)
+    repeated = frame(spark, x).selectExpr("id % 7 as id", "vector")  # more rows of one query id than a scan takes
+    found = knn.search_by_vector(frame(spark, x), repeated, 4, metric="dot").collect()
+    assert len(found) == 7 * 4
+    scores = x @ x.T
+    for q in range(7):
+        rows = [r for r in found if r.query_id == q]
+        want = sorted(-v for v in scores[q::7].ravel())[:4]
+        assert np.allclose(sorted(r.distance for r in rows), want)
