@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from corpusmap.operators import projection, tiles, topics
+from corpusmap.operators import knn, projection, tiles, topics
 
 
 def points(spark, n=240, d=10, seed=1, groups=6):
@@ -33,6 +33,47 @@ def test_layout_keeps_neighbours_better_than_axes(spark):
     assert trust(unit, b) > trust(unit, a)
 
 
+def test_levels(spark):
+    """Several levels give about the quality of all epochs over all rows, whichever task does the coarsest."""
+    df, x, _ = points(spark)
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    options = projection.ProjectionOptions(n_neighbors=10, n_epochs=12)
+    edges = projection.edge_weights(knn.neighbor_graph(df, 10, metric="cosine"))
+    start = projection.principal_axes(df)
+    quality = {}
+    for base in (len(x), len(x) // 4):
+        rows = projection.multilevel(start, edges, options, base_rows=base).orderBy("id").collect()
+        assert [r.id for r in rows] == list(range(len(x)))
+        quality[base] = trust(unit, np.array([(r.x, r.y) for r in rows]))
+    flat = trust(unit, np.array([(r.x, r.y) for r in projection.layout(start, edges, options).orderBy("id").collect()]))
+    assert quality[len(x)] > flat - 0.02 and quality[len(x) // 4] > flat - 0.05, (quality, flat)
+
+
+def test_coarser(spark):
+    edges = spark.createDataFrame([(1, 2, 3.0), (2, 3, 1.0), (4, 5, 2.0), (5, 6, 1.0), (3, 6, 0.1)], "a int, b int, w double")
+    nodes = spark.createDataFrame([(i,) for i in range(1, 8)], "id int")
+    got = {r.id: r.parent for r in projection.coarser(nodes, edges).collect()}
+    assert got == {1: 1, 2: 1, 3: 1, 4: 4, 5: 4, 6: 4, 7: 7}
+    alone = projection.multilevel(nodes.selectExpr("id", "double(id) as x", "0d as y"), edges.filter("false"), projection.ProjectionOptions(n_epochs=1), base_rows=2)
+    assert alone.count() == 7
+
+
+def test_local_neighbours(spark):
+    g = spark.createDataFrame([(1, 2, 0.5, 1), (1, 3, 0.6, 2), (2, 3, 0.5, 1), (3, 2, 0.5, 1)], "query_id int, neighbor_id int, distance double, rank int")
+    whole, local = ({(r.a, r.b): r.w for r in projection.edge_weights(g, n, 0.25).collect()} for n in (None, 1))
+    assert local[(1, 3)] == pytest.approx(whole[(1, 3)] * 0.25) and local[(1, 2)] == whole[(1, 2)]
+    with pytest.raises(ValueError):
+        projection.project(g, projection.ProjectionOptions(model="other"))
+
+
+def test_coincident_points_in_tiles(spark):
+    """Rows at one place fill a tile on every level; the deepest takes the rest."""
+    df = spark.range(60).selectExpr("id", "if(id < 55, 0.5, id / 60d) as x", "0.5d as y")
+    found = tiles.quadtree(df, 4, 9).groupBy("level", "tile").count().collect()
+    sizes = {level: max(r["count"] for r in found if r.level == level) for level in range(10)}
+    assert all(sizes[level] <= 4 for level in range(9)) and sum(r["count"] for r in found) == 60 and sizes[9] > 4
+
+
 def test_edge_weights_are_symmetric(spark):
     g = spark.createDataFrame([(1, 2, 0.5), (1, 3, 1.0), (2, 1, 0.5), (3, 1, 1.0)], "query_id int, neighbor_id int, distance double")
     got = {(r.a, r.b): r.w for r in projection.edge_weights(g).collect()}
