@@ -4,8 +4,9 @@ All shingles have one order: those of a sample's common ones last, the rest by h
 Jaccard similarity t or more share a shingle among the first ``n - ceil(t * n) + 1`` of each, so
 joining these prefixes loses no pair, whatever the sample says; it only keeps the buckets small.
 Texts stay where they are: a text is a 64-bit number, and a shingle's bucket is a stretch of sorted rows that a task reads
-as a stream, handing on only buckets with two texts or more. Candidates are verified on whole texts, and what is linked
-is named by MD5, so equal numbers of different texts only add candidates. Each bucket first compares its smallest
+as a stream, handing on only buckets with two texts or more. Candidates first meet by parity sketches, a few bytes for a
+hundred shingles: each shingle that only one of two texts has turns one bit, so more turned bits than unlike shingles
+allowed rule a pair out, and never a wrong one. What is left is verified on whole texts, and what is linked is named by MD5, so equal numbers of different texts only add candidates. Each bucket first compares its smallest
 member with the others; what that links is not compared again, so a large family costs its size, not its square. What
 is left of a bucket is compared block by block.
 """
@@ -152,6 +153,48 @@ def buckets(rows: DataFrame) -> DataFrame:
     return sorted_rows.mapInArrow(meet, "s bigint, key bigint, size int, pos int, hub bigint, hub_size int, hub_pos int")
 
 
+def sketch(own: np.ndarray) -> bytes:
+    """Parities of distinct hashes by their low bits; one to two bits for each hash, a power of two of them."""
+    bits = max(64, 1 << int(len(own) - 1).bit_length()) if len(own) else 64
+    return np.packbits(np.bincount(own & np.uint64(bits - 1), minlength=bits).astype("u1") & 1, bitorder="little").tobytes()
+
+
+def turned(a: bytes, b: bytes) -> int:
+    """Bits in which two sketches differ; the longer one is folded."""
+    while len(a) != len(b):
+        longer, shorter = (a, b) if len(a) > len(b) else (b, a)
+        half = len(longer) // 2
+        a, b = (int.from_bytes(longer[:half], "little") ^ int.from_bytes(longer[half:], "little")).to_bytes(half, "little"), shorter
+    return (int.from_bytes(a, "little") ^ int.from_bytes(b, "little")).bit_count()
+
+
+def sketches(texts: DataFrame, shingle: int) -> DataFrame:
+    """``key, size, bits`` of each of ``key, other, text``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = as_bytes(batch.column(1))
+            for i, j in slices(texts):
+                own = [shingles(t, shingle) for t in texts[i:j]]
+                columns = [batch.column(0).slice(i, j - i), pa.array(map(len, own), pa.int32()), pa.array(map(sketch, own), pa.binary())]
+                yield pa.record_batch(columns, ["key", "size", "bits"])
+
+    return texts.select("key", "text").mapInArrow(run, "key bigint, size int, bits binary").distinct()
+
+
+def possible(least: Fraction):
+    """Whether sketches and sizes leave it open that two texts are alike, as a column function."""
+    loss, whole = least.denominator - least.numerator, least.denominator + least.numerator
+
+    @arrow_udf("boolean")
+    def compare(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
+        for n, a, m, b in batches:
+            rows = zip(n.to_pylist(), a.to_pylist(), m.to_pylist(), b.to_pylist())
+            yield pa.array([turned(x, y) * whole <= loss * (p + q) for p, x, q, y in rows], pa.bool_())
+
+    return compare
+
+
 def near_classes(
     docs: DataFrame, text_col: str = "text", shingle: int = SHINGLE, least: Fraction = ALIKE, sample: int = SAMPLE, block_rows: int = BLOCK_ROWS
 ) -> DataFrame:
@@ -162,6 +205,7 @@ def near_classes(
     """
     texts = numbered(docs, text_col)
     shared = cut_lineage(buckets(prefixes(texts, shingle, least, sample)))
+    drawn = cut_lineage(sketches(texts, shingle))
     num, den = least.numerator, least.denominator
 
     def can(a_size: str, a_pos: str, b_size: str, b_pos: str):
@@ -171,7 +215,9 @@ def near_classes(
 
     def verified(pairs: DataFrame) -> DataFrame:
         """``a, b, a_key, b_key``: marks and numbers of the pairs ``a, b`` of numbers that are alike."""
-        pairs = cut_lineage(pairs.distinct())
+        met = pairs.distinct().join(drawn.selectExpr("key as a", "size as a_size", "bits as a_bits"), "a")
+        met = met.join(drawn.selectExpr("key as b", "size as b_size", "bits as b_bits"), "b")
+        pairs = cut_lineage(met.filter(possible(least)("a_size", "a_bits", "b_size", "b_bits")).select("a", "b").distinct())
         ends = pairs.selectExpr("explode(array(a, b)) as key").distinct()
         held = texts.join(ends, "key", "left_semi").select("key", F.md5("text").alias("mark"), "text")
         held = cut_lineage(held.dropDuplicates(["key", "mark"]))
@@ -197,6 +243,7 @@ def near_classes(
     met = left.join(right, F.expr("p.s = q.s and p.lo = q.lo and p.hi = q.hi") & apart & can("p.size", "p.pos", "q.size", "q.pos"))
     far = verified(met.selectExpr("least(p.key, q.key) as a", "greatest(p.key, q.key) as b"))
     discard(dealt)
+    discard(drawn)
     return connected_components(near.select("a", "b").union(far.select("a", "b"))).select(F.col("id").alias("mark"), "label")
 
 
@@ -204,7 +251,7 @@ def one_row_each(docs: DataFrame, rows: DataFrame, mark, id_col: str = "doc_id")
     """The rows of ``docs`` without all but one row of each class: the one with the smallest id, then mark; null ids come last.
 
     ``rows`` has ``id, mark, label`` of each row of ``docs`` that has a class, ``mark`` is the expression of that column over
-    ``docs``. Rows without a class stay. Whole rows travel at most once, and only if many go.
+    ``docs``. Rows without a class stay. Whole rows travel once.
     """
     order = F.struct(F.col("id").isNull().alias("nameless"), "id", "mark")
     best = rows.groupBy("label").agg(F.min(order).alias("best"), F.count("*").alias("n")).filter("n > 1")
@@ -214,7 +261,8 @@ def one_row_each(docs: DataFrame, rows: DataFrame, mark, id_col: str = "doc_id")
     name = fresh("row_mark", docs)
     marked = docs.withColumn(name, mark)
     same = lambda i, m: F.col(id_col).eqNullSafe(F.col(i)) & (F.col(name) == F.col(m))
-    kept = marked.join(gone, same("gone_id", "gone_mark"), "left_anti")
+    # rows travel once whatever the number that goes, and are not sorted
+    kept = marked.join(gone.hint("shuffle_hash"), same("gone_id", "gone_mark"), "left_anti")
     if again.isEmpty():
         return kept.select(docs.columns)
     again = again.select(F.col("id").alias("gone_id"), F.col("mark").alias("gone_mark"))

@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 
 import corpus_pipeline
@@ -48,6 +49,19 @@ def test_alike(spark, sample):
     assert overlap.one_of_each(table.filter("false")).count() == 0
 
 
+def test_sketches_rule_out_no_pair():
+    """Turned bits never exceed the shingles that one of both texts has alone."""
+    rng = np.random.default_rng(4)
+    for n in (0, 1, 3, 63, 64, 65, 127, 128, 129, 700, 3000):
+        a = rng.integers(0, 1 << 63, n).astype("u8")
+        for drop, add in ((0, 0), (n // 9, 0), (0, n // 5), (n // 20, n // 20), (n, n)):
+            b = np.unique(np.concatenate([a[drop:], rng.integers(0, 1 << 63, add).astype("u8")]))
+            bits = overlap.turned(overlap.sketch(np.unique(a)), overlap.sketch(b))
+            assert bits <= len(np.setxor1d(a, b))
+            if drop == n > 60:
+                assert bits > (len(a) + len(b)) / 9
+
+
 def test_ids(spark):
     text = " ".join(f"w{i}" for i in range(60))
     rows = [(None, text), (7, text + " end"), (7, "other words altogether here now"), (9, "other words altogether here now"), (9, text), (None, "alone")]
