@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from corpusmap.functions import text, vectors
 
@@ -41,6 +41,18 @@ def enforce(found: DataFrame) -> None:
         raise RowError(broken)
 
 
+def watched(df: DataFrame, rules: list[tuple[str, str, Column]]) -> tuple[DataFrame, Observation]:
+    """``df`` whose rules are evaluated by the job that consumes it, without a pass of their own."""
+    seen = Observation()
+    return df.observe(seen, F.count(F.lit(1)).alias("rows"), *[F.coalesce(e.cast("bigint"), F.lit(0)).alias(f"r{i}") for i, (_, _, e) in enumerate(rules)]), seen
+
+
+def broken(seen: Observation, rules: list[tuple[str, str, Column]]) -> list[tuple[str, str, int]]:
+    """The rules that rows of a finished job broke."""
+    found = seen.get
+    return [(rule, field, found[f"r{i}"]) for i, (rule, field, _) in enumerate(rules) if found[f"r{i}"]]
+
+
 def id_rules(field: str) -> list[tuple[str, str, Column]]:
     c = F.col(f"`{field}`")
     return [
@@ -55,6 +67,10 @@ def validate_ids(df: DataFrame, field: str) -> DataFrame:
 
 def validate_vectors(df: DataFrame, field: str, half: bool = False) -> DataFrame:
     """No rows, differing lengths, unusable components, and (if half) half-precision overflow."""
+    return report(df, vector_rules(field, half))
+
+
+def vector_rules(field: str, half: bool = False) -> list[tuple[str, str, Column]]:
     c = F.col(f"`{field}`")
     rules = [
         ("no rows", field, (F.count(F.lit(1)) == 0).cast("int")),
@@ -68,7 +84,7 @@ def validate_vectors(df: DataFrame, field: str, half: bool = False) -> DataFrame
     ]
     if half:
         rules.append(("half overflow", field, F.count_if(vectors.overflows_half(c))))
-    return report(df, rules)
+    return rules
 
 
 def profile(df: DataFrame) -> DataFrame:

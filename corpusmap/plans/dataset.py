@@ -13,9 +13,9 @@ from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
-from corpusmap.functions import vectors
+from corpusmap.functions import text, vectors
 from corpusmap.operators import checks, duplicates, embed, knn, projection, rows, schema, tags, tiles, topics
 from corpusmap.plans import options as opts
 from corpusmap.sources import records, sinks
@@ -151,9 +151,14 @@ class Dataset:
         elif self.id_field is not None:  # a first load, too, stores one row per id
             clean = clean.dropDuplicates([self.id_field])
         path = f"{self.path}/rows/load-{load}-{dt.datetime.now().strftime('%H%M%S%f')}"
-        sinks.append_shards(clean, path)
-        written = self.spark.read.schema(clean.schema).parquet(path)
-        self._check(written, self.data if stored is not None and self._loads else None)
+        # rules are evaluated by the job that writes; what broke one is deleted and never named
+        rules, later = self._rules(), bool(stored is not None and self._loads)
+        seen_rows, seen = checks.watched(clean, rules)
+        sinks.append_shards(seen_rows, path)
+        problems = self._problems(checks.broken(seen, rules), self.spark.read.schema(clean.schema).parquet(path), later)
+        if problems:
+            self._delete(path)
+            raise checks.RowError(problems)
         if stored is None:
             self._log("schema", json.loads(clean.schema.json()))
         if blobs is not None:
@@ -188,16 +193,24 @@ class Dataset:
             return embeddings.withColumnRenamed("vector", "_embeddings")
         return records.attach_vectors(records.ingest(self.spark, data), embeddings, self.id_field, "vector")
 
-    def _check(self, written: DataFrame, earlier: DataFrame | None) -> None:
-        """Ids, vectors, and that new vectors have the dimension of those stored before."""
-        if self.id_field:
-            checks.enforce(checks.report(written, checks.id_rules(self.id_field)))
-        if self.modality == "embedding" and (earlier is None or not written.isEmpty()):
-            checks.enforce(checks.validate_vectors(written, "_embeddings"))
-            if earlier is not None:
-                held, new = (df.select(F.size("_embeddings")).first()[0] for df in (earlier, written))
-                if held != new:
-                    raise checks.RowError([("dimension differs", "_embeddings", new)])
+    def _rules(self) -> list:
+        """What rows of a load must meet."""
+        found = list(checks.id_rules(self.id_field)) if self.id_field else []
+        return found + (checks.vector_rules("_embeddings") if self.modality == "embedding" else [])
+
+    def _problems(self, broken: list, written: DataFrame, later: bool) -> list:
+        """The broken rules; a later load may be empty, and its vectors have the dimension of those stored before."""
+        if self.modality != "embedding" or not later:
+            return broken
+        broken = [b for b in broken if b[0] != "no rows"]
+        held, new = (df.select(F.size("_embeddings")).first() for df in (self.data, written))
+        if not broken and new is not None and held[0] != new[0]:
+            return [("dimension differs", "_embeddings", new[0])]
+        return broken
+
+    def _delete(self, path: str) -> None:
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
 
     def get_data(self, ids) -> DataFrame:
         return rows.by_ids(self.data, ids, self.key)
@@ -216,9 +229,14 @@ class Dataset:
     def create_index(
         self, name: str | None = None, indexed_field: str | None = None, *, topic_model=None, duplicate_detection=None,
         projection_options=None, embedder: embed.Embedder | None = None, reuse_from: "Map | None" = None,
-        tile_rows: int = tiles.TILE_ROWS,
+        tile_rows: int = tiles.TILE_ROWS, embedding_options=None,
     ) -> "Map":
-        """Embed, lay out, tile, model topics and find duplicates; each result is a table of the build."""
+        """Embed, lay out, tile, model topics and find duplicates; each result is a table of the build.
+
+        With ``embedding_options`` that name a chunk length, texts are embedded piece by piece and the unit vectors of the
+        pieces pooled to one. Texts and tokens that the embedder took are counted by the job that writes the vectors.
+        """
+        how_embedding = opts.read(embedding_options, opts.EmbeddingOptions)
         how_topics = opts.read(topic_model, opts.TopicOptions, "build_topic_model")
         how_duplicates = opts.read(duplicate_detection, opts.DuplicateOptions, "tag_duplicates")
         how_projection = opts.read(projection_options, opts.ProjectionOptions)
@@ -252,12 +270,12 @@ class Dataset:
             sinks.write_version(df, path)
             return self.spark.read.schema(df.schema).parquet(path)
 
-        points = keep("embeddings", self._embed(data, key, indexed_field, embedder, reuse_from)).select("id", "vector")
+        embedded, taken = self._embed(data, key, indexed_field, embedder, reuse_from, how_embedding)
+        points = keep("embeddings", embedded).select("id", "vector")
+        usage = {"model": how_embedding.model, "texts": 0, "total_tokens": 0} | (taken.get if taken else {})
 
         def lay_out() -> list[str]:
-            # The layout follows near neighbours; like any index for display it may miss a few.
-            k = how_projection.n_neighbors
-            graph = keep("neighbors", knn.neighbor_graph(points, k, metric="cosine", complete=False))
+            graph = keep("neighbors", knn.neighbor_graph(points, how_projection.n_neighbors, metric="cosine"))
             located = keep("projected", projection.project(points, how_projection, graph))
             sinks.write_tiles(tiles.quadtree(located, tile_rows), f"{folder}/tiles")
             return ["neighbors", "projected", "tiles"]
@@ -286,13 +304,14 @@ class Dataset:
             chains = [pool.submit(inheritable_thread_target(self.spark)(f)) for f in (lay_out, model_topics, mark_duplicates)]
             for chain in chains:
                 built += chain.result()
-        self._log("build", {"name": name or self.identifier, "path": folder, "tables": built, "notes": notes})
+        self._log("build", {"name": name or self.identifier, "path": folder, "tables": built, "notes": notes, "usage": usage})
         return Map(self, number)
 
-    def _embed(self, data, key, field, embedder, reuse_from) -> DataFrame:
+    def _embed(self, data, key, field, embedder, reuse_from, how) -> tuple[DataFrame, Observation | None]:
+        """``id, text_hash, vector``, and what the embedder takes of it, known once that is written."""
         if self.modality == "embedding":
             v = vectors.doubles(F.col("_embeddings"))
-            return data.select(key, F.lit(None).cast("string").alias("text_hash"), v.alias("vector"))
+            return data.select(key, F.lit(None).cast("string").alias("text_hash"), v.alias("vector")), None
         texts = data.select(key, F.col(field).alias("text"))
         hashed = texts.withColumn("text_hash", embed.text_hash(F.col("text")))
         fresh, kept = hashed, None
@@ -300,13 +319,23 @@ class Dataset:
             earlier = reuse_from.table("embeddings").select("id", "text_hash", "vector")
             kept = hashed.join(earlier, ["id", "text_hash"])
             fresh = hashed.join(earlier, ["id", "text_hash"], "left_anti")
+        taken = Observation()
         if self.modality == "image":
-            done = fresh.join(self.blobs.withColumnRenamed("_blob_hash", "text"), "text").withColumn("vector", embedder(F.col("content")))
+            met = fresh.join(self.blobs.withColumnRenamed("_blob_hash", "text"), "text").observe(taken, F.count(F.lit(1)).alias("texts"))
+            done = met.withColumn("vector", embedder(F.col("content")))
         else:
-            done = embed.embed_text(fresh, embedder=embedder, output="vector")
+            tokens = F.coalesce(F.sum(F.coalesce(F.size(text.tokens(F.col("text"))), F.lit(0)).cast("bigint")), F.lit(0))
+            counts = [F.count(F.lit(1)).alias("texts"), tokens.alias("total_tokens")]
+            fresh = fresh.withColumn("text", F.coalesce("text", F.lit("")))
+            if how.chunk_chars:
+                pieces = embed.char_chunks(fresh, "text", how.chunk_chars).observe(taken, *counts)
+                pooled = embed.pool_chunks(embed.embed_text(pieces, embedder=embedder, output="vector"), "id", "vector")
+                done = fresh.select("id", "text_hash").join(pooled, "id")
+            else:
+                done = embed.embed_text(fresh.observe(taken, *counts), embedder=embedder, output="vector")
         columns = ["id", "text_hash", "vector"]
         done = done.select(*columns)
-        return done if kept is None else done.unionByName(kept.select(*columns))
+        return (done if kept is None else done.unionByName(kept.select(*columns))), taken
 
     @property
     def maps(self) -> list["Map"]:
@@ -333,6 +362,8 @@ class Map:
         self.dataset = dataset
         build = dataset._payloads("build")[number]
         self.name, self.path, self.tables, self.notes = (build[k] for k in ("name", "path", "tables", "notes"))
+        #: Model, texts and tokens that the embedder took for this build; re-used vectors count nothing.
+        self.usage: dict = build.get("usage", {})
 
     def table(self, name: str) -> DataFrame:
         if name not in self.tables:

@@ -116,6 +116,33 @@ def test_one_row_per_id_and_one_dimension(spark, root):
     assert d.total_datums == 2
 
 
+def test_broken_loads_leave_no_files(spark, root):
+    """Rules are evaluated while rows are written; what broke one is gone from the folder, too."""
+    d = dataset.Dataset.create(spark, root, "checked", modality="text", id_field="id")
+    d.add_data(table(spark))
+    files = lambda: spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"{d.path}/rows").count()
+    before = files()
+    with pytest.raises(RowError) as found:
+        d.add_data(spark.createDataFrame([("x" * 40, "a", 1), ("y" * 50, "b", 2), ("z", "c", 3)], "id string, text string, n int"))
+    assert found.value.problems == [("id too long", "id", 2)]
+    assert files() == before and d.total_datums == 8
+
+
+def test_usage_and_pieces(spark, root):
+    """The embedder's texts and tokens are counted as it takes them; pieces are pooled to one vector a row."""
+    d = dataset.Dataset.create(spark, root, "counted", modality="text", id_field="id")
+    d.add_data(spark.createDataFrame([("a", "one two three four"), ("b", None), ("c", "five")], "id string, text string"))
+    quick = {"embedder": embed.hash_embedder(32), "projection_options": {"n_epochs": 0}, "topic_model": False, "duplicate_detection": False}
+    whole = d.create_index("whole", "text", **quick)
+    assert whole.usage == {"model": "hash", "texts": 3, "total_tokens": 6}
+    pieces = d.create_index("pieces", "text", embedding_options={"model": "small", "chunk_chars": 8}, **quick)
+    assert pieces.usage == {"model": "small", "texts": 5, "total_tokens": 7}
+    rows = {r.id: r.vector for r in pieces.table("embeddings").collect()}
+    assert set(rows) == {"a", "b", "c"} and all(abs(sum(x * x for x in v) - 1) < 1e-9 for v in rows.values())
+    again = d.create_index("again", "text", reuse_from=whole, **quick)
+    assert again.usage["texts"] == 0 and d.get_map("whole").usage == whole.usage
+
+
 def test_bad_builds(spark, root):
     with pytest.raises(ValueError, match="empty"):
         dataset.map_data(spark, root, "e", embeddings=np.zeros((0, 3)))
