@@ -60,7 +60,13 @@ def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float,
     """Minimise the non-negative risk with the sigmoid loss by Adam over the most telling words."""
     if not positive or not unlabelled:
         return Model({}, -30.0 if not positive else float(np.log(prior / (1 - prior))))
-    count = lambda rows: np.bincount(np.concatenate([*rows, np.zeros(0, "i4")]), minlength=BUCKETS)
+
+    def count(rows: list[np.ndarray]) -> np.ndarray:
+        total = np.zeros(BUCKETS, "i8")
+        for i in range(0, len(rows), 256):  # the driver holds numbers of few rows twice
+            total += np.bincount(np.concatenate(rows[i : i + 256]), minlength=BUCKETS)
+        return total
+
     p, u = count(positive) / len(positive), (count(unlabelled) + 0.5) / (len(unlabelled) + 1)
     lift = np.abs(p - u) / np.sqrt(u * (1 - u) / len(positive) + 1e-12)
     # words that may differ by chance only would outweigh the telling ones by their number
@@ -132,11 +138,16 @@ def train(
         .join(F.broadcast(wanted), id_col).select("kind", "text")
         .mapInArrow(features, "kind int, words array<int>").toArrow()
     )
-    kinds, words = found.column("kind").to_numpy(), found.column("words").combine_chunks()
-    offsets, values = words.offsets.to_numpy(), words.values.to_numpy()
-    rows = [values[a:b] for a, b in zip(offsets[:-1], offsets[1:])]
+    kinds, rows = found.column("kind").to_numpy(), []
+    words = offsets = values = None
+    for words in found.column("words").chunks:
+        offsets, values = words.offsets.to_numpy(), words.values.to_numpy()
+        rows += [values[a:b] for a, b in zip(offsets[:-1], offsets[1:])]
     order = sorted(range(len(rows)), key=lambda i: rows[i].tobytes())  # the same model whatever order rows arrive in
-    return fit([rows[i] for i in order if kinds[i] == 1], [rows[i] for i in order if kinds[i] == 0], prior)
+    model = fit([rows[i] for i in order if kinds[i] == 1], [rows[i] for i in order if kinds[i] == 0], prior)
+    del found, rows, words, offsets, values
+    pa.default_memory_pool().release_unused()
+    return model
 
 
 def toxicity(spark, model: Model, text: Column) -> Column:
