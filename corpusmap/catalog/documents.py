@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from corpusmap.operators import documents, tags
+from corpusmap.operators import documents, tag_blocks, tags
+from corpusmap.session import cut_lineage
 from corpusmap.sources.tables import table
 
 #: A conversation as one record: who spoke first, and the utterances with their length.
@@ -47,13 +48,33 @@ def _docs(spark, folder):
     return table(spark, folder, "documents").select(F.col("doc_id").alias("id"), "lang")
 
 
+def _seats(spark, folder):
+    """Seats of the documents, whose tiles are their sources here."""
+    docs = table(spark, folder, "documents").select(F.col("doc_id").alias("id"), F.lit(0).alias("level"), F.col("source").alias("tile"))
+    seats = cut_lineage(tag_blocks.seat_rows(docs))
+    return seats, tag_blocks.blocks_of(seats)
+
+
 def tag_table(spark, folder):
-    wide = tags.tag_table(_docs(spark, folder), _tagged(spark, folder), _definitions(spark, folder))
+    seats, blocks = _seats(spark, folder)
+    held = tag_blocks.tagged_rows(seats, tag_blocks.stored(seats, blocks, _tagged(spark, folder)))
+    wide = tags.tag_table(_docs(spark, folder), held, _definitions(spark, folder))
     return wide.withColumnRenamed("low-quality", "low_quality")
 
 
 def tag_rows(spark, folder):
-    return tags.rows_in_tag(_docs(spark, folder), _tagged(spark, folder), "toxic")
+    seats, blocks = _seats(spark, folder)
+    store = tag_blocks.stored(seats, blocks, _tagged(spark, folder)).filter("tag = 'toxic'")
+    return tags.rows_in_tag(_docs(spark, folder), tag_blocks.tagged_rows(seats, store), "toxic")
+
+
+def tag_block_counts(spark, folder):
+    """Lines of the store: rows of each tag and tile, and whether that is all of the tile's rows."""
+    seats, blocks = _seats(spark, folder)
+    every = _docs(spark, folder).select("id", F.lit("any").alias("tag"))
+    store = tag_blocks.stored(seats, blocks, _tagged(spark, folder).unionByName(every))
+    lines = store.join(blocks, "block").groupBy("tag", "tile")
+    return lines.agg(F.sum("n").alias("n"), F.bool_and(F.col("bits").isNull()).alias("all_set"))
 
 
 def list_tags(spark, folder):
@@ -66,9 +87,12 @@ def tag_counts(spark, folder):
 
 
 def tag_add_remove(spark, folder):
-    tagged, docs = _tagged(spark, folder), _docs(spark, folder)
-    added = tags.add(tagged, docs.filter("lang = 'de'"), ["german", "toxic"])
-    return tags.remove(added, docs.filter("lang = 'en'"), ["toxic"])
+    docs, (seats, blocks) = _docs(spark, folder), _seats(spark, folder)
+    store = tag_blocks.stored(seats, blocks, _tagged(spark, folder))
+    german = docs.filter("lang = 'de'").select("id", F.explode(F.array(F.lit("german"), F.lit("toxic"))).alias("tag"))
+    grown = cut_lineage(tag_blocks.with_tags(store, tag_blocks.stored(seats, blocks, german), blocks))
+    english = docs.filter("lang = 'en'").select("id", F.lit("toxic").alias("tag"))
+    return tag_blocks.tagged_rows(seats, tag_blocks.without_tags(grown, tag_blocks.stored(seats, blocks, english), blocks))
 
 
 def prune_tags(spark, folder):
@@ -148,7 +172,7 @@ def extract_page_fields(spark, folder):
 QUERIES = {
     f.__name__: f
     for f in (
-        tag_table, tag_rows, list_tags, tag_counts, tag_add_remove, prune_tags, detect_content_type,
+        tag_table, tag_rows, tag_block_counts, list_tags, tag_counts, tag_add_remove, prune_tags, detect_content_type,
         classify_urls, parse_pages, parse_pages_full, extract_json, extract_dialogue, extract_page_fields,
     )
 }
@@ -187,6 +211,9 @@ ORACLES = {
       doc_id IN (SELECT id FROM tagged WHERE tag = 'toxic') AS toxic,
       doc_id IN (SELECT id FROM tagged WHERE tag = 'low-quality') AS low_quality FROM documents""",
     "tag_rows": "SELECT doc_id AS id, lang FROM documents WHERE doc_id IN (SELECT doc_id FROM labels WHERE toxic = 1)",
+    "tag_block_counts": f"""WITH {_TAGGED}, every AS (SELECT * FROM tagged UNION SELECT doc_id, 'any' FROM documents)
+      SELECT tag, source AS tile, count(*) AS n, count(*) = any_value(size) AS all_set FROM every JOIN documents ON doc_id = id
+      JOIN (SELECT source, count(*) AS size FROM documents GROUP BY source) USING (source) GROUP BY tag, source""",
     "list_tags": f"WITH {_TAGGED} SELECT DISTINCT tag FROM tagged WHERE tag <> 'good'",
     "tag_counts": f"""WITH {_TAGGED}, r AS (SELECT *, row_number() OVER (PARTITION BY tag ORDER BY id) AS r FROM tagged)
       SELECT tag, count(*) AS n, string_agg(id::VARCHAR, ',' ORDER BY id) FILTER (r <= 10) AS sample_ids FROM r GROUP BY tag""",

@@ -111,18 +111,12 @@ def append_new_ids(spark, folder):
     return rows.new_rows(docs.unionAll(stored), stored, "doc_id")
 
 
-def map_data_fields(spark, folder):
-    docs = table(spark, folder, "documents").select(F.col("doc_id").alias("id"), "lang", "source", "n_chars")
-    vecs = table(spark, folder, "embeddings").select(F.col("vec_id").alias("id"), "label")
-    return docs.join(vecs, "id").select("id", "source", "label")
-
-
 QUERIES = {
     f.__name__: f
     for f in (
         ingest_records, drop_generated_cols, attach_embeddings, blob_hash, attach_blob_hash, keyset_page,
         sample_n, sample_replaced, get_by_ids, delete_rows, cap_rows, unpivot_text, derive_column, union_tiles,
-        append_new_ids, map_data_fields,
+        append_new_ids,
     )
 }
 
@@ -150,5 +144,4 @@ ORACLES = {
     "union_tiles": """SELECT c_custkey AS id, c_name AS name FROM customer UNION ALL
       SELECT s_suppkey, s_name FROM supplier UNION ALL SELECT p_partkey, p_name FROM part""",
     "append_new_ids": """SELECT doc_id, lang, source FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)""",
-    "map_data_fields": """SELECT doc_id AS id, source, label FROM documents JOIN embeddings ON doc_id = vec_id""",
 }

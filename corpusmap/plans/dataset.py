@@ -16,9 +16,9 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
 from corpusmap.functions import text, vectors
-from corpusmap.operators import checks, duplicates, embed, knn, projection, rows, schema, tags, tiles, topics
+from corpusmap.operators import checks, duplicates, embed, knn, projection, rows, schema, tag_blocks, tags, tiles, topics
 from corpusmap.plans import options as opts
-from corpusmap.sources import records, sinks
+from corpusmap.sources import columns, records, sinks
 
 ROW_ID = "_row_id"
 _LOG = "seq int, kind string, at string, payload string"
@@ -270,15 +270,34 @@ class Dataset:
             sinks.write_version(df, path)
             return self.spark.read.schema(df.schema).parquet(path)
 
+        # Tables keyed by id are column groups: bucketed alike, so that readers join them without a shuffle.
+        buckets, groups = columns.buckets_for(data.count()), {}
+
+        def keep_group(table: str, df: DataFrame) -> DataFrame:
+            path = f"{folder}/{table}"
+            columns.write_group(df, path, buckets)
+            groups[table] = json.loads(df.schema.json())
+            return self.spark.read.schema(df.schema).parquet(path)
+
         embedded, taken = self._embed(data, key, indexed_field, embedder, reuse_from, how_embedding)
-        points = keep("embeddings", embedded).select("id", "vector")
+        points = keep_group("embeddings", embedded).select("id", "vector")
         usage = {"model": how_embedding.model, "texts": 0, "total_tokens": 0} | (taken.get if taken else {})
 
         def lay_out() -> list[str]:
             graph = keep("neighbors", knn.neighbor_graph(points, how_projection.n_neighbors, metric="cosine"))
-            located = keep("projected", projection.project(points, how_projection, graph))
+            located = keep_group("projected", projection.project(points, how_projection, graph))
             sinks.write_tiles(tiles.quadtree(located, tile_rows), f"{folder}/tiles")
-            return ["neighbors", "projected", "tiles"]
+            keep_group("seats", tag_blocks.seat_rows(self.spark.read.parquet(f"{folder}/tiles")))
+            return ["neighbors", "projected", "tiles", "seats"]
+
+        def copy_fields() -> list[str]:
+            # what the build indexed is long and seldom wanted, so it stands apart
+            others = [f for f in self.fields if f not in (self.key, indexed_field, "_embeddings") and f.lower() != "id"]
+            parts = {"fields": others, "indexed": [indexed_field] if self.modality == "text" and indexed_field != self.key else []}
+            for table, part in parts.items():
+                if part:
+                    keep_group(table, data.select(key, *[F.col(f"`{f}`") for f in part]))
+            return [table for table, part in parts.items() if part]
 
         def model_topics() -> list[str]:
             if not how_topics.build_topic_model:
@@ -288,23 +307,24 @@ class Dataset:
                 points, texts, how_topics.sizes, enforce_hierarchy=how_topics.enforce_topic_hierarchy,
                 cluster_method=how_topics.cluster_method,
             )
-            keep("topics", coded)
+            keep_group("topics", coded)
             keep("topic_metadata", meta)
             return ["topics", "topic_metadata"]
 
         def mark_duplicates() -> list[str]:
             if not how_duplicates.tag_duplicates:
                 return []
-            keep("duplicates", duplicates.find_duplicates(points, how_duplicates.duplicate_cutoff))
+            keep_group("duplicates", duplicates.find_duplicates(points, how_duplicates.duplicate_cutoff))
             return ["duplicates"]
 
-        # Three independent chains of jobs share the cluster.
-        built = ["embeddings"]
-        with ThreadPoolExecutor(3) as pool:
-            chains = [pool.submit(inheritable_thread_target(self.spark)(f)) for f in (lay_out, model_topics, mark_duplicates)]
+        # Independent chains of jobs share the cluster.
+        built, chains = ["embeddings"], (lay_out, model_topics, mark_duplicates, copy_fields)
+        with ThreadPoolExecutor(len(chains)) as pool:
+            chains = [pool.submit(inheritable_thread_target(self.spark)(f)) for f in chains]
             for chain in chains:
                 built += chain.result()
-        self._log("build", {"name": name or self.identifier, "path": folder, "tables": built, "notes": notes, "usage": usage})
+        stored = {"buckets": buckets, "groups": groups}
+        self._log("build", {"name": name or self.identifier, "path": folder, "tables": built, "notes": notes, "usage": usage} | stored)
         return Map(self, number)
 
     def _embed(self, data, key, field, embedder, reuse_from, how) -> tuple[DataFrame, Observation | None]:
@@ -364,19 +384,41 @@ class Map:
         self.name, self.path, self.tables, self.notes = (build[k] for k in ("name", "path", "tables", "notes"))
         #: Model, texts and tokens that the embedder took for this build; re-used vectors count nothing.
         self.usage: dict = build.get("usage", {})
+        self._buckets: int = build["buckets"]
+        self._groups = {name: T.StructType.fromJson(found) for name, found in build["groups"].items()}
 
     def table(self, name: str) -> DataFrame:
         if name not in self.tables:
             raise ValueError(f"the map was built without {name}")
         return self.dataset.spark.read.parquet(f"{self.path}/{name}")
 
+    def group(self, name: str) -> DataFrame:
+        """A table of the build keyed by ``id``, read by its buckets."""
+        if name not in self._groups:
+            raise ValueError(f"the map was built without {name}")
+        return columns.read_group(self.dataset.spark, f"{self.path}/{name}", self._groups[name], self._buckets)
+
     def data(self, fields: list[str] | None = None) -> DataFrame:
-        """Rows of the map with the wanted fields; only their columns are read."""
-        source = self.dataset.data
-        wanted = self.dataset.fields if fields is None else fields
-        schema.check_fields(source, wanted)
-        picked = source.select(F.col(self.dataset.key).alias("id"), *[F.col(f) for f in wanted if f != "id"])
-        return picked.join(self.table("projected").select("id"), "id", "left_semi")
+        """Rows of the map, as they were when it was built, with the wanted fields.
+
+        Fields are those of the dataset, then places (``x, y``), ``cluster_id``, ``duplicate_class`` and topic labels
+        (``topic_depth_1..n``) as far as the map has them. Only groups that hold a wanted field are opened, of these only
+        the wanted columns, and their buckets are merged without a shuffle.
+        """
+        key, owners = self.dataset.key, {}
+        for name in ("fields", "indexed", "projected", "duplicates", "topics"):
+            for field in self._groups[name].names if name in self._groups else []:
+                owners.setdefault(field, name)
+        wanted = [f for f in self.dataset.fields if f in owners or f == key] if fields is None else list(fields)
+        missing = [("unknown field", f) for f in wanted if f not in owners and f not in (key, "id")]
+        if missing:
+            raise schema.SchemaError(missing)
+        wanted = [f for f in dict.fromkeys(wanted) if f != "id"]
+        opened = []
+        for name in dict.fromkeys([owners[f] for f in wanted if f != key] or ["projected"]):
+            part = self.group(name).select("id", *[F.col(f"`{f}`") for f in wanted if owners.get(f) == name])
+            opened.append(topics.label_topics(part, self.topic_metadata) if name == "topics" else part)
+        return columns.join_groups(opened).select("id", *[F.col("id").alias(key) if f == key else F.col(f"`{f}`") for f in wanted])
 
     # Vectors.
 
@@ -433,7 +475,7 @@ class Map:
         return topics.group_by_topic(self.topics, self.topic_metadata, topic_depth)
 
     def topic_density(self, time_field: str, start, end, collapse: bool = False) -> DataFrame:
-        timed = self.topics.join(self.data([time_field]), "id")
+        timed = self.data([time_field, *topics.depth_columns(self.group("topics"))])
         return topics.topic_density(timed, time_field, start, end, collapse)
 
     def vector_search_topics(self, queries: DataFrame, k: int = 32, depth: int = 3) -> DataFrame:
@@ -451,32 +493,88 @@ class Map:
     def deletion_candidates(self) -> DataFrame:
         return duplicates.deletion_candidates(self.duplicates)
 
-    # Tags: each change writes a new version of the long table.
+    # Tags: bitmaps per block of seats. Each change writes a new version of the lines and of the levels done.
 
     def _tag_versions(self) -> list[dict]:
         return [p for p in self.dataset._payloads("tags") if p["map"] == self.path]
 
-    @property
-    def tags(self) -> DataFrame:
-        versions = self._tag_versions()
-        if versions:
-            return self.dataset.spark.read.parquet(versions[-1]["path"])
-        return self.projected.select("id", F.lit("").alias("tag")).filter(F.lit(False))
-
-    def _write_tags(self, tagged: DataFrame) -> None:
-        path = f"{self.path}/tags-{len(self._tag_versions())}"
-        sinks.write_version(tagged, path)
+    def _read_tags(self) -> tuple[DataFrame, DataFrame]:
+        """The newest lines ``tag, block, n, bits`` and levels done ``tag, level``."""
+        spark, versions = self.dataset.spark, self._tag_versions()
+        lines, done = "tag string, block string, n bigint, bits binary", "tag string, level int"
+        if not versions:
+            return spark.createDataFrame([], lines), spark.createDataFrame([], done)
+        path = versions[-1]["path"]
+        return spark.read.schema(lines).parquet(f"{path}/lines"), spark.read.schema(done).parquet(f"{path}/done")
+
+    def _write_tags(self, lines: DataFrame, done: DataFrame) -> None:
+        path = f"{self.path}/tags-{len(self._tag_versions())}-{dt.datetime.now().strftime('%H%M%S%f')}"
+        sinks.write_version(lines, f"{path}/lines")
+        sinks.write_version(done, f"{path}/done")
         self.dataset._log("tags", {"map": self.path, "path": path})
 
-    def add_tags(self, ids: DataFrame, names: list[str]) -> None:
-        self._write_tags(tags.add(self.tags, ids, names))
+    @property
+    def _blocks(self) -> DataFrame:
+        return tag_blocks.blocks_of(self.group("seats"))
+
+    def _lines_of(self, ids: DataFrame, names: list[str], levels: list[int] | None) -> DataFrame:
+        seats = self.group("seats")
+        there = seats if levels is None else seats.filter(F.col("level").isin(levels))
+        named = ids.select("id").distinct().withColumn("tag", F.explode(F.array(*[F.lit(n) for n in names])))
+        return tag_blocks.stored(there, tag_blocks.blocks_of(there), named)
+
+    def add_tags(self, ids: DataFrame, names: list[str], levels: list[int] | None = None) -> None:
+        """Give rows tags. With ``levels`` only rows of those levels of tiles are looked at, and a new tag stays incomplete,
+        hence hidden, until all levels were; ids that the map doesn't hold are left out."""
+        if not names:
+            return
+        lines, done = self._read_tags()
+        seen = self._blocks.select("level").distinct()
+        seen = seen if levels is None else seen.filter(F.col("level").isin(levels))
+        named = seen.withColumn("tag", F.explode(F.array(*[F.lit(n) for n in names]))).select("tag", "level")
+        more = self._lines_of(ids, names, levels)
+        self._write_tags(tag_blocks.with_tags(lines, more, self._blocks), done.unionByName(named).distinct())
 
     def remove_tags(self, ids: DataFrame | None, names: list[str], delete_all: bool = False) -> None:
-        self._write_tags(tags.remove(self.tags, ids, names, delete_all))
+        """Take tags from rows; with ``delete_all`` the tags go altogether."""
+        lines, done = self._read_tags()
+        if delete_all:
+            self._write_tags(*(df.filter(~F.col("tag").isin(names)) for df in (lines, done)))
+        elif names:
+            self._write_tags(tag_blocks.without_tags(lines, self._lines_of(ids, names, None), self._blocks), done)
+
+    @property
+    def tag_definitions(self) -> DataFrame:
+        """``tag, complete`` of all tags."""
+        return tag_blocks.definitions(self._read_tags()[1], self._blocks)
+
+    def _complete_lines(self) -> DataFrame:
+        return self._read_tags()[0].join(tags.list_tags(self.tag_definitions), "tag", "left_semi")
+
+    @property
+    def tags(self) -> DataFrame:
+        """``id, tag`` of complete tags."""
+        return tag_blocks.tagged_rows(self.group("seats"), self._complete_lines())
+
+    @property
+    def tag_counts(self) -> DataFrame:
+        """``tag, n`` of complete tags, from the lines alone."""
+        return tag_blocks.tag_sizes(self._complete_lines())
+
+    def rows_in_tag(self, name: str) -> DataFrame:
+        """Ids of a complete tag's rows; another name is an error."""
+        tags.tag_by_name(self.tag_definitions, name)
+        lines = self._read_tags()[0].filter(F.col("tag") == name)
+        return tag_blocks.tagged_rows(self.group("seats"), lines).select("id")
+
+    def tag_lists(self) -> DataFrame:
+        """``id, tags`` of all rows: the sorted complete tags of each, however many tags there are."""
+        held = self.tags.groupBy("id").agg(F.array_sort(F.collect_set("tag")).alias("tags"))
+        return self.group("projected").select("id").join(held, "id", "left").withColumn("tags", F.coalesce("tags", F.array().cast("array<string>")))
 
     def tag_table(self) -> DataFrame:
-        defined = self.tags.select("tag").distinct().withColumn("complete", F.lit(True))
-        return tags.tag_table(self.projected, self.tags, defined)
+        """Every id with one boolean column per complete tag; beyond a thousand tags use ``tag_lists``."""
+        return tags.tag_table(self.projected, self.tags, self.tag_definitions)
 
 
 def map_data(
