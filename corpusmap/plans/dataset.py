@@ -21,6 +21,8 @@ from corpusmap.plans import options as opts
 from corpusmap.sources import columns, records, sinks
 
 ROW_ID = "_row_id"
+# Folders that stored ids are dealt to by hash; a load opens only those that its own ids fall into.
+ID_SLOTS = 64
 _LOG = "seq int, kind string, at string, payload string"
 
 
@@ -126,12 +128,16 @@ class Dataset:
         last = [e for e in self._entries() if e.kind == "create"][-1]
         return dt.datetime.fromisoformat(last.at)
 
-    def add_data(self, data=None, embeddings=None, blobs: DataFrame | None = None) -> None:
+    def add_data(self, data=None, embeddings=None, blobs: DataFrame | None = None, batch: tuple[str, int] | None = None) -> None:
         """Validate rows and append them; rows whose id is stored already are skipped.
 
         ``embeddings`` is a table of the id field and ``vector``, or an array for local rows.
         ``blobs`` is a table of the id field and ``content``; the bytes are stored once per hash.
+        ``batch`` names a stream and its micro-batch. It is logged by the record that makes the rows visible, so a batch
+        that comes again after a failure is either stored wholly, and skipped, or not at all.
         """
+        if batch is not None and list(batch) in [p.get("batch") for p in self._payloads("load")]:
+            return
         df = self._with_vectors(data, embeddings)
         if blobs is not None:
             hashed = blobs.select(self.id_field, records.blob_hash(F.col("content")).alias("_blob_hash"))
@@ -147,7 +153,7 @@ class Dataset:
             clean = schema.conform(df.withColumnRenamed("row_number_", ROW_ID), stored)
         clean = schema.fill_null_strings(clean, self.id_field).withColumnRenamed("row_number_", ROW_ID)
         if stored is not None and self.id_field is not None and self._loads:
-            clean = rows.new_rows(clean, self.data, self.id_field)
+            clean = rows.new_rows(clean, self._stored_ids(clean), self.id_field)
         elif self.id_field is not None:  # a first load, too, stores one row per id
             clean = clean.dropDuplicates([self.id_field])
         path = f"{self.path}/rows/load-{load}-{dt.datetime.now().strftime('%H%M%S%f')}"
@@ -165,7 +171,37 @@ class Dataset:
             content = blobs.select(records.blob_hash(F.col("content")).alias("_blob_hash"), "content").filter("content is not null")
             sinks.write_version(content.dropDuplicates(["_blob_hash"]), f"{path}-blobs")
             self._log("blobs", {"path": f"{path}-blobs"})
-        self._log("load", {"path": path})
+        written = self.spark.read.schema(clean.schema).parquet(path)
+        self._log("load", {"path": path, "ids": self._write_ids(written, path), "batch": batch})
+
+    def _slot(self):
+        return F.expr(f"cast(pmod(xxhash64(`{self.id_field}`), {ID_SLOTS}) as int)").alias("slot")
+
+    def _write_ids(self, written: DataFrame, path: str) -> str | None:
+        """The ids of a load or generation, in folders by slot; rows with made-up ids need none."""
+        if self.id_field is None:
+            return None
+        dealt = written.select(self.id_field, self._slot()).repartition("slot")
+        dealt.write.mode("error").partitionBy("slot").option("compression", "zstd").parquet(f"{path}-ids")
+        return f"{path}-ids"
+
+    def _stored_ids(self, arriving: DataFrame) -> DataFrame:
+        """Stored ids of the slots that arriving ids fall into."""
+        slots = [r.slot for r in arriving.select(self._slot()).distinct().collect()]  # at most ID_SLOTS numbers
+        kind = T.StructType([self.schema[self.id_field], T.StructField("slot", T.IntegerType())])
+        known = self.spark.createDataFrame([], kind)
+        for path in self._id_folders():
+            known = known.unionByName(self.spark.read.schema(kind).parquet(path))
+        return known.filter(F.col("slot").isin(slots)).select(self.id_field)
+
+    def _id_folders(self) -> list[str]:
+        current: list[str] = []
+        for e in self._entries():
+            if e.kind == "drop":
+                current = []
+            elif e.kind in ("load", "replace"):
+                current = [*(current if e.kind == "load" else []), json.loads(e.payload)["ids"]]
+        return current
 
     @property
     def blobs(self) -> DataFrame:
@@ -219,11 +255,25 @@ class Dataset:
         """Write a new generation of the rows without ids. Maps change at the next build."""
         path = f"{self.path}/rows/without-{dt.datetime.now().strftime('%Y%m%d%H%M%S%f')}"
         sinks.append_shards(rows.without_ids(self.data, ids, self.key), path)
-        self._log("replace", {"path": path})
+        left = self.spark.read.schema(self.schema).parquet(path)
+        self._log("replace", {"path": path, "ids": self._write_ids(left, path)})
 
     def drop(self) -> None:
         self._log("drop", {})
 
+    def stale(self, now: dt.datetime, delay: int) -> bool:
+        """Whether rows changed since the newest build, and that began at least ``delay`` seconds before ``now``.
+
+        Both are read from the log, so any session that opens the dataset keeps to the same pause.
+        """
+        entries = self._entries()
+        changes, builds = ([e for e in entries if e.kind in kinds] for kinds in (("load", "replace"), ("build",)))
+        if not changes or not builds:
+            return bool(changes)
+        began = dt.datetime.fromisoformat(json.loads(builds[-1].payload)["began"])
+        seen = json.loads(builds[-1].payload)["seen"]
+        return changes[-1].seq > seen and (now - began).total_seconds() >= delay
+
     # Builds.
 
     def create_index(
@@ -261,7 +311,8 @@ class Dataset:
         for note in notes:
             warnings.warn(note, stacklevel=2)
 
-        number = len(self._payloads("build"))
+        number, seen = len(self._payloads("build")), self._entries()[-1].seq
+        began = dt.datetime.now(dt.timezone.utc).isoformat()
         folder = f"{self.path}/builds/{number}-{dt.datetime.now().strftime('%H%M%S%f')}"
         data, key = self.data, F.col(self.key).alias("id")
 
@@ -323,7 +374,7 @@ class Dataset:
             chains = [pool.submit(inheritable_thread_target(self.spark)(f)) for f in chains]
             for chain in chains:
                 built += chain.result()
-        stored = {"buckets": buckets, "groups": groups}
+        stored = {"buckets": buckets, "groups": groups, "began": began, "seen": seen}
         self._log("build", {"name": name or self.identifier, "path": folder, "tables": built, "notes": notes, "usage": usage} | stored)
         return Map(self, number)
 
