@@ -9,6 +9,7 @@ from __future__ import annotations
 import datetime as dt
 import json
 import warnings
+from collections import namedtuple
 from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
@@ -23,7 +24,7 @@ from corpusmap.sources import columns, records, sinks
 ROW_ID = "_row_id"
 # Folders that stored ids are dealt to by hash; a load opens only those that its own ids fall into.
 ID_SLOTS = 64
-_LOG = "seq int, kind string, at string, payload string"
+Entry = namedtuple("Entry", "seq kind at payload")
 
 
 class Dataset:
@@ -56,15 +57,45 @@ class Dataset:
 
     # The log: one small JSON record per event.
 
-    def _log(self, kind: str, payload: dict) -> None:
-        entry = (len(self._entries()), kind, dt.datetime.now(dt.timezone.utc).isoformat(), json.dumps(payload))
-        self.spark.createDataFrame([entry], _LOG).coalesce(1).write.mode("append").json(f"{self.path}/log")
+    def _log(self, kind: str, payload: dict, after: int | None = None) -> None:
+        """Add a record under the next number. Its file must not exist yet, so of two writers one fails.
 
-    def _entries(self) -> list:
+        With ``after``, rows must not have changed since that record, as what is logged was worked out from them.
+        """
+        entries = self._entries()
+        if after is not None and any(e.seq > after and e.kind in ("load", "replace", "drop") for e in entries):
+            raise RuntimeError("another writer changed the rows of this dataset")
+        record = Entry(entries[-1].seq + 1 if entries else 0, kind, dt.datetime.now(dt.timezone.utc).isoformat(), json.dumps(payload))
+        files, folder = self._log_files()
+        out = files.create(self.spark._jvm.org.apache.hadoop.fs.Path(folder, f"{record.seq:010d}.json"), False)
+        try:
+            out.write(json.dumps(record._asdict()).encode())
+        finally:
+            out.close()
+
+    def _log_files(self):
         folder = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/log")
-        if not folder.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).exists(folder):
+        return folder.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()), folder
+
+    def _entries(self) -> list[Entry]:
+        """All records in order. They never change, so each is read once."""
+        files, folder = self._log_files()
+        if not files.exists(folder):
             return []
-        return self.spark.read.schema(_LOG).json(f"{self.path}/log").orderBy("seq").collect()
+        read = self.__dict__.setdefault("_read", {})
+        for status in files.listStatus(folder):
+            place = status.getPath()
+            name = place.getName()
+            if name in read or not name.endswith(".json"):
+                continue
+            stream = files.open(place)
+            try:
+                text_ = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+            finally:
+                stream.close()
+            if text_:  # otherwise a writer has just begun it
+                read[name] = Entry(**json.loads(text_))
+        return [read[name] for name in sorted(read)]
 
     @classmethod
     def exists(cls, spark: SparkSession, root: str, identifier: str) -> bool:
@@ -138,6 +169,7 @@ class Dataset:
         """
         if batch is not None and list(batch) in [p.get("batch") for p in self._payloads("load")]:
             return
+        began = self._entries()[-1].seq
         df = self._with_vectors(data, embeddings)
         if blobs is not None:
             hashed = blobs.select(self.id_field, records.blob_hash(F.col("content")).alias("_blob_hash"))
@@ -172,7 +204,7 @@ class Dataset:
             sinks.write_version(content.dropDuplicates(["_blob_hash"]), f"{path}-blobs")
             self._log("blobs", {"path": f"{path}-blobs"})
         written = self.spark.read.schema(clean.schema).parquet(path)
-        self._log("load", {"path": path, "ids": self._write_ids(written, path), "batch": batch})
+        self._log("load", {"path": path, "ids": self._write_ids(written, path), "batch": batch}, began)
 
     def _slot(self):
         return F.expr(f"cast(pmod(xxhash64(`{self.id_field}`), {ID_SLOTS}) as int)").alias("slot")
@@ -253,10 +285,11 @@ class Dataset:
 
     def delete_data(self, ids) -> None:
         """Write a new generation of the rows without ids. Maps change at the next build."""
+        began = self._entries()[-1].seq
         path = f"{self.path}/rows/without-{dt.datetime.now().strftime('%Y%m%d%H%M%S%f')}"
         sinks.append_shards(rows.without_ids(self.data, ids, self.key), path)
         left = self.spark.read.schema(self.schema).parquet(path)
-        self._log("replace", {"path": path, "ids": self._write_ids(left, path)})
+        self._log("replace", {"path": path, "ids": self._write_ids(left, path)}, began)
 
     def drop(self) -> None:
         self._log("drop", {})

@@ -188,3 +188,18 @@ def test_options():
         options.read({"topic_label_feild": "x"}, options.TopicOptions)
     with pytest.raises(TypeError):
         options.read(3, options.TopicOptions)
+
+
+def test_two_writers(spark, root):
+    one = dataset.Dataset.create(spark, root, "d", modality="text", id_field="id")
+    other = dataset.Dataset(spark, root, "d")
+    began = other._entries()[-1].seq
+    one.add_data(table(spark))
+    with pytest.raises(RuntimeError):  # worked out before those rows came
+        other._log("load", {"path": "x", "ids": None}, began)
+    assert other.total_datums == 8 and [e.seq for e in other._entries()] == list(range(len(one._entries())))
+    stale = other._entries()
+    one._log("note", {})
+    other._entries = lambda: stale
+    with pytest.raises(Exception, match="(?i)exist"):
+        other._log("note", {})
