@@ -1,8 +1,8 @@
 """Pairs of texts whose sets of word shingles are alike, found by prefixes of a shared order.
 
-All shingles have one order: those of a sample's common ones last, the rest by hash. Two sets with
+All shingles have one order: by how often the bin of their hash is met in all texts, then by hash. Two sets with
 Jaccard similarity t or more share a shingle among the first ``n - ceil(t * n) + 1`` of each, so
-joining these prefixes loses no pair, whatever the sample says; it only keeps the buckets small.
+joining these prefixes loses no pair, whatever the counts say; they only keep the buckets small.
 Texts stay where they are: a text is a 64-bit number, and a shingle's bucket is a stretch of sorted rows that a task reads
 as a stream, handing on only buckets with two texts or more. Candidates first meet by parity sketches, a few bytes for a
 hundred shingles: each shingle that only one of two texts has turns one bit, so more turned bits than unlike shingles
@@ -25,11 +25,11 @@ from pyspark.sql.functions import arrow_udf
 
 from corpusmap.llm.common import LOWER, as_bytes, fresh, slices, space_words
 from corpusmap.operators.components import connected_components
-from corpusmap.operators.rows import hash_order, smallest
 from corpusmap.session import cut_lineage, discard
 
 SHINGLE, ALIKE = 5, Fraction(4, 5)
-SAMPLE, COMMON = 2048, 1 << 16
+#: Bins of hashes, a power of two, in which shingles are counted.
+BINS = 1 << 20
 #: Texts that a task remembers to leave out copies; rows of a bucket in one block.
 REMEMBERED, BLOCK_ROWS = 1 << 18, 1024
 MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xBF58476D1CE4E5B9], "u8")
@@ -75,26 +75,39 @@ def numbered(docs: DataFrame, text_col: str) -> DataFrame:
     return docs.select(F.xxhash64(text).alias("key"), F.xxhash64(F.lit(1), text).alias("other"), text.alias("text")).filter("text is not null")
 
 
-def prefixes(texts: DataFrame, shingle: int, least: Fraction, sample: int) -> DataFrame:
-    """``s, key, size, pos``: the first shingles of each of ``key, other, text``; copies that one task meets count once."""
+def counted(texts: DataFrame, shingle: int, bins: int) -> np.ndarray:
+    """How many shingles of all texts of ``key, other, text`` fall into each bin; copies that one task meets count once."""
 
-    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, seen = np.zeros(bins, "i8"), set()
         for batch in batches:
-            texts = as_bytes(batch.column(0))
+            names = list(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()))
+            texts = as_bytes(batch.column(2))
+            if len(seen) > REMEMBERED:
+                seen.clear()
             for i, j in slices(texts):
-                yield pa.record_batch([pa.array(np.concatenate([shingles(t, shingle) for t in texts[i:j]]).view("i8"))], ["s"])
+                own = []
+                for k in range(i, j):
+                    if names[k] not in seen:
+                        seen.add(names[k])
+                        own.append(shingles(texts[k], shingle) & np.uint64(bins - 1))
+                if own:
+                    total += np.bincount(np.concatenate(own).astype("i8"), minlength=bins)
+        held = np.flatnonzero(total)
+        yield pa.record_batch([pa.array(held.astype("i4")), pa.array(total[held])], ["bin", "n"])
+
+    found = texts.select("key", "other", "text").mapInArrow(count, "bin int, n bigint").groupBy("bin").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(bins, "i4")
+    out[found["bin"].to_numpy()] = np.minimum(found["n"].to_numpy(), np.iinfo("i4").max)
+    return out
 
-    keys = cut_lineage(texts.select("key").distinct())
-    chosen = [r.key for r in smallest(keys, sample, hash_order("key")).collect()]
-    discard(keys)
-    drawn = texts.filter(F.col("key").isin(chosen)).dropDuplicates(["key"]).select("text").mapInArrow(split, "s bigint")
-    often = drawn.groupBy("s").count().filter("count > 1").orderBy(F.desc("count"), "s").limit(COMMON).collect() if chosen else []
-    names = np.array([r.s for r in often], "i8").view("u8")
-    order = np.argsort(names)
-    held = texts.sparkSession.sparkContext.broadcast((names[order], np.array([r["count"] for r in often], "i8")[order]))
+
+def prefixes(texts: DataFrame, shingle: int, least: Fraction, bins: int) -> DataFrame:
+    """``s, key, size, pos``: the first shingles of each of ``key, other, text``; copies that one task meets count once."""
+    held = texts.sparkSession.sparkContext.broadcast(counted(texts, shingle, bins))
 
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        common, count = held.value
+        count = held.value
         seen: set[tuple[int, int]] = set()
         for batch in batches:
             keys = batch.column(0).to_numpy(zero_copy_only=False)
@@ -109,9 +122,7 @@ def prefixes(texts: DataFrame, shingle: int, least: Fraction, sample: int) -> Da
                         continue
                     seen.add(names[k])
                     own = shingles(texts[k], shingle)
-                    if len(common) and len(own):
-                        at = np.minimum(np.searchsorted(common, own), len(common) - 1)
-                        own = own[np.argsort(np.where(common[at] == own, count[at], 0), kind="stable")]
+                    own = own[np.argsort(count[(own & np.uint64(bins - 1)).astype("i8")], kind="stable")]
                     parts.append(own[: len(own) - ceil(least * len(own)) + 1])
                     sizes.append(len(own))
                     whose.append(k)
@@ -196,15 +207,15 @@ def possible(least: Fraction):
 
 
 def near_classes(
-    docs: DataFrame, text_col: str = "text", shingle: int = SHINGLE, least: Fraction = ALIKE, sample: int = SAMPLE, block_rows: int = BLOCK_ROWS
+    docs: DataFrame, text_col: str = "text", shingle: int = SHINGLE, least: Fraction = ALIKE, sample: int = BINS, block_rows: int = BLOCK_ROWS
 ) -> DataFrame:
     """``mark, label``: the class of every text (by its MD5) that is linked to another one.
 
     Links are all pairs of distinct texts whose lower-cased shingles have Jaccard similarity ``least``
-    or more. Null and wordless texts have none.
+    or more. Null and wordless texts have none. Shingles are counted in ``sample`` bins, a power of two; 0 counts none.
     """
     texts = numbered(docs, text_col)
-    shared = cut_lineage(buckets(prefixes(texts, shingle, least, sample)))
+    shared = cut_lineage(buckets(prefixes(texts, shingle, least, max(1, sample))))
     drawn = cut_lineage(sketches(texts, shingle))
     num, den = least.numerator, least.denominator
 
