@@ -4,6 +4,7 @@ import re
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -156,3 +157,19 @@ def test_whole_text_counts(spark):
     assert not np.allclose(a, b)
     a, b = vectors_of(embed.embed_text(df, embedder=embed.hash_embedder(DIMS, max_tokens=8192)))
     assert np.allclose(a, b)
+
+
+def test_memory_does_not_grow_with_the_tokens_of_a_batch():
+    import tracemalloc
+
+    tokens = np.random.default_rng(2).integers(0, 1 << 32, 2_000_000)
+    rows = pa.ListArray.from_arrays(pa.array(np.arange(0, len(tokens) + 1, 5000), pa.int32()), pa.array(tokens))
+    tracemalloc.start()
+    try:
+        found = embed._hashed(rows, 64, 128)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 48 << 20, peak
+    whole = embed._hash_rows(rows, 64, 128)
+    assert np.array_equal(np.asarray(found.flatten()).reshape(-1, 64), whole)
