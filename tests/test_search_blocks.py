@@ -48,3 +48,23 @@ def test_many_copies_are_searched_once(spark):
     found = knn.neighbor_graph(df, 3, metric="cosine").filter("query_id in (0, 2, 4, 19999)").collect()
     got = {q: [r.neighbor_id for r in sorted(found, key=lambda r: r["rank"]) if r.query_id == q] for q in (0, 2, 4, 19999)}
     assert got == {0: [1, 2, 3], 2: [0, 1, 3], 4: [0, 1, 2], 19999: [15000, 15001, 15002]}
+
+
+@pytest.mark.parametrize("far, bounded", [(0.0, True), (1e6, True), (1e20, True), (0.0, False)])
+def test_rounded_products_lose_no_neighbour(far, bounded, monkeypatch):
+    """Whatever the scale, where limits are tight, missing or met exactly, and where copies make many candidates of a query."""
+    rng = np.random.default_rng(21)
+    x = rng.normal(size=(1500, 12)) + far
+    x[200:300] = x[200]
+    q = x[rng.permutation(1500)[:700]] + rng.normal(size=(700, 12)) * 0.01
+    q[:50] = x[200]
+    rows, k, asked = np.arange(1500), 5, []
+    want = np.sort(np.linalg.norm(q[:, None, :] - x[None], axis=2), axis=1)[:, k - 1]
+    limit = want**2 if bounded else np.where(np.arange(700) % 2, np.inf, want**2)
+    sure = blocks._surely_near
+    monkeypatch.setattr(blocks, "_surely_near", lambda q, *more: asked.append(len(q)) or sure(q, *more))
+    at, col, distance = blocks.nearest_in_block(q, x, k, "l2", rows, None, limit * (1 + 1e-9))
+    every = blocks.nearest_in_block(q, x, k, "l2", rows)
+    assert np.array_equal(at, every[0]) and np.array_equal(col, every[1]) and np.array_equal(distance, every[2])
+    if far == 0.0 and bounded:
+        assert 50 <= sum(asked) < 100  # only queries with many candidates have all their products worked out in full
